@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailsift.config import MAX_TEMP_SHARE, SEED, SPLIT_SIZES
 from mailsift.functions.text import hash32
+from mailsift.session import materialise
 
 HASH_BUCKETS_SHIFT = 16  # the top 16 of 32 hash bits: 65,536 even buckets
 
@@ -65,22 +66,18 @@ def _boundaries(df: DataFrame, stratum: str, key: str, cuts: Mapping, seed: int
     )
 
 
-def assign_slices(
-    df: DataFrame, stratum: str, key: str, cuts: Mapping, seed: int | str, out: str, rest: str | None = None
+def apply_boundaries(
+    df: DataFrame, bounds: DataFrame, stratum: str, key: str, seed: int | str, out: str, rest: str | None = None
 ) -> DataFrame:
-    """Cut every stratum, in seeded hash order of a unique key, into slices of exact sizes.
+    """Name the slice of every row; rows beyond the last slice get ``rest``.
 
-    Rows beyond the last slice get ``rest``. The rows themselves never move: each is compared
-    with the broadcast boundaries, whose number is strata times slices.
+    The rows never move: each is compared with the broadcast boundaries, whose number is
+    strata times slices. Rows that share a key share a slice.
     """
-    per_stratum = (
-        _boundaries(df, stratum, key, cuts, seed)
-        .groupBy("_stratum")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "slice", "_hash", "_key"))).alias("_cuts"))
-    )
-    joined = df.withColumn("_h", hash32(seed, F.col(key))).join(
-        F.broadcast(per_stratum.withColumnRenamed("_stratum", stratum)), stratum, "left"
+    per_stratum = bounds.groupBy(F.col("_stratum").alias(stratum)).agg(
+        F.sort_array(F.collect_list(F.struct("place", "slice", "_hash", "_key"))).alias("_cuts")
     )
+    joined = df.withColumn("_h", hash32(seed, F.col(key))).join(F.broadcast(per_stratum), stratum, "left")
     own_key = F.col(key).cast("string")
     passed = F.filter(
         "_cuts",
@@ -103,7 +100,9 @@ def sample_classes(df: DataFrame, sizes: Mapping[int, int], seed: int = SEED, ke
         raise ValueError(f"Not enough rows per class: wanted {dict(sizes)}, found {short}.")
     cuts = {label: [("sample", size)] for label, size in sizes.items()}
     kept = df.filter(F.col("label").isin(*sizes))
-    return assign_slices(kept, "label", key, cuts, f"sample-{seed}", "_slice").filter("_slice = 'sample'").drop("_slice")
+    bounds = _boundaries(kept, "label", key, cuts, f"sample-{seed}")
+    named = apply_boundaries(kept, bounds, "label", key, f"sample-{seed}", "_slice")
+    return named.filter("_slice = 'sample'").drop("_slice")
 
 
 def shuffle_rows(df: DataFrame, seed: int = SEED, key: str = "email_id") -> DataFrame:
@@ -172,13 +171,11 @@ def split_quotas(counts: Mapping[int, int], sizes: Mapping[str, int] = SPLIT_SIZ
     return quotas
 
 
-def split_groups_exact(groups: DataFrame, seed: int = SEED, sizes: Mapping[str, int] = SPLIT_SIZES) -> DataFrame:
-    """(group_key, label) -> + split, with exact stratified sizes."""
+def split_boundaries(groups: DataFrame, seed: int = SEED, sizes: Mapping[str, int] = SPLIT_SIZES) -> DataFrame:
+    """Cuts in (group_key, label) that give exact stratified split sizes."""
     quotas = split_quotas(class_counts(groups), sizes)
-    cuts = {
-        label: [("train", q["train"]), ("valid", q["train"] + q["valid"])] for label, q in quotas.items()
-    }
-    return assign_slices(groups, "label", "group_key", cuts, f"split-{seed}", "split", rest="test")
+    cuts = {label: [("train", q["train"]), ("valid", q["train"] + q["valid"])] for label, q in quotas.items()}
+    return _boundaries(groups, "label", "group_key", cuts, f"split-{seed}")
 
 
 def bucket_split(key: Column, seed: int = SEED, train: float = 0.70, valid: float = 0.15) -> Column:
@@ -197,21 +194,23 @@ def split_by_group(
     """Rows with a split by group; no group is in two splits.
 
     Mixed-label groups are an error. Exact mode gives the stratified sizes; otherwise the split
-    is an expression of the key and costs no shuffle.
+    is an expression of the key. Only the narrow group table is shuffled, and it is written once
+    for the guard, the counts and the cuts. The rows stay where they are: a group has one label,
+    so a row's own label and key place it.
     """
     if "group_key" not in df.columns:
         df = with_group_key(df)
-    if not mixed_label_groups(df).isEmpty():
+    groups = materialise(group_labels(df))
+    if not groups.filter("is_mixed").isEmpty():
         raise ValueError("Mixed-label groups detected; cannot keep a leakage-safe split.")
     if not exact:
         return df.withColumn("split", bucket_split(F.col("group_key"), seed))
-    groups = group_labels(df).select("group_key", "label")
-    assigned = split_groups_exact(groups, seed, sizes).select("group_key", "split")
-    return assign_by_group(df, assigned)
+    bounds = split_boundaries(groups, seed, sizes)
+    return apply_boundaries(df, bounds, "label", "group_key", f"split-{seed}", "split", rest="test")
 
 
 def assign_by_group(df: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Rows take their group's split. A row without one stops the job."""
+    """Rows take the split of a caller's (group_key, split) map. A row without one stops the job."""
     joined = df.join(assigned, "group_key", "left")
     missing = F.raise_error(F.concat(F.lit("No split for group "), F.col("group_key"))).cast("string")
     return joined.withColumn("split", F.coalesce("split", missing)).select(*df.columns, "split")

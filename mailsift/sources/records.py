@@ -57,7 +57,7 @@ def number_copies(df: DataFrame, digest_col: str = "_digest") -> DataFrame:
     """
     columns = [c for c in df.columns if c != digest_col]
     keyed = df.withColumn(digest_col, F.sha2(F.to_json(F.struct(*columns)), 256))
-    counted = keyed.groupBy(digest_col).agg(F.any_value(F.struct(*columns)).alias("_row"), F.count("*").alias("_n"))
+    counted = keyed.groupBy(digest_col).agg(*[F.any_value(c).alias(c) for c in columns], F.count("*").alias("_n"))
     last_chunk = F.floor((F.col("_n") - 1) / COPIES_PER_TASK)
     chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
     start = F.col("_chunk") * COPIES_PER_TASK
@@ -65,7 +65,7 @@ def number_copies(df: DataFrame, digest_col: str = "_digest") -> DataFrame:
     return (
         chunks.repartition(digest_col, "_chunk")
         .withColumn("copy_no", F.explode(F.sequence(start, stop)))
-        .select("_row.*", digest_col, "copy_no")
+        .select(*columns, digest_col, "copy_no")
     )
 
 

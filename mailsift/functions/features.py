@@ -26,7 +26,8 @@ def _chars_in(text: Column, char_class: str) -> Column:
 
 
 def _literal(text: Column, word: str) -> Column:
-    gone = F.length(text) - F.length(F.replace(text, F.lit(word), F.lit("")))
+    """Occurrences of an ASCII word, from byte lengths, which are known without a scan."""
+    gone = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(word), F.lit("")))
     return gone if len(word) == 1 else (gone / len(word)).cast("int")
 
 

@@ -20,10 +20,14 @@ DIGIT_CHARS = (
     r"\x{2776}-\x{277E}\x{2780}-\x{2788}\x{278A}-\x{2792}\x{10A40}-\x{10A43}\x{10E60}-\x{10E68}"
     r"\x{11052}-\x{1105A}\x{1F100}-\x{1F10A}"
 )
-DIGIT = f"[{DIGIT_CHARS}]"
+# The look-ahead rejects letters by one category test before the long class is searched.
+DIGIT = rf"(?:(?=\p{{N}})[{DIGIT_CHARS}])"
 
-# Only the runs that are not already one plain space, so clean text is left untouched.
-UNCLEAN_SPACE_RUN = rf"(?:[\x00{SPACE_CHARS}&&[^ ]]|[ ](?=[\x00{SPACE_CHARS}]))[\x00{SPACE_CHARS}]*"
+# Only the runs that are not already one plain space, so clean text is left untouched. The
+# leading test passes over printable ASCII and the letters below U+1680, which has no space.
+UNCLEAN_SPACE_RUN = (
+    rf"(?![!-~\x{{A1}}-\x{{167F}}])(?: (?=[\x00{SPACE_CHARS}])|[^ ](?<=[\x00{SPACE_CHARS}]))[\x00{SPACE_CHARS}]*"
+)
 EDGE_SPACE = rf"^{SPACE}+|{SPACE}+$"
 
 # The published patterns, in explicit classes.

@@ -89,7 +89,7 @@ def _sql_words(words: tuple[str, ...]) -> str:
 
 def sql_features(key: str, text: str, source: str) -> str:
     """The 20 features of ``text`` from ``source``, with ``key``."""
-    digit = P.DIGIT
+    digit = f"[{P.DIGIT_CHARS}]"
     counts = {
         "char_len": "length(t)",
         "word_count": _sql_count(r"[\p{L}\p{N}_]+"),

@@ -7,15 +7,16 @@ partitioning. The vector form counts inside a row and never shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, MIN_DF, SVD_COMPONENTS, WORD_NGRAMS
 from mailsift.functions.features import FEATURE_NAMES
@@ -66,8 +67,13 @@ def chunk_grams(chunk: Column, sizes: tuple[int, int] = CHAR_NGRAMS) -> Column:
 
 
 def by_document(df: DataFrame, key: str, keep: Sequence[str], text_col: str) -> DataFrame:
-    """One shuffle of the compact text by its key; nothing after it shuffles by document."""
-    return df.select(key, *keep, text_col).repartition(key)
+    """One shuffle of the compact text by its key; nothing after it shuffles by document.
+
+    The partition count is given, so that adaptive execution does not merge small partitions of
+    text that is about to grow many times over into a few busy tasks.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.select(key, *keep, text_col).repartition(partitions, key)
 
 
 def word_counts(df: DataFrame, key: str = "email_id", text_col: str = "clean_text", keep: Sequence[str] = ()) -> DataFrame:
@@ -214,8 +220,11 @@ def fit_svd(df: DataFrame, vector_col: str = "features", k: int = SVD_COMPONENTS
     from pyspark.mllib.linalg.distributed import RowMatrix
     from pyspark.mllib.util import MLUtils
 
-    rows = MLUtils.convertVectorColumnsFromML(df.select(vector_col), vector_col)
+    # Every iteration reads the rows again, so they are kept; a lost block is computed anew.
+    vectors = df.select(vector_col).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = MLUtils.convertVectorColumnsFromML(vectors, vector_col)
     result = RowMatrix(rows).computeSVD(k, computeU=False)
+    vectors.unpersist()
     return np.array(result.s.toArray()), np.array(result.V.toArray())
 
 
@@ -227,13 +236,40 @@ def apply_svd(df: DataFrame, right: np.ndarray, vector_col: str = "features", ou
     matrix = df.sparkSession.sparkContext.broadcast(right)
 
     @F.pandas_udf("array<double>")
-    def project(vectors: pd.Series) -> pd.Series:
+    def project(vectors: pd.DataFrame) -> pd.Series:
         v = matrix.value
-        return pd.Series([x.values @ v[x.indices] if hasattr(x, "indices") else x.toArray() @ v for x in vectors])
+        return pd.Series([values @ v[positions] for positions, values in _entries(vectors)])
 
     return df.withColumn(out, array_to_vector(project(F.col(vector_col))))
 
 
+# ---- vectors to rows ---------------------------------------------------------------------
+
+
+def _entries(vectors: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, values) of a batch of vectors; Arrow delivers a vector as its four fields."""
+    for positions, values in zip(vectors["indices"], vectors["values"]):
+        values = np.asarray(values, dtype=float)
+        yield (np.arange(len(values)) if positions is None else np.asarray(positions, dtype=int)), values
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _positions(vectors: pd.DataFrame) -> pd.Series:
+    return pd.Series([positions for positions, _ in _entries(vectors)])
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def _values(vectors: pd.DataFrame) -> pd.Series:
+    return pd.Series([values for _, values in _entries(vectors)])
+
+
+def vector_entries(df: DataFrame, vector_col: str, key: str = "email_id") -> DataFrame:
+    """(key, idx, weight) rows of a vector column. A sparse vector is never made dense."""
+    opened = df.select(key, _positions(vector_col).alias("_i"), _values(vector_col).alias("_v"))
+    pairs = opened.select(key, F.explode(F.arrays_zip("_i", "_v")).alias("_e"))
+    return pairs.select(key, F.col("_e._i").alias("idx"), F.col("_e._v").alias("weight"))
+
+
 def block_sizes(vocab_sizes: dict[str, Column], split: DataFrame) -> DataFrame:
     """Feature dimensions and split sizes as (metric, value)."""
     counted = split.agg(*[F.count_if(F.col("split") == s).alias(f"{s}_size") for s in ("train", "valid", "test")])

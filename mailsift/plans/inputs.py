@@ -31,11 +31,11 @@ def _ending(doc_id: Column) -> Column:
     return out
 
 
-def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(email_id, source_dataset, sender, subject, text, clean_text) of every document."""
+def as_mail(documents: DataFrame) -> DataFrame:
+    """(email_id, source_dataset, sender, subject, text, clean_text), batch or stream."""
     doc = F.col("doc_id")
     text = F.concat(F.col("text"), _ending(doc))
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         doc.cast("string").alias("email_id"),
         F.col("source").alias("source_dataset"),
         F.when(doc % 11 == 0, "").otherwise(
@@ -50,6 +50,11 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as mail."""
+    return as_mail(table(spark, sf_dir, "documents"))
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelled emails, with a split by hash bucket of the id."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("email_id"), F.col("toxic").alias("label"))

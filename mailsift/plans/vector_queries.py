@@ -91,19 +91,13 @@ def char_tfidf(spark, sf_dir):
     return _per_document(V.tfidf(counts, vocabulary))
 
 
-def _vector_rows(vectors, column: str):
-    """A vector column folded per document exactly as the long form is."""
-    values = vector_to_array(column)
-    return vectors.select("email_id", F.posexplode(values).alias("idx", "weight")).filter(F.col("weight") != 0)
-
-
 @query(with_views("emails", _PER_DOC, _WORD_ALL + ", " + sql_tfidf("counts", "vocabulary", "weights")))
 def word_vectors(spark, sf_dir):
     """The same word weights as sparse vectors, opened and folded per document."""
-    mail = emails(spark, sf_dir).select("email_id", "clean_text")
+    mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
     counts = V.word_counts(mail)
     vectors = V.vectoriser(V.fit_vocabulary(counts, mail)).transform(mail)
-    return _per_document(_vector_rows(vectors, "features"))
+    return _per_document(V.vector_entries(vectors, "features"))
 
 
 _TRAIN = "train AS (SELECT * FROM labelled WHERE split = 'train')"
@@ -176,7 +170,7 @@ _HYBRID_CTES = ", ".join([
 
 def _blocks(spark, sf_dir):
     """Mail with word vector, character vector and scaled features, and the two vocabularies."""
-    mail = emails(spark, sf_dir).select("email_id", "clean_text")
+    mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
     words, chars = (V.fit_vocabulary(counter(mail), mail) for counter in (V.word_counts, V.char_counts))
     rows = rounded(structured_features(mail, keep=("email_id", "clean_text")), *_RATIOS)
     rows = V.apply_scaler(rows, V.fit_scaler(rows), with_mean=False)
@@ -187,10 +181,10 @@ def _blocks(spark, sf_dir):
 @query(with_views("emails", _HYBRID_SQL, _HYBRID_CTES))
 def hybrid_block(spark, sf_dir):
     """Word, character and structured blocks side by side: entries and squared length."""
-    opened = V.hybrid(_blocks(spark, sf_dir)).select("email_id", vector_to_array("hybrid").alias("v"))
-    used = F.filter("v", lambda x: x != 0.0)
-    squares = F.aggregate(used, F.lit(0.0), lambda total, x: total + x * x)
-    return opened.select("email_id", F.size(used).cast("bigint").alias("values"), r6(squares).alias("squared"))
+    entries = V.vector_entries(V.hybrid(_blocks(spark, sf_dir)), "hybrid").filter(F.col("weight") != 0)
+    return entries.groupBy("email_id").agg(
+        F.count("*").alias("values"), r6(F.sum(F.col("weight") * F.col("weight"))).alias("squared")
+    )
 
 
 @query()
@@ -200,7 +194,7 @@ def svd_block(spark, sf_dir):
     The factorisation is iterative, so SQL has no twin; the test compares singular values and
     projections with a dense factorisation.
     """
-    mail = emails(spark, sf_dir).select("email_id", "clean_text")
+    mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
     vocabulary = V.fit_vocabulary(V.word_counts(mail), mail, max_features=50_000)
     vectors = V.vectoriser(vocabulary).transform(mail).select("email_id", "features")
     _, right = V.fit_svd(vectors, k=20)
@@ -238,6 +232,6 @@ def vector_round_trip(spark, sf_dir):
     path = scratch(spark, "vectors")
     vectors = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train)).transform(mail)
     vectors.select("email_id", "split", "features").write.partitionBy("split").parquet(path)
-    back = spark.read.parquet(path).select("split", F.filter(vector_to_array("features"), lambda x: x != 0.0).alias("v"))
-    sums = back.select("split", F.size("v").alias("n"), F.aggregate("v", F.lit(0.0), lambda t, x: t + x).alias("s"))
-    return sums.groupBy("split").agg(F.sum("n").alias("weights"), r6(F.sum("s")).alias("total"))
+    back = spark.read.parquet(path)
+    entries = V.vector_entries(back.withColumn("_key", F.struct("email_id", "split")), "features", key="_key")
+    return entries.groupBy("_key.split").agg(F.count("*").alias("weights"), r6(F.sum("weight")).alias("total"))

@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from mailsift.config import NB_ALPHA
 from mailsift.functions.probability import sigmoid
+from mailsift.session import materialise
 
 
 def fit_naive_bayes(weights: DataFrame, documents: DataFrame, alpha: float = NB_ALPHA) -> DataFrame:
     """(term, log_ratio, log_prior): the two-class model as one log ratio per term.
 
     ``weights`` is the long TF-IDF table of the training documents with ``label``; priors are
-    the unsmoothed class shares of ``documents``. One row per vocabulary term.
+    the unsmoothed class shares of ``documents``. The sums have one row per vocabulary term and
+    are written once.
     """
     is_spam = F.col("label") == 1
-    per_term = weights.groupBy("term").agg(
-        F.sum(F.when(~is_spam, F.col("weight")).otherwise(0.0)).alias("_w0"),
-        F.sum(F.when(is_spam, F.col("weight")).otherwise(0.0)).alias("_w1"),
+    per_term = materialise(
+        weights.groupBy("term").agg(
+            F.sum(F.when(~is_spam, F.col("weight")).otherwise(0.0)).alias("_w0"),
+            F.sum(F.when(is_spam, F.col("weight")).otherwise(0.0)).alias("_w1"),
+        )
     )
     totals = per_term.agg(
         F.struct(F.sum("_w0").alias("w0"), F.sum("_w1").alias("w1"), F.count("*").alias("terms"))

@@ -24,8 +24,12 @@ def class_weights(df: DataFrame) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, out: str = "weight") -> DataFrame:
-    """Rows with their class weight: as many broadcast rows as there are classes."""
-    return df.join(F.broadcast(class_weights(df).select("label", F.col("weight").alias(out))), "label")
+    """Rows with their balanced class weight, as an expression of the label."""
+    counts = class_counts(df)
+    weight = F.lit(None).cast("double")
+    for label, n in counts.items():
+        weight = F.when(F.col("label") == label, F.lit(sum(counts.values()) / (len(counts) * n))).otherwise(weight)
+    return df.withColumn(out, weight)
 
 
 def fit_logistic(df: DataFrame, weight: str | None = None, c: float = 1.0, features: str = "features") -> LogisticRegressionModel:
@@ -134,7 +138,7 @@ class SvmScorer:
             total = fit_rows.agg(F.sum(weight) if weight else F.count("*")).first()[0]
             learner = LinearSVC(
                 featuresCol="features", labelCol="label", regParam=1.0 / (c * total), standardization=False,
-                maxIter=200, tol=1e-6,
+                maxIter=100, tol=1e-6,
             )
             model = (learner.setWeightCol(weight) if weight else learner).fit(fit_rows)
             held_out = _margin(model, folded.filter(F.col("_fold") == fold), "margin")

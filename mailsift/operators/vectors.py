@@ -22,6 +22,7 @@ from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, MIN_DF, SVD_COMPONENTS, W
 from mailsift.functions.features import FEATURE_NAMES
 from mailsift.functions.patterns import SPACE, VECTOR_TOKEN
 from mailsift.functions.text import no_null
+from mailsift.session import materialise
 
 # ---- terms -------------------------------------------------------------------------------
 
@@ -106,19 +107,21 @@ def fit_vocabulary(
     """(term, idx, cf, df, idf): the most frequent terms that are in ``min_df`` documents or more.
 
     The cut is by corpus count, then by term; ``idx`` is alphabetical. At most
-    ``max_features`` rows, so the result may be broadcast and numbered in one window.
+    ``max_features`` rows, so the result may be broadcast and numbered in one window. It is
+    written once: every consumer reads the fitted rows and none counts the corpus again.
     """
     n_docs = documents.agg(F.count("*").alias("n")).scalar()
     stats = counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df")).filter(F.col("df") >= min_df)
     top = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
     alphabetical = Window.partitionBy(F.lit(0)).orderBy("term")
-    return top.select(
+    fitted = top.select(
         "term",
         (F.row_number().over(alphabetical) - 1).alias("idx"),
         "cf",
         "df",
         (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"),
     )
+    return materialise(fitted)
 
 
 def tfidf(counts: DataFrame, vocabulary: DataFrame, key: str = "email_id") -> DataFrame:
@@ -141,7 +144,7 @@ def vectoriser(
 
     The vocabulary is collected: it has at most ``max_features`` rows.
     """
-    terms = vocabulary.select("term", "idf").orderBy("idx").collect()
+    terms = sorted(vocabulary.select("idx", "term", "idf").collect())
     spark_terms, counts, weighted = f"_{out}_terms", f"_{out}_tf", f"_{out}_tfidf"
     if kind == "word":
         tokens, pairs = f"_{out}_tokens", f"_{out}_pairs"
@@ -192,15 +195,13 @@ def fit_scaler(df: DataFrame, columns: Sequence[str] = FEATURE_NAMES) -> DataFra
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, with_mean: bool = True, columns: Sequence[str] = FEATURE_NAMES) -> DataFrame:
-    """Columns replaced by their scaled values. The scaler is one scalar row in the plan."""
-    fitted = scaler.agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", F.struct("mean", "scale")))).alias("m")
-    ).scalar()
+    """Columns replaced by their scaled values; the scaler has one row per column and is collected."""
+    fitted = {row.feature: row for row in scaler.collect()}
     scaled = {}
     for c in columns:
         value = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-        shifted = value - fitted[c]["mean"] if with_mean else value
-        scaled[c] = shifted / fitted[c]["scale"]
+        shifted = value - F.lit(fitted[c].mean) if with_mean else value
+        scaled[c] = shifted / F.lit(fitted[c].scale)
     return df.withColumns(scaled)
 
 

@@ -17,6 +17,7 @@ from mailsift.plans.inputs import emails, labelled, with_views
 from mailsift.plans.registry import query, r6, rounded, s6, table
 from mailsift.plans.training import compare_imbalance, train_models
 from mailsift.plans.vector_queries import _TRAIN_FIT
+from mailsift.session import materialise
 from mailsift.streaming.scoring import mail_stream, score_stream
 
 # ---- naive Bayes in SQL ------------------------------------------------------------------
@@ -89,7 +90,8 @@ def _nb_bundle(spark, sf_dir, calibrator: dict | None = None) -> S.MailModel:
     """Vectoriser and naive Bayes fitted on the train split."""
     train = V.by_document(labelled(spark, sf_dir).filter(F.col("split") == "train"), "email_id", ("label",), "clean_text")
     features = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train))
-    return S.MailModel(features, linear.BayesScorer.fit(features.transform(train).select("features", "label")), calibrator or {})
+    vectors = materialise(features.transform(train).select("features", "label"))
+    return S.MailModel(features, linear.BayesScorer.fit(vectors), calibrator or {})
 
 
 _RISK_SQL = """CASE WHEN probability >= 0.84e0 THEN 1 ELSE 0 END AS pred,
@@ -279,7 +281,7 @@ def logistic_coefficients(spark, sf_dir):
     """The strongest logistic-regression coefficients of either sign."""
     train, _ = _train_valid(spark, sf_dir)
     features = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train))
-    weighted = linear.with_class_weight(features.transform(train).select("features", "label"))
+    weighted = linear.with_class_weight(materialise(features.transform(train).select("features", "label")))
     scorer = linear.LogisticScorer(linear.fit_logistic(weighted, weight="weight"))
     terms = next(s for s in features.stages if hasattr(s, "vocabulary")).vocabulary
     return explain.top_coefficients(linear.coefficient_table(spark, terms, scorer))

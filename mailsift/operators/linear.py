@@ -37,7 +37,7 @@ def fit_logistic(df: DataFrame, weight: str | None = None, c: float = 1.0, featu
     total = df.agg(F.sum(weight) if weight else F.count("*")).first()[0]
     learner = LogisticRegression(
         featuresCol=features, labelCol="label", regParam=1.0 / (c * total) if c else 0.0, elasticNetParam=0.0,
-        standardization=False, maxIter=100, tol=1e-8,
+        standardization=False, maxIter=100, tol=1e-6,
     )
     return (learner.setWeightCol(weight) if weight else learner).fit(df)
 
@@ -138,7 +138,7 @@ class SvmScorer:
             total = fit_rows.agg(F.sum(weight) if weight else F.count("*")).first()[0]
             learner = LinearSVC(
                 featuresCol="features", labelCol="label", regParam=1.0 / (c * total), standardization=False,
-                maxIter=50, tol=1e-6,
+                maxIter=50, tol=1e-4,
             )
             model = (learner.setWeightCol(weight) if weight else learner).fit(fit_rows)
             held_out = _margin(model, folded.filter(F.col("_fold") == fold), "margin")

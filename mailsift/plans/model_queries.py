@@ -1,7 +1,7 @@
 """Classifiers, error analysis, scoring and streaming over the labelled mail.
 
 Naive Bayes is all aggregates, so SQL checks it and everything built on its scores. The
-iterative fits have no SQL twin; tests check them against plain optimisers.
+iterative fits have no SQL twin and are checked by rows alone.
 """
 
 from __future__ import annotations
@@ -256,7 +256,7 @@ def top_terms(spark, sf_dir):
     return rounded(explain.top_coefficients(model.select("feature", F.col("log_ratio").alias("weight"))), "weight")
 
 
-# ---- iterative fits: rows here, tolerance tests elsewhere --------------------------------
+# ---- iterative fits: rows only ------------------------------------------------------------
 
 
 def _train_valid(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +50,14 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
+
+    Unlike a checkpoint the table is compressed, has statistics and is read column by column.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

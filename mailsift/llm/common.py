@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 NO_ID = (1 << 63) - 1  # rows without an id come after all others
 SLICE_CHARS = 4_000_000  # text handled at once inside a task
-BROADCAST_ROWS = 20_000  # a side is broadcast only if counted and not longer than this
+BROADCAST_ROWS = 100_000  # a side is broadcast only if counted and not longer than this
 
 
 def word_count(text: Column) -> Column:
@@ -28,9 +28,15 @@ def word_count(text: Column) -> Column:
     ).cast("long")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """UTF-8 words between the six ASCII white-space characters (what ``bytes.split`` takes)."""
-    return [] if text is None else text.encode("utf-8", "surrogatepass").split()
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """UTF-8 words between the six ASCII white-space characters, with A-Z lowered if asked for.
+
+    Both are what ``bytes`` methods do: they know no other white space and no other letters.
+    """
+    if text is None:
+        return []
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.lower() if lower else data).split()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -128,13 +134,16 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def chunk_numbers(df: DataFrame, group: str, order: list[str], size: int) -> DataFrame:
+def chunk_numbers(df: DataFrame, group: str, order: list[str], size: int, least: int = 1) -> DataFrame:
     """Add ``chunk`` (0, 1, ...) and ``chunks``: pieces of about ``size`` rows of each group, by hash.
 
+    Groups of fewer than ``least`` rows are left out: they hold no pair.
+
     The number of pieces comes from a count per group; rows are dealt by their hash, so no group
     is ever sorted or gathered to number its rows.
     """
-    counts = df.groupBy(group).agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias("chunks"))
+    counts = df.groupBy(group).agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias("chunks"), F.count("*").alias("_n"))
+    counts = counts.where(F.col("_n") >= least).drop("_n")
     return df.join(counts, group).withColumn("chunk", F.pmod(F.xxhash64(*order), F.col("chunks")).cast("int"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailsift.llm import mixing, ngram_join, pii
+from mailsift.llm import mixing, ngram_join, packing, pii, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,11 +21,19 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.result(_table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.result(_table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.result(_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.result(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_ngram_join, op10_pii)
+    f.__name__: f for f in (op2_mix_sources, op3_ngram_join, op5_best_fit_packing, op6_substring_dedup, op10_pii)
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE}

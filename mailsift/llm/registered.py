@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailsift.llm import mixing, ngram_join, packing, pii, substring_dedup
+from mailsift.llm import chat, embedding_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.result(_table(spark, sf_dir, "documents"))
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.result(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.result(_table(spark, sf_dir, "documents"))
 
@@ -29,11 +33,23 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.result(_table(spark, sf_dir, "documents"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.result(_table(spark, sf_dir, "conversations"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.result(_table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.result(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.result(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_ngram_join, op5_best_fit_packing, op6_substring_dedup, op10_pii)
+    f.__name__: f for f in (op2_mix_sources, op3_ngram_join, op4_topk_search, op5_best_fit_packing, op6_substring_dedup, op7_chat_formatting, op8_language_id, op9_embedding_dedup, op10_pii)
 }
-ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE, "op4_topk_search": topk_search.ORACLE, "op7_chat_formatting": chat.ORACLE}

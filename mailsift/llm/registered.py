@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailsift.llm import chat, embedding_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup, topk_search
+from mailsift.llm import chat, embedding_dedup, language_id, mixing, ngram_join, packing, pii, substring_dedup, token_counts, topk_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.result(_table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.result(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op3_ngram_join, op4_topk_search, op5_best_fit_packing, op6_substring_dedup, op7_chat_formatting, op8_language_id, op9_embedding_dedup, op10_pii)
+    f.__name__: f for f in (op1_token_counts, op2_mix_sources, op3_ngram_join, op4_topk_search, op5_best_fit_packing, op6_substring_dedup, op7_chat_formatting, op8_language_id, op9_embedding_dedup, op10_pii)
 }
 ORACLES: dict[str, str] = {"op2_mix_sources": mixing.ORACLE, "op4_topk_search": topk_search.ORACLE, "op7_chat_formatting": chat.ORACLE}

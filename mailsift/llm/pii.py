@@ -25,10 +25,11 @@ from mailsift.llm.common import written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# The patterns of the contract, with anchors that keep them linear.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+# The patterns of the contract, written for linear time and a flat stack: a repeated
+# group recurses in Java, so ``joints`` first marks the separators that may stand inside a match.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+\uE002-]))[A-Za-z0-9._%+\uE002-]++@[A-Za-z0-9-]++\uE002[A-Za-z0-9\uE002-]*+"
 IP = r"(?:\G|(?<![0-9]))[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
-CARD = r"[0-9]([\x20-]?[0-9])+"
+CARD = r"[0-9][0-9\uE000]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
 
@@ -52,6 +53,12 @@ def matches(text: Column, pattern: str) -> Column:
     return F.zip_with(starts, hits, lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("value")))
 
 
+def joints(text: Column, separator: str, around: str, mark: str) -> Column:
+    """The text with ``mark`` for every separator between two characters of a class; positions stay."""
+    free = F.translate(text, "\ue000\ue002", "\ue001\ue001")
+    return F.regexp_replace(free, f"(?<={around}){separator}(?={around})", mark)
+
+
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 
@@ -85,16 +92,19 @@ def base_spans(text: Column) -> Column:
     """array<struct<kind, start, end, value>> by kind as listed, then by start."""
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
     rules = (
-        ("email", EMAIL, None, F.contains(text, F.lit("@"))), ("ip", IP, _is_ip, F.rlike(text, F.lit(r"[0-9]\.[0-9]"))),
-        ("card", CARD, _is_card, F.rlike(text, F.lit("[0-9]"))), ("phone", PHONE, _is_phone, F.contains(text, F.lit("+"))),
+        ("email", joints(text, r"\.", "[A-Za-z0-9-]", "\ue002"), EMAIL, None, F.contains(text, F.lit("@"))),
+        ("ip", text, IP, _is_ip, F.rlike(text, F.lit(r"[0-9]\.[0-9]"))),
+        ("card", joints(text, r"[\x20-]", "[0-9]", "\ue000"), CARD, _is_card, F.rlike(text, F.lit("[0-9]"))),
+        ("phone", text, PHONE, _is_phone, F.contains(text, F.lit("+"))),
     )
 
-    def spans(kind, pattern, valid, possible) -> Column:
-        found = matches(text, pattern)
+    def spans(kind, searched, pattern, valid, possible) -> Column:
+        found = matches(searched, pattern)
         if valid:
             found = F.filter(found, lambda m: valid(m["value"]))
         named = F.transform(found, lambda m: F.struct(
-            F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")
+            F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"),
+            F.translate(m["value"], "\ue002\ue000", ".-").alias("value"),
         ))
         return F.when(possible, named).otherwise(none)
 

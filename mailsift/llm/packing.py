@@ -19,6 +19,7 @@ empty table gives none. Pieces are numbered from 0 and start at the ids before t
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +34,10 @@ END = 1
 TOKENIZER = "word_bpe_49k.json"
 CACHED_WORDS = 150_000  # words whose ids a worker keeps
 
+# What the tokenizer takes for white space; ``str.split`` also takes the four separators of ``ODD``.
+WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+ODD = re.compile("[\x1c-\x1f]")
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -47,11 +52,10 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, np.ndarray] = {}
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [t.split() for t in texts]
+        split = [WHITE.split(t) if ODD.search(t) else t.split() for t in texts]
         new = list({w for words in split for w in words if w not in self.known})
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known.clear()

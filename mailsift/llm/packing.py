@@ -32,7 +32,7 @@ from mailsift.llm.common import text_slices, written
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 150_000  # words whose ids a worker keeps
+CACHED_WORDS = 150_000  # words of a generation that a worker keeps
 
 # What the tokenizer takes for white space; ``str.split`` also takes the four separators of ``ODD``.
 WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -41,10 +41,19 @@ ODD = re.compile("[\x1c-\x1f]")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# Byte-level models name each byte by a character: printable ones by themselves, the others from 256 on.
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_NAMES = {b: b for b in SHOWN} | {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(SHOWN))}
+# A run of Latin-1 letters and a run of marks are pre-tokens of their own.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class WordIds:
     """Ids of a text, word by word: this tokenizer never joins what white space parts.
 
-    The ids of recent words are kept; new words of a batch are encoded together.
+    Recent words keep their ids in two generations: a word used again moves to the young one, and
+    when that is full it becomes the old one. A new word of plain letters goes straight to the
+    tokenizer's model, and what marks follow are looked up apart; any other is encoded as a text.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,21 +61,38 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
-        self.known: dict[str, np.ndarray] = {}
+        self.model = self.tokenizer.model
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _text(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _new(self, word: str) -> bytes:
+        found = SIMPLE.fullmatch(word)
+        if not found:
+            return self._text(word)
+        letters, marks = found.groups()
+        if marks:
+            return self._known(letters) + self._known(marks)
+        named = letters.lower().encode().decode("latin-1").translate(BYTE_NAMES)
+        return np.array([t.id for t in self.model.tokenize(named)], "<u4").tobytes()
+
+    def _known(self, word: str) -> bytes:
+        ids = self.young.get(word)
+        if ids is None:
+            ids = self.young[word] = self.old.get(word) or self._new(word)
+        return ids
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         split = [WHITE.split(t) if ODD.search(t) else t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = list({w for words in split for w in words})
-        for start in range(0, len(new), 5_000):
-            some = new[start : start + 5_000]
-            for word, encoding in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(encoding.ids, np.uint32)
-        get = self.known.__getitem__
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        for word in set().union(*split).difference(self.young):
+            self._known(word)
+        get, end = self.young.__getitem__, np.array([END], "<u4").tobytes()
         for words in split:
-            yield np.concatenate([*map(get, words), np.array([END], np.uint32)])
+            yield np.frombuffer(b"".join(map(get, words)) + end, "<u4")
 
 
 def _pieces(path: str, capacity: int):
@@ -78,7 +104,7 @@ def _pieces(path: str, capacity: int):
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of.encode(texts)):
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
-                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.astype("<u4").tobytes())))
+                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int32() if i == 1 else pa.int64()) for i, c in enumerate(columns)],

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,12 +47,24 @@ def letters_of(word: str) -> str:
     return "".join(c for c in word.lower() if c.isalpha()) if not word.isalpha() else word.lower()
 
 
+PLACES: dict[str, int] = {}  # of feature names, as far as they were met
+
+
+def _place(name: str) -> int:
+    place = PLACES.get(name)
+    if place is None:
+        if len(PLACES) > CACHED_WORDS:
+            PLACES.clear()
+        place = PLACES[name] = xxh3_64_intdigest(name) % FEATURES
+    return place
+
+
 def word_features(word: str, lexicon: frozenset[str] | set[str]) -> list[int]:
     """Hashed features: affixes of one to three letters, n-grams of one to three, and the word if known."""
-    names = [f"<{word[:k]}" for k in (1, 2, 3)] + [f"{word[-k:]}>" for k in (1, 2, 3)]
-    names += {word[i : i + k] for k in (1, 2, 3) for i in range(len(word) - k + 1)}
-    names.append(f"={word}" if word in lexicon else "=")
-    return [xxh3_64_intdigest(n) % FEATURES for n in names]
+    names = {word[i : i + k] for k in (1, 2, 3) for i in range(len(word) - k + 1)}
+    names.update(["<" + word[:1], "<" + word[:2], "<" + word[:3], word[-1:] + ">", word[-2:] + ">", word[-3:] + ">"])
+    names.add("=" + word if word in lexicon else "=")
+    return [PLACES[n] if n in PLACES else _place(n) for n in names]
 
 
 class Model:
@@ -66,7 +79,7 @@ class Model:
         """Score per word and language, each word once."""
         features = [word_features(w, self.lexicon) for w in words]
         sizes = np.array([len(f) for f in features])
-        flat = np.concatenate([np.array(f) for f in features]) if features else np.empty(0, int)
+        flat = np.fromiter(chain.from_iterable(features), np.int64, int(sizes.sum())) if features else np.empty(0, int)
         starts = np.cumsum(sizes) - sizes
         return np.add.reduceat(self.weights[flat], starts).astype(np.float64) / np.sqrt(sizes)[:, None] if len(flat) else np.empty((0, len(self.languages)))
 
@@ -165,18 +178,21 @@ class Labeller:
 
     def _codes(self, words: list[str]) -> np.ndarray:
         """Row of each word in ``scores``; -1 for a word without letters."""
-        new = {w for w in words if w not in self.rows}
-        if len(self.rows) + len(new) > CACHED_WORDS:
-            self.rows.clear()
-            self.scores = self.scores[:0]
-            new = set(words)
+        met = set(words)
+        new = met.difference(self.rows)
+        if len(self.rows) + len(new) > CACHED_WORDS:  # only the words at hand stay
+            kept = [w for w in met if w in self.rows]
+            places = np.array([self.rows[w] for w in kept], np.int64)
+            used = np.unique(places[places >= 0])
+            self.scores = self.scores[used]
+            self.rows = {w: int(np.searchsorted(used, p)) if p >= 0 else -1 for w, p in zip(kept, places.tolist())}
         if new:
             plain = {w: letters_of(w) for w in new}
-            some = [w for w, x in plain.items() if x]
+            some = list({x for x in plain.values() if x})
             start = len(self.scores)
-            self.scores = np.concatenate([self.scores, self.model.emissions([plain[w] for w in some])])
-            self.rows.update(zip(some, range(start, len(self.scores))))
-            self.rows.update((w, -1) for w, x in plain.items() if not x)
+            self.scores = np.concatenate([self.scores, self.model.emissions(some)])
+            place = dict(zip(some, range(start, len(self.scores)))) | {"": -1}
+            self.rows.update((w, place[x]) for w, x in plain.items())
         return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
     def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -185,8 +201,9 @@ class Labeller:
         owner = np.repeat(np.arange(len(texts)), [len(w) for w in split])
         owner, codes = owner[codes >= 0], codes[codes >= 0]
         total = np.zeros((len(texts), len(self.model.languages)))
-        for chain, marginal in self._marginals(owner, codes):
-            np.add.at(total, chain, marginal)
+        for whose, marginal in self._marginals(owner, codes):
+            heads = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
+            total[whose[heads]] = np.add.reduceat(marginal, heads)
         count = np.bincount(owner, minlength=len(texts))
         mean = total / np.maximum(count, 1)[:, None]
         best = mean.argmax(1)

@@ -10,9 +10,11 @@ hash of its ``MER``-word runs; consecutive windows with the same minimiser form
 3. Documents with such super-k-mers send them, each as one packed string of its words, to the bucket
    of their minimiser. A task sorts its bucket and ranks the windows by their words, exactly, by
    prefix doubling; windows whose words start in a document with a smaller id are reported as spans.
-4. A minimiser with more than ``HOT`` super-k-mers is not gathered. Its windows become rows of
-   their own with a 128-bit digest; the smallest id per digest is a ``min`` aggregate that combines
-   before the shuffle, and a join that adaptive execution may split brings it back.
+   Equal packed strings need no bucket: the smallest id per string is a ``min`` aggregate that
+   combines before its shuffle, every larger id loses all windows of the string, and only the
+   strings of the smallest id travel on.
+4. A minimiser that still has more than ``HOT`` super-k-mers is not gathered. Its windows become rows
+   of their own with a 128-bit digest, and the smallest id per digest is found in the same way.
 
 Defined results: null and empty texts have no words; a text of fewer than ``WINDOW`` words keeps all
 of them; rows with equal ids never remove words from each other; a null id counts as larger than
@@ -33,12 +35,13 @@ from mailsift.llm.common import NO_ID, gram_hashes, small_side, text_slices, who
 
 WINDOW = 50
 MER = 8
-HOT = 500
+HOT = 2000
 
 SCANNED = (
     "id long, digest string, n_words long, kept_sha256 string, minimisers array<long>, starts array<int>, counts array<int>"
 )
-CUT = "minimiser long, id long, digest string, start int, packed binary, high long, low long"
+CUT = "minimiser long, id long, digest string, start int, count int, packed binary"
+SINGLE = "id long, digest string, start int, high long, low long"
 
 
 def super_kmers(words: list[bytes], window: int = WINDOW, mer: int = MER) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,36 +83,43 @@ def _scan(window: int, mer: int):
     return run
 
 
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], names=[n for n, _ in fields])
+
+
 def _cut(window: int):
-    """Documents with their shared super-k-mers -> packed strings, and digests of single windows where hot."""
+    """Documents with their shared super-k-mers -> one packed string for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             rows: list[tuple] = []
             for id_, digest, text, parts in zip(*(batch.column(c).to_pylist() for c in ("id", "digest", "text", "parts"))):
                 words = words_of(text)
-                high = low = None
                 for part in parts:
                     start, count = part["start"], part["count"]
-                    if not part["hot"]:
-                        packed = b" ".join(words[start : start + count + window - 1])
-                        rows.append((part["minimiser"], id_, digest, start, packed, None, None))
-                        continue
-                    if high is None:
-                        hashes = word_hashes(words)
-                        high, low = gram_hashes(hashes, window).view(np.int64), gram_hashes(hashes, window, 0xD1342543DE82EF95).view(np.int64)
-                    rows += [
-                        (part["minimiser"], id_, digest, i, None, int(high[i]), int(low[i])) for i in range(start, start + count)
-                    ]
+                    rows.append((part["minimiser"], id_, digest, start, count, b" ".join(words[start : start + count + window - 1])))
                 if len(rows) > 20_000:
-                    yield _rows(rows)
+                    yield _batch(rows, CUT)
                     rows = []
-            yield _rows(rows)
+            yield _batch(rows, CUT)
+
+    return run
+
 
-    def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) if rows else [()] * 7
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in CUT.split(", ")])
+def _windows(window: int):
+    """Packed strings -> a 128-bit digest of each of their windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for id_, digest, start, packed in zip(*(batch.column(c).to_pylist() for c in ("id", "digest", "start", "packed"))):
+                hashes = word_hashes(packed.split(b" "))
+                high, low = gram_hashes(hashes, window).view(np.int64), gram_hashes(hashes, window, 0xD1342543DE82EF95).view(np.int64)
+                rows += [(id_, digest, start + i, h, l) for i, (h, l) in enumerate(zip(high.tolist(), low.tolist()))]
+            yield _batch(rows, SINGLE)
 
     return run
 
@@ -200,31 +210,40 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, mer: int = MER, hot: int
         "id", "digest", F.col("p.minimisers").alias("minimiser"), F.col("p.starts").alias("start"), F.col("p.counts").alias("count")
     )
     shared = (
-        parts.groupBy("minimiser").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.count("*").alias("n"))
-        .where("least < most").select("minimiser", (F.col("n") > hot).alias("hot"))
+        parts.groupBy("minimiser").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+        .where("least < most").select("minimiser")
     )
     by_doc = (
         parts.join(shared, "minimiser").groupBy(F.col("id").alias("of"), F.col("digest").alias("as"))
-        .agg(F.collect_list(F.struct("minimiser", "start", "count", "hot")).alias("parts"))
+        .agg(F.collect_list(F.struct("minimiser", "start", "count")).alias("parts"))
     )
     candidates = written(
         keyed.join(by_doc.hint("shuffle_hash"), (F.col("id") == F.col("of")) & (F.col("digest") == F.col("as")))
         .select("id", "digest", "text", "parts"), "substring-candidates",
     )
-    cut = written(candidates.mapInArrow(_cut(window), CUT), "substring-cut")
+    cut = written(candidates.mapInArrow(_cut(window), CUT).withColumn("mark", F.md5("packed")), "substring-cut")
+    marks = cut.groupBy(F.col("mark").alias("m")).agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    copied = cut.select("mark", "id", "digest", "start", "count").join(marks.where("least < most"), F.col("mark") == F.col("m"))
+    copied_spans = copied.where("id > least").select(
+        "id", "digest", F.col("start").alias("first"), (F.col("start") + F.col("count") + window - 1).alias("last")
+    )
+    first = cut.join(marks.withColumnRenamed("least", "l"), (F.col("mark") == F.col("m")) & (F.col("id") == F.col("l")))
+    first = written(first.select("minimiser", "id", "digest", "start", "packed"), "substring-first")
+    busy = first.groupBy(F.col("minimiser").alias("b")).agg(F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most"))
+    busy = written(busy.where("least < most").select("b", (F.col("n") > hot).alias("hot")), "substring-busy")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = cut.where("packed is not null").select("minimiser", "id", "digest", "start", "packed")
-    spans = packed.repartition(tasks, "minimiser").sortWithinPartitions("minimiser").mapInArrow(
+    met = first.join(small_side(busy), F.col("minimiser") == F.col("b")).select("minimiser", "id", "digest", "start", "packed", "hot")
+    spans = met.where("not hot").repartition(tasks, "minimiser").sortWithinPartitions("minimiser").mapInArrow(
         _count(window), "id long, digest string, first int, last int"
     )
-    single = cut.where("packed is null").select("id", "digest", "start", "high", "low")
+    single = met.where("hot").mapInArrow(_windows(window), SINGLE)
     least = single.groupBy(F.col("high").alias("h"), F.col("low").alias("l")).agg(F.min("id").alias("least"), F.max("id").alias("most"))
     hot_spans = (
         single.join(least.where("least < most"), (F.col("high") == F.col("h")) & (F.col("low") == F.col("l")))
         .where("least < id").select("id", "digest", F.col("start").alias("first"), (F.col("start") + window).alias("last"))
     )
     removed = written(
-        spans.union(hot_spans).groupBy(F.col("id").alias("of"), F.col("digest").alias("as"))
+        spans.union(hot_spans).union(copied_spans).groupBy(F.col("id").alias("of"), F.col("digest").alias("as"))
         .agg(F.collect_set(F.struct("first", "last")).alias("spans")), "substring-spans",
     )
     changed = (

@@ -93,8 +93,14 @@ def class_counts(df: DataFrame, label: str = "label") -> dict:
 
 
 def sample_classes(df: DataFrame, sizes: Mapping[int, int], seed: int = SEED, key: str = "email_id") -> DataFrame:
-    """Exactly ``sizes[label]`` rows per class without replacement; an error if a class is short."""
+    """Exactly ``sizes[label]`` rows per class without replacement; an error if a class is short.
+
+    Rows that share a key would share their fate and spoil the sizes, so repeated keys are an error.
+    """
     counts = class_counts(df)
+    repeated = df.filter(F.col("label").isin(*sizes)).groupBy("label", key).count().filter("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{key} {repeated[0][key]!r} is repeated: an exact sample needs unique keys.")
     short = {label: counts.get(label, 0) for label, size in sizes.items() if counts.get(label, 0) < size}
     if short:
         raise ValueError(f"Not enough rows per class: wanted {dict(sizes)}, found {short}.")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mailsift.functions import patterns as P
+from mailsift.functions.text import strip
 
 # Header aliases of the two kinds of labelled table.
 LABELLED_MAIL_ROLES = {
@@ -115,8 +116,8 @@ def read_labelled_tables(
 
 
 def label_of(word: Column) -> Column:
-    """1, 0 or null for the published label words."""
-    plain = F.lower(F.trim(word.cast("string")))
+    """1, 0 or null for the published label words; any white space around a word is ignored."""
+    plain = F.lower(strip(word.cast("string")))
     return F.when(plain.isin(*P.TRUE_LABELS), F.lit(1)).when(plain.isin(*P.FALSE_LABELS), F.lit(0))
 
 

@@ -72,3 +72,16 @@ def test_empty_test_split_has_no_leakage(spark):
     rows = groups(spark, 3, 0).withColumn("split", F.lit("train"))
     assert curate.leakage(rows).first()["rate"] == 0.0
     assert audit.md5_overlap(rows.withColumn("clean_text", F.lit("x"))).first()["rate"] == 0.0
+
+
+def test_exact_sample_refuses_repeated_keys(spark):
+    rows = spark.createDataFrame([(str(i % 9), i % 2) for i in range(18)], "email_id string, label int")
+    with pytest.raises(ValueError, match="repeated"):
+        curate.sample_classes(rows.union(rows), {0: 2, 1: 2})
+
+
+def test_label_words_with_any_white_space(spark):
+    from mailsift.sources import tables
+
+    words = spark.createDataFrame([("spam\t",), ("1\n",), ("\u00a0ham",), (" no such",)], "word string")
+    assert [r[0] for r in words.select(tables.label_of(words["word"])).collect()] == [1, 1, 0, None]

@@ -111,6 +111,20 @@ def sample_classes(df: DataFrame, sizes: Mapping[int, int], seed: int = SEED, ke
     return named.filter("_slice = 'sample'").drop("_slice")
 
 
+def stratified_folds(df: DataFrame, folds: int, seed: int = SEED, key: str = "email_id", out: str = "_fold") -> DataFrame:
+    """Rows with their fold, 0 to ``folds`` - 1: every class is cut into folds of equal size, to one row.
+
+    Rows that share a key share a fold. A class with fewer rows than folds is an error.
+    """
+    counts = class_counts(df)
+    short = {label: n for label, n in counts.items() if n < folds}
+    if short:
+        raise ValueError(f"Classes with fewer rows than {folds} folds: {short}.")
+    cuts = {label: [(str(i), n * (i + 1) // folds) for i in range(folds)] for label, n in counts.items()}
+    bounds = _boundaries(df, "label", key, cuts, f"fold-{seed}")
+    return apply_boundaries(df, bounds, "label", key, f"fold-{seed}", out).withColumn(out, F.col(out).cast("int"))
+
+
 def shuffle_rows(df: DataFrame, seed: int = SEED, key: str = "email_id") -> DataFrame:
     """A seeded order as a range-partitioned sort; ask for it only where order is output."""
     return df.orderBy(hash32(f"shuffle-{seed}", F.col(key)), key)

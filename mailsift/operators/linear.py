@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
@@ -10,10 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.config import NB_ALPHA, SEED
 from mailsift.functions.probability import sigmoid
-from mailsift.functions.text import hash32
-from mailsift.operators.curate import class_counts
+from mailsift.operators.curate import class_counts, stratified_folds
 
 FOLDS = 3
+LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 2000, 1e-10
+SVM_ITERATIONS, SVM_TOLERANCE = 1000, 1e-6
+
+
+def _unfinished(summary, max_iter: int, what: str) -> str | None:
+    """What to say of a fit that stopped at its iteration limit."""
+    return f"{what} did not converge in {max_iter} iterations: raise max_iter or tol." if summary.totalIterations >= max_iter else None
 
 
 def class_weights(df: DataFrame) -> DataFrame:
@@ -32,14 +39,23 @@ def with_class_weight(df: DataFrame, out: str = "weight") -> DataFrame:
     return df.withColumn(out, weight)
 
 
-def fit_logistic(df: DataFrame, weight: str | None = None, c: float = 1.0, features: str = "features") -> LogisticRegressionModel:
-    """L2 logistic regression with inverse strength ``c``; the intercept is not penalised."""
+def fit_logistic(
+    df: DataFrame, weight: str | None = None, c: float = 1.0, features: str = "features",
+    max_iter: int = LOGISTIC_ITERATIONS, tol: float = LOGISTIC_TOLERANCE,
+) -> LogisticRegressionModel:
+    """L2 logistic regression with inverse strength ``c``; the intercept is not penalised.
+
+    A fit that reaches ``max_iter`` before the relative tolerance ``tol`` is an error.
+    """
     total = df.agg(F.sum(weight) if weight else F.count("*")).first()[0]
     learner = LogisticRegression(
         featuresCol=features, labelCol="label", regParam=1.0 / (c * total) if c else 0.0, elasticNetParam=0.0,
-        standardization=False, maxIter=100, tol=1e-6,
+        standardization=False, maxIter=max_iter, tol=tol,
     )
-    return (learner.setWeightCol(weight) if weight else learner).fit(df)
+    model = (learner.setWeightCol(weight) if weight else learner).fit(df)
+    if said := _unfinished(model.summary, max_iter, "Logistic regression"):
+        raise RuntimeError(said)
+    return model
 
 
 def fit_platt(df: DataFrame, margin: str = "margin", weight: str | None = None) -> dict[str, float]:
@@ -120,27 +136,32 @@ class BayesScorer:
 
 @dataclass
 class SvmScorer:
-    """Linear support vector machines of three folds, each with its own sigmoid; scores averaged.
+    """Linear support vector machines of three stratified folds, each with its own sigmoid; scores averaged.
 
     Spark's loss is the hinge, not its square, so scores are close to the published ones and
-    not equal.
+    not equal. A fit that reaches ``max_iter`` warns: the hinge has kinks at which steps get small.
     """
 
     models: list[LinearSVCModel]
     sigmoids: list[dict[str, float]]
 
     @staticmethod
-    def fit(df: DataFrame, weight: str | None = None, key: str = "email_id", seed: int = SEED, c: float = 1.0) -> "SvmScorer":
-        folded = df.withColumn("_fold", F.pmod(hash32(f"fold-{seed}", F.col(key)), F.lit(FOLDS)))
+    def fit(
+        df: DataFrame, weight: str | None = None, key: str = "email_id", seed: int = SEED, c: float = 1.0,
+        max_iter: int = SVM_ITERATIONS, tol: float = SVM_TOLERANCE,
+    ) -> "SvmScorer":
+        folded = stratified_folds(df, FOLDS, seed, key)
         models, sigmoids = [], []
         for fold in range(FOLDS):
             fit_rows = folded.filter(F.col("_fold") != fold)
             total = fit_rows.agg(F.sum(weight) if weight else F.count("*")).first()[0]
             learner = LinearSVC(
                 featuresCol="features", labelCol="label", regParam=1.0 / (c * total), standardization=False,
-                maxIter=50, tol=1e-4,
+                maxIter=max_iter, tol=tol,
             )
             model = (learner.setWeightCol(weight) if weight else learner).fit(fit_rows)
+            if said := _unfinished(model.summary(), max_iter, "The support vector machine"):
+                warnings.warn(said, stacklevel=2)
             held_out = _margin(model, folded.filter(F.col("_fold") == fold), "margin")
             models.append(model)
             sigmoids.append(fit_platt(held_out, "margin", weight))

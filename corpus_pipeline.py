@@ -15,7 +15,6 @@ from mailsift.session import checkpoint_dir
 
 LEAST_SCORE = 0.4  # a document in which no language is this likely on average is rejected
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 8, 10  # five words, similarity of 0.8 or more
-EXPECTED = 10.0  # equal fragments at the threshold, see ngram_join
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +28,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id."""
-    return ngram_join.deduplicated(docs, n=SHINGLE, numerator=NUMERATOR, denominator=DENOMINATOR, expected=EXPECTED)
+    return ngram_join.deduplicated(docs, n=SHINGLE, numerator=NUMERATOR, denominator=DENOMINATOR)
 
 
 def sanitise_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

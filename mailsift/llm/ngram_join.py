@@ -221,8 +221,8 @@ def join(
     Without ``expected`` no link is lost. With it, sets of more than some 60 n-grams sign fewer and
     longer fragments, so that at the threshold ``expected`` of them are equal on average, and larger
     sets count as candidates from two or three equal fragments on: this keeps documents that share
-    passages apart where the threshold is low, and loses a pair at the threshold with a
-    probability of about ``exp(-expected)`` times a small polynomial.
+    passages apart where the threshold is low, and loses pairs near the threshold. Fragments are
+    counted per smallest class, not per pair, so texts made of shared passages lose the most.
     """
     numbered = docs.select(
         F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"),

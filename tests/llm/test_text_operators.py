@@ -11,6 +11,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from mailsift.llm import language_id, mixing, ngram_join, packing, pii, substring_dedup, token_counts
 
 DOCS = "doc_id long, text string, lang string, source string, size int"
@@ -80,6 +81,68 @@ def test_ngram_join_finds_every_link(frame, n, numerator, denominator):
     assert sorted((r["id"], r["n_shingles"], r["component_id"]) for r in got) == want
 
 
+def crowded_pair(rng, bounds=(64, 97), others=12):
+    """Two texts at the threshold, and texts that each hold all of one long fragment that the two share."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    words = [word() for _ in range(295)]
+    near = list(words)
+    for at in range(30, 280, 44):
+        near[at] = word()
+    texts = [words, near]
+    for most in bounds:
+        texts += crowd(words, near, word, ngram_join.fragment_count(most, 10.0), others)
+    return texts
+
+
+def crowd(words, near, word, fragments, others):
+    place = lambda gram: ((int(ngram_join.shingle_set([w.encode() for w in gram], 5)[0]) >> 32) * fragments) >> 32
+    held = [defaultdict(set), defaultdict(set)]
+    for out, text in zip(held, (words, near)):
+        for at in range(len(text) - 4):
+            out[place(text[at : at + 5])].add(tuple(text[at : at + 5]))
+    texts = []
+    for at in [p for p, grams in held[0].items() if grams == held[1][p]]:
+        for _ in range(others):
+            text = []
+            for gram in sorted(held[0][at]):
+                while True:
+                    trial = text + [word() for _ in range(8)] + list(gram)
+                    new = range(max(0, len(text) - 4), len(trial) - 5)
+                    if all(place(trial[i : i + 5]) != at for i in new):
+                        break
+                text = trial
+            while len(text) < 250:
+                trial = text + [word()]
+                text = trial if place(trial[-5:]) != at else text
+            texts.append(text)
+    return texts
+
+
+def test_pipeline_stage_finds_pairs_at_the_threshold_amid_shared_lines(spark, frame):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    pool = [[word() for _ in range(10)] for _ in range(40)]
+    texts = [[w for line in rng.choices(pool, k=20) for w in line] for _ in range(100)]
+    for words in texts[:50]:
+        near, grams = list(words), sets(" ".join(words), 5)
+        for at in rng.sample(range(len(near)), len(near)):
+            trial = near[:at] + [word()] + near[at + 1 :]
+            other = sets(" ".join(trial), 5)
+            if 10 * len(grams & other) < 8 * len(grams | other):
+                break
+            near = trial
+        texts.append(near)
+    texts += crowded_pair(rng)
+    rows = [(i, " ".join(t), None, None, 0) for i, t in enumerate(texts)]
+    grams = [sets(t, 5) for _, t, *_ in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 10 * len(grams[i] & grams[j]) >= 8 * len(grams[i] | grams[j])]
+    first: dict[int, int] = {}
+    for i, root in enumerate(roots(len(rows), links)):
+        first.setdefault(root, i)
+    kept = corpus_pipeline.drop_near_duplicates(spark, frame(rows, DOCS), "").collect()
+    assert len(links) >= 51 and sorted(r["doc_id"] for r in kept) == sorted(first.values())
+
+
 def test_deduplicated_keeps_one_of_each_group(frame):
     rows = corpus()
     got = ngram_join.deduplicated(frame(rows, DOCS), n=3, numerator=9, denominator=10)

@@ -1,14 +1,17 @@
-"""Personal data: fixed patterns, and neighbouring words that give the protected values away (native).
+"""Personal data: fixed patterns, and words that give the protected values away (native).
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Each base value is a
 protected entity. The corpus then tells how strongly a word reveals an entity: with documents as
 the unit, ``pmi(entity, term) = log2(n(entity, term) * n / (n(entity) * n(term)))`` is the
 information that the term gives about the entity, and ``ic(entity) = log2(n / n(entity))`` is all
-there is to know. A word in the neighbourhood of an entity is sanitised where ``pmi`` reaches
-``DISCLOSURE`` times ``ic``: removed where it reaches ``REMOVAL`` times, generalised to a
-placeholder below that. Pairs seen in fewer than ``SUPPORT`` documents are no estimate and stay.
-
-Documents without a base span keep their text untouched. Positions are code points: Java's
+there is to know. A word of the entity's documents, wherever it stands in them, reveals it where
+``pmi`` reaches ``DISCLOSURE`` times ``ic``. Every occurrence of a revealing word in every text is
+sanitised, in documents without the entity too: removed where ``pmi`` reaches ``REMOVAL`` times ``ic``
+for some entity, generalised to a placeholder below that. Pairs seen in fewer than ``SUPPORT``
+documents are no estimate and stay. Words are whole runs of letters, in lower case; what overlaps with
+a base span is no word.
+
+Positions are code points: Java's
 ``split`` and ``regexp_extract_all`` walk through the same matches, so the lengths of gaps and hits
 give every start. Patterns that begin with a run of characters start only where the run starts or
 the last match ended, which finds the same matches in linear time.
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mailsift.llm.common import written
+from mailsift.llm.common import small_side, written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -33,7 +36,8 @@ CARD = r"[0-9][0-9\uE000]++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
 
-CONTEXT = 64  # code points on each side of an entity
+MASK = "\ue003"  # stands for a base span
+LETTERS = r"\p{L}+"
 SHORTEST = 4  # letters of a term
 SUPPORT = 3  # documents that a pair needs
 DISCLOSURE, REMOVAL = 0.9, 0.98
@@ -111,93 +115,117 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[spans(*rule) for rule in rules])
 
 
-def neighbours(text: Column, spans: Column) -> Column:
-    """array<struct<entity, term, start, end>>: the words around each span that no span covers.
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with each of the sorted spans (start, back, by) replaced, unless an earlier one reaches into it."""
+    done = F.aggregate(
+        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], -s["back"]).alias("at"),
+            F.when(s["start"] >= acc["at"], F.array_append(F.array_append(
+                acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])), s["by"])).otherwise(acc["out"]).alias("out"),
+        ),
+    )
+    return F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.lit(2**31 - 1)))
 
-    A word cut by the border of the neighbourhood is no term.
-    """
 
-    def around(span: Column) -> Column:
-        low = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        left = F.substring(text, low + 1, span["start"] - low)
-        right = F.substring(text, span["end"] + 1, F.lit(CONTEXT))
-
-        def terms(part: Column, offset: Column, keep) -> Column:
-            found = F.filter(matches(part, r"\p{L}+"), lambda m: (m["end"] - m["start"] >= SHORTEST) & keep(m))
-            return F.transform(found, lambda m: F.struct(
-                F.concat(span["kind"], F.lit(":"), F.lower(span["value"])).alias("entity"), F.lower(m["value"]).alias("term"),
-                (m["start"] + offset).alias("start"), (m["end"] + offset).alias("end"),
-            ))
-
-        return F.concat(
-            terms(left, low, lambda m: (m["start"] > 0) | (low == 0)),
-            terms(right, span["end"], lambda m: m["end"] < CONTEXT),
-        )
+def words(text: Column) -> Column:
+    """The distinct words of a text, without those that touch a ``MASK``."""
+    found = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}{MASK}])\p{{L}}{{{SHORTEST},}}+(?!{MASK})"), F.lit(0))
+    return F.array_distinct(F.transform(found, F.lower))
+
+
+def masked(text: Column, base: Column) -> Column:
+    """The text with one ``MASK`` for every base span."""
+    free = F.translate(text, MASK, "\ue001")
+    return _replaced(free, F.array_sort(F.transform(base, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(MASK).alias("by")))))
+
+
+def occurrences(text: Column, base: Column, held: Column) -> Column:
+    """array<struct<start, end, remove>>: where the ``held`` words stand in the text, outside of base spans."""
+    hits = F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))
+    steps = F.arrays_zip(F.slice(F.split(text, LETTERS, -1), F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["hit"])
+        covered = F.exists(base, lambda s: (start < s["end"]) & (end > s["start"]))
+        # Only what is found is appended: a long text does not copy an array for every word.
+        same = F.transform(F.filter(held, lambda h: h["term"] == F.lower(x["hit"])), lambda h: F.struct(
+            start.alias("start"), end.alias("end"), h["remove"].alias("remove")))
+        more = F.when((F.size(same) > 0) & ~covered, F.concat(acc["out"], same)).otherwise(acc["out"])
+        return F.struct(end.alias("at"), more.alias("out"))
 
-    free = lambda t: ~F.exists(spans, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"]))
-    return F.filter(F.flatten(F.transform(spans, around)), free)
+    none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
+    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return F.when(F.size(held) > 0, found).otherwise(none)
 
 
 def revealing_terms(
-    near: DataFrame, texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, removal: float = REMOVAL,
+    rows: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE, removal: float = REMOVAL,
 ) -> DataFrame:
-    """(entity, term, remove) of the pairs whose information reaches the threshold.
+    """(_term, _remove) of the words whose information about some entity reaches the threshold.
 
-    ``near`` has ``near``, the neighbours of each document; ``texts`` has every document's ``text``.
-    Counts are of documents, over the whole table; every count combines before its shuffle.
+    ``rows`` has ``number``, ``row`` and ``base`` of every document. Counts are of documents, over the
+    whole table; every count combines before its shuffle. A word of too many documents to reach the
+    threshold for an entity is left out before pairs are counted, which changes no result.
     """
-    pairs = (
-        near.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"], x["term"])))).alias("p"))
-        .groupBy("p.entity", "p.term").agg(F.count("*").alias("both"))
-    )
-    entities = (
-        near.select(F.explode(F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))).alias("of"))
-        .groupBy("of").agg(F.count("*").alias("n_entity"))
+    of = F.array_distinct(F.transform("base", lambda s: F.concat(s["kind"], F.lit(":"), F.lower(s["value"]))))
+    holders = rows.where(F.size("base") > 0)
+    single = holders.select("number", F.explode(of).alias("entity"))
+    entities = written(
+        single.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+        .withColumnRenamed("entity", "_entity"), "pii-entities",
     )
-    candidates = written(
-        pairs.where(F.col("both") >= support).join(entities, F.col("entity") == F.col("of")).select("entity", "term", "both", "n_entity"),
-        "pii-candidates",
+    n = rows.select(F.count("row.text").cast("double").alias("n")).first()["n"]
+    top = entities.agg(F.max("n_entity").alias("top")).first()["top"] or 0
+    # From pmi >= disclosure * ic and both <= n_entity; a little slack for rounding.
+    most = lambda count: count * F.pow(F.lit(n) / count, F.lit(1 - disclosure)) * (1 + 1e-9)
+    limit = top if n <= top or not top else top * (n / top) ** (1 - disclosure) * (1 + 1e-9)
+    terms = written(
+        rows.select(F.explode(words(F.coalesce("row.text", F.lit("")))).alias("word"))
+        .groupBy("word").agg(F.count("*").alias("n_term")).where(F.col("n_term").between(support, limit)), "pii-words",
     )
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    terms = (
-        texts.select(F.explode(words).alias("word")).where(F.length("word") >= SHORTEST)
-        .groupBy("word").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= support)
+    near = (
+        holders.select("number", F.explode(words(masked(F.coalesce("row.text", F.lit("")), F.col("base")))).alias("term"))
+        .join(small_side(terms), F.col("term") == F.col("word")).select(F.col("number").alias("_number"), "term", "n_term")
     )
-    total = texts.select(F.count("*").cast("double").alias("n"))
-    known = F.log2(F.col("n") / F.col("n_entity"))
-    told = F.log2(F.col("both") * F.col("n") / (F.col("n_entity") * F.col("n_term")))
-    rows = candidates.join(terms, F.col("term") == F.col("word"))
-    rows = rows.withColumn("n", F.lit(total.first()["n"]))
-    return rows.where((known > 0) & (told >= F.lit(disclosure) * known)).select(
-        F.col("entity").alias("_entity"), F.col("term").alias("_term"), (told >= F.lit(removal) * known).alias("_remove")
+    pairs = (
+        single.join(small_side(entities), F.col("entity") == F.col("_entity")).drop("_entity")
+        .join(near, F.col("number") == F.col("_number")).where(F.col("n_term") <= most(F.col("n_entity")))
+        .groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     )
+    known = F.log2(F.lit(n) / F.col("n_entity"))
+    told = F.log2(F.col("both") * F.lit(n) / (F.col("n_entity") * F.col("n_term")))
+    told_enough = pairs.where((known > 0) & (told >= F.lit(disclosure) * known))
+    return told_enough.groupBy(F.col("term").alias("_term")).agg(F.max(told >= F.lit(removal) * known).alias("_remove"))
 
 
 def find(docs: DataFrame, **thresholds) -> DataFrame:
     """(row, base, added): every row of ``docs`` as a struct, its base spans and the spans of revealing terms.
 
-    ``added`` is array<struct<start, end, remove>>, by start. Only documents with base spans are
-    written and joined; all others pass straight through.
+    ``added`` is array<struct<start, end, remove>>, by start. The rows are written once with their base
+    spans; words meet the revealing terms by a join, and only texts that hold one are searched again.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), base_spans(text).alias("base"))
-    plain = rows.where(F.size("base") == 0).select(
-        "row", "base", F.array().cast("array<struct<start:int,end:int,remove:boolean>>").alias("added")
-    )
-    found = rows.where(F.size("base") > 0).withColumn("near", neighbours(F.coalesce("row.text", F.lit("")), F.col("base")))
-    found = written(found.withColumn("number", F.monotonically_increasing_id()), "pii-found")
-    terms = written(revealing_terms(found.select("base", "near"), docs.select("text").where("text is not null"), **thresholds), "pii-terms")
-    near = found.select("number", F.explode("near").alias("x")).select("number", "x.*")
-    added = (
-        near.join(terms, (F.col("entity") == F.col("_entity")) & (F.col("term") == F.col("_term")))
-        .groupBy("number", "start", "end").agg(F.max("_remove").alias("remove"))
-        .groupBy(F.col("number").alias("_number"))
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end", "remove"))).alias("more"))
-    )
-    full = found.join(added, F.col("number") == F.col("_number"), "left").select(
-        "row", "base", F.coalesce("more", F.array().cast("array<struct<start:int,end:int,remove:boolean>>")).alias("added")
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), base_spans(F.coalesce(F.col("text"), F.lit(""))).alias("base"))
+    rows = written(rows.withColumn("number", F.monotonically_increasing_id()), "pii-found")
+    terms = written(revealing_terms(rows, **thresholds), "pii-terms")
+    held = written(
+        rows.select(F.col("number").alias("_number"), F.explode(words(text)).alias("word"))
+        .join(small_side(terms), F.col("word") == F.col("_term"))
+        .groupBy("_number").agg(F.collect_list(F.struct(F.col("word").alias("term"), F.col("_remove").alias("remove"))).alias("held")),
+        "pii-held",
     )
-    return plain.union(full)
+    nothing = F.array().cast("array<struct<term:string,remove:boolean>>")
+    held = small_side(held)
+
+    def full(some: DataFrame) -> DataFrame:
+        return some.join(held, F.col("number") == F.col("_number"), "left").select(
+            "row", "base", occurrences(text, F.col("base"), F.coalesce("held", nothing)).alias("added")
+        )
+
+    return full(rows.where(F.size("base") == 0)).union(full(rows.where(F.size("base") > 0)))  # without base spans first
 
 
 def _listed(spans: Column) -> Column:
@@ -216,15 +244,7 @@ def sanitised_text(text: Column, base: Column, added: Column) -> Column:
         F.transform(added, lambda s: F.struct(
             s["start"].alias("start"), (-s["end"]).alias("back"), F.when(s["remove"], F.lit("")).otherwise(F.lit("[TERM]")).alias("by"))),
     ))
-    done = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], -s["back"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.array_append(F.array_append(
-                acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])), s["by"])).otherwise(acc["out"]).alias("out"),
-        ),
-    )
-    return F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.lit(2**31 - 1)))
+    return _replaced(text, spans)
 
 
 def sanitise(docs: DataFrame, **thresholds) -> DataFrame:

@@ -290,6 +290,19 @@ def test_removed_and_generalised_terms(frame):
     assert {r["text"] for r in pii.sanitise(docs).where("doc_id < 4").collect()} == {"  wrote to [EMAIL] quickly"}
 
 
+def test_revealing_terms_go_in_every_text(frame):
+    far = "the usual filler stands here " * 5
+    rows = [(i, f"write to anna@firm.com {far}then Zacharias came, and zacharias left") for i in range(20)]
+    rows += [(50, f"{far}no address but ZACHARIAS again")] + [(100 + i, f"{far}then no address came and left again, write to but") for i in range(400)]
+    docs = frame(rows, "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert all("zacharias" not in t.lower() for t in clean.values())
+    assert all("usual filler" in t and "address" in t for i, t in clean.items() if i >= 50)
+    spans = {r["doc_id"]: r["spans"] for r in pii.result(docs).collect()}
+    at = rows[20][1].index("ZACHARIAS")
+    assert spans[50] == f"term:{at}:{at + 9}" and spans[100] == "" and spans[0].count("term:") == 2
+
+
 def test_counts_follow_edits(frame, monkeypatch):
     monkeypatch.setattr(token_counts, "LEAF", 3)
     counter = token_counts.Counter()

@@ -379,6 +379,33 @@ def raw_mail_records(spark, sf_dir):
     return built.select("email_id", "label", "subject", X.md5_text(F.col("clean_text")).alias("text_md5"))
 
 
+# The bytes of a plain, an HTML and a mixed message, for the digest of those without a Message-ID.
+_LINE = "chr(13) || chr(10)"
+_EIGHT = f"'Content-Transfer-Encoding: 8bit' || {_LINE} || {_LINE}"
+_PLAIN_SQL = f"'Content-Type: text/plain; charset=utf-8' || {_LINE} || {_EIGHT} || e.clean_text || {_LINE}"
+_HTML_SQL = f"""'Content-Type: text/html; charset=utf-8' || {_LINE} || {_EIGHT} || '<html><body><style>p{{}}</style><p>'
+  || replace(replace(e.clean_text, '&', '&amp;'), '<', '&lt;') || '</p><!-- end --></body></html>' || {_LINE}"""
+_MIXED_SQL = f"""'Content-Type: multipart/mixed; boundary="{_BREAK}"' || {_LINE} || {_LINE} || '--{_BREAK}' || {_LINE} || {_PLAIN_SQL}
+  || '--{_BREAK}' || {_LINE} || {_HTML_SQL} || '--{_BREAK}' || {_LINE} || 'Content-Type: application/pdf' || {_LINE}
+  || 'Content-Disposition: attachment; filename="a.pdf"' || {_LINE} || {_LINE} || 'x' || {_LINE} || '--{_BREAK}--' || {_LINE}"""
+_DIGEST_SQL = f"""sha256('From: ' || e.sender || {_LINE} || 'Subject: ' || e.subject || {_LINE} || 'Date: Mon, 01 Jan 2024 00:00:00 +0000' || {_LINE}
+  || 'MIME-Version: 1.0' || {_LINE} || CASE {_KIND} % 3 WHEN 0 THEN {_PLAIN_SQL} WHEN 1 THEN {_HTML_SQL} ELSE {_MIXED_SQL} END)"""
+
+
+@query(with_views("emails", f"""SELECT sha256('/corpus/' || CASE WHEN {_KIND} % 4 = 0 THEN 'spam' ELSE 'ham' END || '/' || e.email_id || '::'
+      || CASE WHEN {_KIND} % 5 = 0 THEN {_DIGEST_SQL} ELSE '<m' || e.email_id || '@mail.example>' END || '::' || substr(clean_text, 1, 200)) AS email_id,
+    CASE WHEN {_KIND} % 4 = 0 THEN 1 ELSE 0 END AS label, subject, md5(clean_text) AS text_md5
+  FROM emails e WHERE NOT {_BAD} AND length(clean_text) >= 10""".replace("CAST(email_id", "CAST(e.email_id")))
+def raw_mail_records_whole(spark, sf_dir):
+    """Records from all raw messages; those without a message id have the digest of their bytes in the id."""
+    from mailsift.sources.mail_files import label_from_path, parse_mail
+    from mailsift.sources.records import records_from_mail
+
+    parsed = parse_mail(raw_messages(spark, sf_dir).drop("email_id")).withColumn("label", label_from_path(F.col("path"), "/corpus"))
+    built, _ = records_from_mail(parsed, "raw_mail")
+    return built.select("email_id", "label", "subject", X.md5_text(F.col("clean_text")).alias("text_md5"))
+
+
 @query(with_views("labelled", f"SELECT email_id, {s6('probability')} AS probability FROM scores WHERE NOT {_BAD}", _ALL_SCORES))
 def scored_messages(spark, sf_dir):
     """Raw messages parsed and scored in one job."""

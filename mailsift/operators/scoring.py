@@ -90,9 +90,10 @@ def score_table(table: DataFrame, model: MailModel) -> DataFrame | None:
 
 
 def score_mail(files: DataFrame, model: MailModel) -> DataFrame:
-    """Raw messages parsed and scored; unparsed ones are left to the rejects."""
-    parsed = parse_mail(files).filter(F.col("parse_error").isNull())
-    return model.score(parsed)
+    """Raw messages parsed and scored, a row for each; unparsed ones have null scores and their ``parse_error``."""
+    scored = model.score(parse_mail(files))
+    parsed = F.col("parse_error").isNull()
+    return scored.withColumns({c: F.when(parsed, F.col(c)) for c in ("probability", "pred", "risk", "risk_code")})
 
 
 def batch_summary(scored: DataFrame) -> DataFrame:

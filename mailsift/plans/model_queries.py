@@ -409,10 +409,18 @@ def raw_mail_records_whole(spark, sf_dir):
 @query(with_views("labelled", f"SELECT email_id, {s6('probability')} AS probability FROM scores WHERE NOT {_BAD}", _ALL_SCORES))
 def scored_messages(spark, sf_dir):
     """Raw messages parsed and scored in one job."""
-    scored = S.score_mail(raw_messages(spark, sf_dir).drop("path"), _nb_bundle(spark, sf_dir))
+    scored = S.score_mail(raw_messages(spark, sf_dir).drop("path"), _nb_bundle(spark, sf_dir)).filter(F.col("parse_error").isNull())
     return rounded(scored.select("email_id", "probability"), "probability")
 
 
+@query(with_views("labelled", f"""SELECT email_id, CASE WHEN NOT {_BAD} THEN {s6('probability')} END AS probability,
+  CASE WHEN {_BAD} THEN 'TypeError' END AS error FROM scores""", _ALL_SCORES))
+def scored_messages_whole(spark, sf_dir):
+    """A row for every raw message: its score, or the kind of its parse error."""
+    scored = S.score_mail(raw_messages(spark, sf_dir).drop("path"), _nb_bundle(spark, sf_dir))
+    return rounded(scored.select("email_id", "probability", F.substring_index("parse_error", ":", 1).alias("error")), "probability")
+
+
 _ENTITIES = (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
 

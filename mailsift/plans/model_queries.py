@@ -170,6 +170,23 @@ def scoring_history(spark, sf_dir):
     return rounded(recent.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp"))), "probability")
 
 
+_WHOLE_HISTORY_SQL = _HISTORY_SQL.replace("CAST(e.event_id AS VARCHAR)", "CAST(e.event_id % (SELECT count(*) FROM emails) AS VARCHAR)")
+
+
+@query(with_views("labelled", _WHOLE_HISTORY_SQL, _ALL_SCORES))
+def scoring_history_whole(spark, sf_dir):
+    """The newest 500 entries of a log of all events: each has the mail of its number modulo the number of mails."""
+    path = scratch(spark, "history")
+    mail = emails(spark, sf_dir).select("email_id", "clean_text")
+    events = table(spark, sf_dir, "events").select(
+        (F.col("event_id") % F.lit(mail.count())).cast("string").alias("email_id"), F.col("ts").alias("seen")
+    )
+    scored = _nb_bundle(spark, sf_dir).score(mail).join(events, "email_id")
+    S.append_history(S.history_entries(scored, F.col("seen"), S.MODE_BATCH), path)
+    recent = S.recent_history(spark.read.parquet(path))
+    return rounded(recent.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp"))), "probability")
+
+
 # ---- errors ------------------------------------------------------------------------------
 
 

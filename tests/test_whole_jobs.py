@@ -7,7 +7,7 @@ from conftest import SMALL
 from test_queries import _rows, duck  # noqa: F401
 
 WHOLE = (
-    "raw_mail_records_whole", "scored_messages_whole",
+    "raw_mail_records_whole", "scored_messages_whole", "scoring_history_whole",
 )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from mailsift.config import CHAR_NGRAMS, MAX_FEATURES
+from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, SVD_COMPONENTS
 from mailsift.functions.features import FEATURE_NAMES, structured_features
 from mailsift.operators import vectors as V
 from mailsift.plans.curation_queries import scratch
@@ -195,12 +195,19 @@ def svd_block(spark, sf_dir):
     projections with a dense factorisation.
     """
     mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
-    vocabulary = V.fit_vocabulary(V.word_counts(mail), mail, max_features=50_000)
-    vectors = V.vectoriser(vocabulary).transform(mail).select("email_id", "features")
-    _, right = V.fit_svd(vectors, k=20)
-    rows = V.apply_svd(vectors, right).select("email_id", vector_to_array("svd").alias("svd"))
-    structured = structured_features(mail)
-    return V.apply_scaler(structured, V.fit_scaler(structured)).join(rows, "email_id")
+    train = labelled(spark, sf_dir).filter(F.col("split") == "train").select("email_id", "clean_text")
+    model, right = _train_svd(train)
+    rows = V.apply_svd(model.transform(mail).select("email_id", "features"), right).select("email_id", vector_to_array("svd").alias("svd"))
+    scaler = V.fit_scaler(structured_features(train))
+    return V.apply_scaler(structured_features(mail), scaler).join(rows, "email_id")
+
+
+def _train_svd(train):
+    """The word vectoriser and right singular vectors of the training mail."""
+    model = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train, max_features=50_000))
+    # More values than rows would be rounding noise.
+    _, right = V.fit_svd(model.transform(train).select("email_id", "features"), k=min(SVD_COMPONENTS, train.count()))
+    return model, right
 
 
 @query(with_views("labelled", """SELECT m.metric, m.value FROM (SELECT unnest([
@@ -217,6 +224,29 @@ def block_sizes(spark, sf_dir):
     return V.block_sizes(dims, mail)
 
 
+_DIMS_FIT = ", ".join([
+    _TRAIN_FIT, sql_char_counts("train", "char_counts"), sql_vocabulary("char_counts", "train", "char_vocabulary"),
+    "dims AS (SELECT (SELECT count(*) FROM vocabulary) AS w, (SELECT count(*) FROM char_vocabulary) AS c, (SELECT count(*) FROM train) AS n)",
+])
+
+
+@query(with_views("labelled", f"""SELECT m.metric, m.value FROM (SELECT unnest([
+    {{'metric': 'word_dim', 'value': w}}, {{'metric': 'char_dim', 'value': c}}, {{'metric': 'structured_dim', 'value': {len(FEATURE_NAMES)}::BIGINT}},
+    {{'metric': 'hybrid_dim', 'value': w + c + {len(FEATURE_NAMES)}}}, {{'metric': 'svd_dim', 'value': least({SVD_COMPONENTS}, w, n) + {len(FEATURE_NAMES)}}},
+    {{'metric': 'train_size', 'value': n}},
+    {{'metric': 'valid_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'valid')}},
+    {{'metric': 'test_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'test')}}]) AS m FROM dims)""", _DIMS_FIT))
+def block_sizes_whole(spark, sf_dir):
+    """All five feature dimensions, fitted on the train split, and the split sizes; the SVD block holds the structured columns too."""
+    mail = labelled(spark, sf_dir).select("email_id", "split", "clean_text")
+    train = mail.filter(F.col("split") == "train")
+    word, char = (V.fit_vocabulary(counter(train), train).count() for counter in (V.word_counts, V.char_counts))
+    _, right = _train_svd(train)
+    dims = {"word_dim": word, "char_dim": char, "structured_dim": len(FEATURE_NAMES),
+            "hybrid_dim": word + char + len(FEATURE_NAMES), "svd_dim": right.shape[1] + len(FEATURE_NAMES)}
+    return V.block_sizes({name: F.lit(value) for name, value in dims.items()}, mail)
+
+
 @query(with_views("labelled", """SELECT email_id, label, source_dataset, ['word', 'char', 'structured', 'hybrid', 'svd'][rn] AS feature_block FROM (
   SELECT *, row_number() OVER (ORDER BY email_id) AS rn FROM labelled WHERE split = 'train') WHERE rn <= 5"""))
 def block_sample(spark, sf_dir):

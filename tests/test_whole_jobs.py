@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from mailsift.plans.inputs import labelled
 from test_queries import _rows, duck  # noqa: F401
 
 WHOLE = (
-    "raw_mail_records_whole", "scored_messages_whole", "scoring_history_whole",
+    "raw_mail_records_whole", "scored_messages_whole", "scoring_history_whole", "block_sizes_whole",
 )
 
 
@@ -18,3 +19,12 @@ def test_whole_query_equals_sql(spark, duck, name):  # noqa: F811
     columns = [c[0] for c in want.description]
     assert sorted(got.columns) == sorted(columns)
     assert _rows(got.columns, got.collect()) == _rows(columns, want.fetchall())
+
+
+def test_svd_block_is_fitted_on_train_only(spark):
+    rows = entry.queries()["svd_block"](spark, "/root/testdata/sf0.01")
+    first = rows.first()
+    train = labelled(spark, "/root/testdata/sf0.01").filter("split = 'train'").select("email_id")
+    assert len(first["svd"]) == 200
+    assert abs(rows.join(train, "email_id").agg({"char_len": "avg"}).first()[0]) < 1e-9  # scaled by the mean of train
+    assert rows.count() == 1000

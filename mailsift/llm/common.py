@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 NO_ID = (1 << 63) - 1  # rows without an id come after all others
 SLICE_CHARS = 4_000_000  # text handled at once inside a task
+BROADCAST_BYTES = 16_000_000  # a side is broadcast only if its rows were measured and take no more than this
 BROADCAST_ROWS = 100_000  # a side is broadcast only if counted and not longer than this
 
 
@@ -134,6 +135,18 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
+def bounded_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Marked for broadcast only if the bytes of its rows were added up and are few; else a plain side.
+
+    ``df`` is meant to be a written table, as it is read once for the sum.
+    """
+    sizes = [
+        F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary") else F.lit(16) for c, t in df.dtypes
+    ]
+    total = df.agg(F.coalesce(F.sum(sum(sizes, F.lit(16)).cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= limit else df
+
+
 def chunk_numbers(df: DataFrame, group: str, order: list[str], size: int, least: int = 1) -> DataFrame:
     """Add ``chunk`` (0, 1, ...) and ``chunks``: pieces of about ``size`` rows of each group, by hash.
 
@@ -163,6 +176,6 @@ def unit_rows(df: DataFrame, group: str, unit: str = "unit") -> DataFrame:
 
 
 __all__ = [
-    "NO_ID", "SPACE", "WORD", "chunk_numbers", "components", "gram_hashes", "scramble", "small_side", "text_slices",
+    "NO_ID", "SPACE", "WORD", "bounded_side", "chunk_numbers", "components", "gram_hashes", "scramble", "small_side", "text_slices",
     "unit_rows", "whole_groups", "word_count", "word_hashes", "words_of", "written",
 ]

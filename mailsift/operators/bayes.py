@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mailsift.config import NB_ALPHA
 from mailsift.functions.probability import sigmoid
-from mailsift.session import materialise
+from mailsift.session import written
 
 
 def fit_naive_bayes(weights: DataFrame, documents: DataFrame, alpha: float = NB_ALPHA) -> DataFrame:
@@ -17,11 +17,11 @@ def fit_naive_bayes(weights: DataFrame, documents: DataFrame, alpha: float = NB_
     are written once.
     """
     is_spam = F.col("label") == 1
-    per_term = materialise(
+    per_term = written(
         weights.groupBy("term").agg(
             F.sum(F.when(~is_spam, F.col("weight")).otherwise(0.0)).alias("_w0"),
             F.sum(F.when(is_spam, F.col("weight")).otherwise(0.0)).alias("_w1"),
-        )
+        ), "term-sums",
     )
     totals = per_term.agg(
         F.struct(F.sum("_w0").alias("w0"), F.sum("_w1").alias("w1"), F.count("*").alias("terms"))

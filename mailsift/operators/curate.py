@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailsift.config import MAX_TEMP_SHARE, SEED, SPLIT_SIZES
 from mailsift.functions.text import hash32
-from mailsift.session import materialise
+from mailsift.session import written
 
 HASH_BUCKETS_SHIFT = 16  # the top 16 of 32 hash bits: 65,536 even buckets
 
@@ -21,13 +22,25 @@ def drop_corrupted(df: DataFrame) -> DataFrame:
 def deduplicate(
     df: DataFrame, group: str = "duplicate_group", order: tuple[str, ...] = ("source_dataset", "email_id")
 ) -> DataFrame:
-    """The first row of every group in ``order``.
+    """The first row of every group in ``order``; of rows that are equal in it, any one.
 
-    ``min_by`` combines before the shuffle, so a body shared by a third of all rows sends one
-    row per map task, where a ranked window would sort all of its copies in one task.
+    Winners are found on the narrow columns (group, order) alone and written; the whole rows are then
+    fetched by one semi-join on all of these, so a body shared by a third of all rows meets in no
+    task. Nulls are values. Rows repeated in group and order are made one among themselves.
     """
-    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
-    return df.groupBy(group).agg(first).select("_row.*")
+    names = list(dict.fromkeys((group, *order)))
+    seen = df.groupBy(*names).agg(F.count("*").alias("_rows"))
+    first = seen.groupBy(group).agg(F.min_by(F.struct(*names, "_rows"), F.struct(*order)).alias("_first"))
+    winners = written(first.select("_first.*"), "winners")
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        renamed = chosen.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(names)])
+        same = [F.col(c).eqNullSafe(F.col(f"_w{i}")) for i, c in enumerate(names)]
+        return df.join(renamed, reduce(Column.__and__, same), "left_semi")
+
+    if winners.filter("_rows > 1").isEmpty():
+        return rows_of(winners)
+    return rows_of(winners.filter("_rows = 1")).union(rows_of(winners.filter("_rows > 1")).dropDuplicates([group]))
 
 
 # ---- exact cuts in seeded hash order ---------------------------------------------------
@@ -220,7 +233,7 @@ def split_by_group(
     """
     if "group_key" not in df.columns:
         df = with_group_key(df)
-    groups = materialise(group_labels(df))
+    groups = written(group_labels(df), "groups")
     if not groups.filter("is_mixed").isEmpty():
         raise ValueError("Mixed-label groups detected; cannot keep a leakage-safe split.")
     if not exact:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from mailsift.config import NB_ALPHA, SEED
 from mailsift.functions.probability import sigmoid
 from mailsift.operators.curate import class_counts, stratified_folds
-from mailsift.session import materialise
+from mailsift.session import written
 
 FOLDS = 3
 LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 2000, 1e-10
@@ -151,7 +151,7 @@ class SvmScorer:
         df: DataFrame, weight: str | None = None, key: str = "email_id", seed: int = SEED, c: float = 1.0,
         max_iter: int = SVM_ITERATIONS, tol: float = SVM_TOLERANCE,
     ) -> "SvmScorer":
-        folded = materialise(stratified_folds(df, FOLDS, seed, key))
+        folded = written(stratified_folds(df, FOLDS, seed, key), "folds")
         models, sigmoids = [], []
         for fold in range(FOLDS):
             fit_rows = folded.filter(F.col("_fold") != fold)

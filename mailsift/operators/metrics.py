@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mailsift.session import materialise
+from mailsift.session import bounded_side, written
 
 ECE_BINS = 10
 
@@ -21,29 +21,31 @@ def score_histogram(scored: DataFrame, keys: tuple[str, ...] = (), prob: str = "
 
 
 def prefix_counts(hist: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``cum_pos`` and ``cum_n``: counts at this score or above, per key.
+    """Add ``cum_pos`` and ``cum_n``, counts at this score or above, and ``all_pos`` and ``all_n``, per key.
 
-    The histogram is range-partitioned by score and written once, so partition numbers stay
-    put. Each partition sums its own rows; the offsets before it come from one total per
-    partition, which is as many rows as there are partitions. No window spans a whole key.
+    The histogram is range-partitioned by score and written once with its partition numbers.
+    Each partition sums its own rows; the offsets before it and the totals of a key come from one
+    total per key and partition, a few more rows than there are partitions. No window and no join
+    spans a whole key.
     """
-    placed = materialise(hist.repartitionByRange(*keys, F.col("score").desc())).withColumn(
-        "_part", F.spark_partition_id()
-    )
+    placed = written(hist.repartitionByRange(*keys, F.col("score").desc()).withColumn("_part", F.spark_partition_id()), "histogram")
     totals = placed.groupBy(*keys, "_part").agg(F.sum("pos").alias("_pos"), F.sum("n").alias("_n"))
-    earlier = Window.partitionBy(*keys, F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys, F.lit(0))
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
         "_part",
         F.coalesce(F.sum("_pos").over(earlier), F.lit(0)).alias("_pos_before"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"),
+        F.sum("_pos").over(whole).alias("all_pos"),
+        F.sum("_n").over(whole).alias("all_n"),
     )
     within = Window.partitionBy(*keys, "_part").orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.join(F.broadcast(offsets), [*keys, "_part"])
+        placed.join(bounded_side(written(offsets, "offsets")), [*keys, "_part"])
         .withColumn("cum_pos", F.col("_pos_before") + F.sum("pos").over(within))
         .withColumn("cum_n", F.col("_n_before") + F.sum("n").over(within))
-        .select(*keys, "score", "pos", "n", "cum_pos", "cum_n")
+        .select(*keys, "score", "pos", "n", "cum_pos", "cum_n", "all_pos", "all_n")
     )
 
 
@@ -154,45 +156,26 @@ def ranking_areas(prefix: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return prefix.groupBy(*keys).agg(average_precision.alias("pr_auc"), roc.alias("roc_auc"))
 
 
+def _curve(prefix: DataFrame, keys: tuple[str, ...], point: dict[str, Column], end: dict[str, float]) -> DataFrame:
+    """A point at every distinct score, and the ``end`` point beside the first score of each key."""
+    none = F.lit(None).cast("double")
+    own = F.struct(*[c.alias(n) for n, c in point.items()], F.col("score").alias("threshold"))
+    extra = F.struct(*[F.lit(v).alias(n) for n, v in end.items()], none.alias("threshold"))
+    points = F.when(F.col("cum_n") == F.col("n"), F.array(own, extra)).otherwise(F.array(own))
+    return prefix.select(*keys, F.explode(points).alias("_point")).select(*keys, "_point.*")
+
+
 def roc_points(prefix: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """(fpr, tpr, threshold) at every distinct score, plus the origin with a null threshold."""
-    points = _with_totals(prefix, keys).select(
-        *keys,
-        ((F.col("cum_n") - F.col("cum_pos")) / F.col("_neg")).alias("fpr"),
-        (F.col("cum_pos") / F.col("_pos")).alias("tpr"),
-        F.col("score").alias("threshold"),
-    )
-    origin = _one_per_key(prefix, keys).select(
-        *keys, F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(None).cast("double").alias("threshold")
-    )
-    return points.unionByName(origin)
+    negatives = F.col("all_n") - F.col("all_pos")
+    point = {"fpr": (F.col("cum_n") - F.col("cum_pos")) / F.nullif(negatives, F.lit(0)), "tpr": F.col("cum_pos") / F.nullif(F.col("all_pos"), F.lit(0))}
+    return _curve(prefix, keys, point, {"fpr": 0.0, "tpr": 0.0})
 
 
 def pr_points(prefix: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """(recall, precision, threshold) at every distinct score, plus the end point (0, 1)."""
-    points = _with_totals(prefix, keys).select(
-        *keys,
-        (F.col("cum_pos") / F.col("_pos")).alias("recall"),
-        (F.col("cum_pos") / F.col("cum_n")).alias("precision"),
-        F.col("score").alias("threshold"),
-    )
-    end = _one_per_key(prefix, keys).select(
-        *keys, F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"), F.lit(None).cast("double").alias("threshold")
-    )
-    return points.unionByName(end)
-
-
-def _one_per_key(prefix: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    return prefix.groupBy(*keys).agg(F.count("*").alias("_points")).filter("_points > 0")
-
-
-def _with_totals(prefix: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Class totals beside every point: one row per key, or one scalar row without keys."""
-    totals = [F.sum("pos").alias("_pos"), F.sum(F.col("n") - F.col("pos")).alias("_neg")]
-    if keys:
-        return prefix.join(prefix.groupBy(*keys).agg(*totals), list(keys))
-    whole = prefix.agg(F.struct(*totals).alias("_t")).scalar()
-    return prefix.withColumns({"_pos": whole["_pos"], "_neg": whole["_neg"]})
+    point = {"recall": F.col("cum_pos") / F.nullif(F.col("all_pos"), F.lit(0)), "precision": F.col("cum_pos") / F.col("cum_n")}
+    return _curve(prefix, keys, point, {"recall": 0.0, "precision": 1.0})
 
 
 def report(

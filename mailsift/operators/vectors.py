@@ -1,8 +1,7 @@
 """Word and character TF-IDF, scaling, hybrid and SVD blocks.
 
-Two forms of the same numbers. The long form (key, term, weight) is relational: the text is
-shuffled once by key, before it is exploded, and every later step keyed by document reuses that
-partitioning. The vector form counts inside a row and never shuffles.
+Two forms of the same numbers. The vector form counts inside a row and never shuffles; the long form
+(key, term, weight) opens those vectors. Only the statistics of the terms are shuffled, once, by term.
 """
 
 from __future__ import annotations
@@ -16,13 +15,17 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, MIN_DF, SVD_COMPONENTS, WORD_NGRAMS
 from mailsift.functions.features import FEATURE_NAMES
 from mailsift.functions.patterns import SPACE, VECTOR_TOKEN
 from mailsift.functions.text import no_null
-from mailsift.session import materialise
+from mailsift.operators.order import numbered
+from mailsift.session import written
+
+LEVELS = 16  # histogram levels for each doubling of a count
+STRETCH = 20_000  # vector entries multiplied at once in a projection
 
 # ---- terms -------------------------------------------------------------------------------
 
@@ -67,71 +70,91 @@ def chunk_grams(chunk: Column, sizes: tuple[int, int] = CHAR_NGRAMS) -> Column:
     )
 
 
-def by_document(df: DataFrame, key: str, keep: Sequence[str], text_col: str) -> DataFrame:
-    """One shuffle of the compact text by its key; nothing after it shuffles by document.
+def _word_statistics(df: DataFrame, text_col: str) -> DataFrame:
+    """(term, cf, df) parts: every gram of a row counts once, every different one once more as a document."""
+    grams = df.select(ngrams(word_tokens(F.col(text_col))).alias("_t"))
+    opened = grams.select(F.size("_t").alias("_n"), F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_at", "term"))
+    return opened.select("term", (F.col("_at") < F.col("_n")).cast("long").alias("cf"), (F.col("_at") >= F.col("_n")).cast("long").alias("df"))
 
-    The partition count is given, so that adaptive execution does not merge small partitions of
-    text that is about to grow many times over into a few busy tasks.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.select(key, *keep, text_col).repartition(partitions, key)
+
+def _char_statistics(df: DataFrame, text_col: str) -> DataFrame:
+    """(term, cf, df) parts: a chunk of the whole corpus is cut into grams once, weighted by its count."""
+    chunks = word_chunks(F.col(text_col))
+    counted = df.select(F.explode(chunks).alias("_chunk")).groupBy("_chunk").agg(F.count("*").alias("cf"))
+    zero = F.lit(0).cast("long")
+    counts = counted.select(F.explode(chunk_grams(F.col("_chunk"))).alias("term"), "cf", zero.alias("df"))
+    own = F.array_distinct(F.flatten(F.transform(F.array_distinct(chunks), lambda c: chunk_grams(c))))
+    return counts.union(df.select(F.explode(own).alias("term"), zero.alias("cf"), F.lit(1).cast("long").alias("df")))
 
 
-def word_counts(df: DataFrame, key: str = "email_id", text_col: str = "clean_text", keep: Sequence[str] = ()) -> DataFrame:
-    """(key, keep, term, tf) of word 1- and 2-grams."""
-    placed = by_document(df, key, keep, text_col).select(key, *keep, word_tokens(F.col(text_col)).alias("_tokens"))
-    terms = placed.select(key, *keep, F.explode(ngrams(F.col("_tokens"))).alias("term"))
-    return terms.groupBy(key, *keep, "term").agg(F.count("*").alias("tf"))
+STATISTICS = {"word": _word_statistics, "char": _char_statistics}
 
 
-def char_counts(df: DataFrame, key: str = "email_id", text_col: str = "clean_text", keep: Sequence[str] = ()) -> DataFrame:
-    """(key, keep, term, tf) of character 3- to 5-grams.
+def term_statistics(df: DataFrame, kind: str = "word", text_col: str = "clean_text") -> DataFrame:
+    """(term, cf, df): corpus count and document count; every row is a document.
 
-    A document's distinct chunks are counted first, so each is cut into grams once.
+    Nothing is moved by document: the parts of a term combine in the map tasks and meet once, by term.
     """
-    placed = by_document(df, key, keep, text_col)
-    chunks = (
-        placed.select(key, *keep, F.explode(word_chunks(F.col(text_col))).alias("_chunk"))
-        .groupBy(key, *keep, "_chunk").agg(F.count("*").alias("_n"))
-    )
-    grams = chunks.select(key, *keep, "_n", F.explode(chunk_grams(F.col("_chunk"))).alias("term"))
-    return grams.groupBy(key, *keep, "term").agg(F.sum("_n").alias("tf"))
+    parts = STATISTICS[kind](df, text_col)
+    return parts.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
 
 
 # ---- TF-IDF, long form -------------------------------------------------------------------
 
 
+def _top_terms(stats: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows of a written (term, cf, df) table in the order cf descending, term ascending.
+
+    The count at the cut is found on histograms: first of logarithmic levels, some thousand at most,
+    then of the counts within the level of the cut. All terms above it are kept as they lie; only the
+    terms of exactly that count are put in order, by ranges.
+    """
+    level = F.floor(F.log2("cf") * F.lit(LEVELS)).cast("int")
+    levels = sorted(stats.groupBy(level.alias("level")).count().collect(), reverse=True)
+    if sum(row["count"] for row in levels) <= most:
+        return stats
+    left, at = most, 0
+    while levels[at]["count"] < left:
+        left, at = left - levels[at]["count"], at + 1
+    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("cf"))
+    counts = stats.where(level == levels[at]["level"]).groupBy("cf").agg(F.count("*").alias("n"))
+    running = counts.withColumn("upto", F.sum("n").over(down)).where(F.col("upto") >= left)
+    cut = running.agg(F.max_by(F.struct("cf", (F.lit(left) - F.col("upto") + F.col("n")).alias("ties")), "cf")).first()[0]
+    ties = numbered(stats.where(F.col("cf") == cut["cf"]), ["term"], "_rank").where(F.col("_rank") <= cut["ties"])
+    return stats.where(F.col("cf") > cut["cf"]).union(ties.select(stats.columns))
+
+
 def fit_vocabulary(
-    counts: DataFrame, documents: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEATURES
+    df: DataFrame, kind: str = "word", min_df: int = MIN_DF, max_features: int = MAX_FEATURES, text_col: str = "clean_text"
 ) -> DataFrame:
-    """(term, idx, cf, df, idf): the most frequent terms that are in ``min_df`` documents or more.
+    """(term, idx, cf, df, idf): the most frequent terms that are in ``min_df`` rows or more.
 
     The cut is by corpus count, then by term; ``idx`` is alphabetical. At most
     ``max_features`` rows, so the result may be broadcast and numbered in one window. It is
     written once: every consumer reads the fitted rows and none counts the corpus again.
     """
-    n_docs = documents.agg(F.count("*").alias("n")).scalar()
-    stats = counts.groupBy("term").agg(F.sum("tf").alias("cf"), F.count("*").alias("df")).filter(F.col("df") >= min_df)
-    top = stats.orderBy(F.col("cf").desc(), F.col("term")).limit(max_features)
+    n_docs = df.count()
+    stats = written(term_statistics(df, kind, text_col).where(F.col("df") >= min_df), "term-statistics")
     alphabetical = Window.partitionBy(F.lit(0)).orderBy("term")
-    fitted = top.select(
+    fitted = _top_terms(stats, max_features).select(
         "term",
         (F.row_number().over(alphabetical) - 1).alias("idx"),
         "cf",
         "df",
         (F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"),
     )
-    return materialise(fitted)
+    return written(fitted, "vocabulary")
 
 
-def tfidf(counts: DataFrame, vocabulary: DataFrame, key: str = "email_id") -> DataFrame:
-    """Counts times idf, each document scaled to length 1. Out-of-vocabulary terms drop out."""
-    weighted = counts.join(F.broadcast(vocabulary.select("term", "idx", "idf")), "term").withColumn(
-        "_w", F.col("tf") * F.col("idf")
-    )
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    kept = [c for c in counts.columns if c not in ("term", "tf")]
-    return weighted.withColumn("weight", F.col("_w") / norm).select(*kept, "term", "idx", "weight")
+def tfidf(df: DataFrame, vocabulary: DataFrame, kind: str = "word", keep: Sequence[str] = (), key: str = "email_id", text_col: str = "clean_text") -> DataFrame:
+    """(key, keep, term, idx, weight): counts times idf, each document scaled to length 1.
+
+    Terms are counted inside their row, so no text and no count is shuffled; the names come from the
+    vocabulary, which has at most ``max_features`` rows. Terms outside of it drop out.
+    """
+    vectors = vectoriser(vocabulary, kind, text_col).transform(df.select(key, *keep, text_col))
+    names = F.broadcast(vocabulary.select("idx", "term"))
+    return vector_entries(vectors, "features", key, keep).join(names, "idx").select(key, *keep, "term", "idx", "weight")
 
 
 # ---- TF-IDF, vector form -----------------------------------------------------------------
@@ -238,37 +261,41 @@ def apply_svd(df: DataFrame, right: np.ndarray, vector_col: str = "features", ou
 
     @F.pandas_udf("array<double>")
     def project(vectors: pd.DataFrame) -> pd.Series:
-        v = matrix.value
-        return pd.Series([values @ v[positions] for positions, values in _entries(vectors)])
+        out = np.zeros((len(vectors), right_columns))
+        for rows, starts, positions, values in _stretches(vectors):
+            out[rows] = np.add.reduceat(values[:, None] * matrix.value[positions], starts)
+        return pd.Series(list(out))
 
+    right_columns = right.shape[1]
     return df.withColumn(out, array_to_vector(project(F.col(vector_col))))
 
 
-# ---- vectors to rows ---------------------------------------------------------------------
-
-
-def _entries(vectors: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(positions, values) of a batch of vectors; Arrow delivers a vector as its four fields."""
-    for positions, values in zip(vectors["indices"], vectors["values"]):
-        values = np.asarray(values, dtype=float)
-        yield (np.arange(len(values)) if positions is None else np.asarray(positions, dtype=int)), values
-
+def _stretches(vectors: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, starts, positions, values) of runs of vectors with about ``STRETCH`` entries in all.
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def _positions(vectors: pd.DataFrame) -> pd.Series:
-    return pd.Series([positions for positions, _ in _entries(vectors)])
+    Arrow delivers a vector as its four fields; vectors without entries are left out.
+    """
+    values = [np.asarray(v, dtype=float) for v in vectors["values"]]
+    positions = [np.arange(len(v)) if p is None else np.asarray(p, dtype=int) for p, v in zip(vectors["indices"], values)]
+    sizes = np.array([len(v) for v in values], dtype=int)
+    filled = np.flatnonzero(sizes)
+    for rows in np.split(filled, np.flatnonzero(np.diff(np.cumsum(sizes[filled]) // STRETCH)) + 1):
+        if len(rows):
+            starts = np.cumsum(sizes[rows]) - sizes[rows]
+            yield rows, starts, np.concatenate([positions[i] for i in rows]), np.concatenate([values[i] for i in rows])
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _values(vectors: pd.DataFrame) -> pd.Series:
-    return pd.Series([values for _, values in _entries(vectors)])
+# ---- vectors to rows ---------------------------------------------------------------------
 
 
-def vector_entries(df: DataFrame, vector_col: str, key: str = "email_id") -> DataFrame:
-    """(key, idx, weight) rows of a vector column. A sparse vector is never made dense."""
-    opened = df.select(key, _positions(vector_col).alias("_i"), _values(vector_col).alias("_v"))
-    pairs = opened.select(key, F.explode(F.arrays_zip("_i", "_v")).alias("_e"))
-    return pairs.select(key, F.col("_e._i").alias("idx"), F.col("_e._v").alias("weight"))
+def vector_entries(df: DataFrame, vector_col: str, key: str = "email_id", keep: Sequence[str] = ()) -> DataFrame:
+    """(key, keep, idx, weight) rows of a vector column. A sparse vector is never made dense."""
+    opened = df.select(key, *keep, F.unwrap_udt(vector_col).alias("_u"))
+    values = F.col("_u.values")
+    dense = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.size(values) - 1)).otherwise(F.array().cast("array<int>"))
+    pairs = opened.select(key, *keep, F.coalesce("_u.indices", dense).alias("_i"), values.alias("_v"))
+    entries = pairs.select(key, *keep, F.explode(F.arrays_zip("_i", "_v")).alias("_e"))
+    return entries.select(key, *keep, F.col("_e._i").alias("idx"), F.col("_e._v").alias("weight"))
 
 
 def block_sizes(vocab_sizes: dict[str, Column], split: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from mailsift.plans.inputs import emails, labelled, sql_bucket_split, sql_clean,
 from mailsift.plans.registry import query, r6, s6, table
 from mailsift.plans.text_queries import sql_body_hash, sql_sender_group, sql_subject, sql_thread
 from mailsift.schema import EMAIL_RECORD
-from mailsift.session import checkpoint_dir, materialise
+from mailsift.session import checkpoint_dir, written
 from mailsift.sources import mail_files, records, tables
 
 
@@ -281,7 +281,7 @@ def keyed_mail(spark, sf_dir):
     """
     rows = labelled(spark, sf_dir).withColumn("body_group", X.body_hash(F.col("clean_text")))
     thread = X.thread_group(F.col("subject"), F.col("sender"), F.col("body_group"))
-    keyed = materialise(curate.with_group_key(rows.withColumn("thread_group", thread)).select("email_id", "label", "group_key"))
+    keyed = written(curate.with_group_key(rows.withColumn("thread_group", thread)).select("email_id", "label", "group_key"), "keyed")
     return keyed.join(curate.mixed_label_groups(keyed).select("group_key"), "group_key", "left_anti")
 
 

@@ -17,7 +17,7 @@ from mailsift.plans.inputs import emails, labelled, with_views
 from mailsift.plans.registry import query, r6, rounded, s6, table
 from mailsift.plans.training import compare_imbalance, train_models
 from mailsift.plans.vector_queries import _TRAIN_FIT
-from mailsift.session import materialise
+from mailsift.session import written
 from mailsift.streaming.scoring import mail_stream, score_stream
 
 # ---- naive Bayes in SQL ------------------------------------------------------------------
@@ -39,10 +39,7 @@ def _nb_scores(source: str) -> str:
 
 def _weights(spark, sf_dir):
     mail = labelled(spark, sf_dir).select("email_id", "label", "split", "source_dataset", "clean_text")
-    counts = V.word_counts(mail, keep=("label", "split"))
-    train = F.col("split") == "train"
-    vocabulary = V.fit_vocabulary(counts.filter(train), mail.filter(train))
-    return mail, V.tfidf(counts, vocabulary)
+    return mail, V.tfidf(mail, V.fit_vocabulary(mail.filter(F.col("split") == "train")), keep=("label", "split"))
 
 
 def _nb(spark, sf_dir):
@@ -88,9 +85,9 @@ def naive_bayes_report(spark, sf_dir):
 
 def _nb_bundle(spark, sf_dir, calibrator: dict | None = None) -> S.MailModel:
     """Vectoriser and naive Bayes fitted on the train split."""
-    train = V.by_document(labelled(spark, sf_dir).filter(F.col("split") == "train"), "email_id", ("label",), "clean_text")
-    features = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train))
-    vectors = materialise(features.transform(train).select("features", "label"))
+    train = labelled(spark, sf_dir).filter(F.col("split") == "train").select("email_id", "label", "clean_text")
+    features = V.vectoriser(V.fit_vocabulary(train))
+    vectors = written(features.transform(train).select("features", "label"), "vectors")
     return S.MailModel(features, linear.BayesScorer.fit(vectors), calibrator or {})
 
 
@@ -297,8 +294,8 @@ def imbalance_strategies(spark, sf_dir):
 def logistic_coefficients(spark, sf_dir):
     """The strongest logistic-regression coefficients of either sign."""
     train, _ = _train_valid(spark, sf_dir)
-    features = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train))
-    weighted = linear.with_class_weight(materialise(features.transform(train).select("features", "label")))
+    features = V.vectoriser(V.fit_vocabulary(train))
+    weighted = linear.with_class_weight(written(features.transform(train).select("features", "label"), "vectors"))
     scorer = linear.LogisticScorer(linear.fit_logistic(weighted, weight="weight"))
     terms = next(s for s in features.stages if hasattr(s, "vocabulary")).vocabulary
     return explain.top_coefficients(linear.coefficient_table(spark, terms, scorer))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mailsift.config import PRECISION_FLOOR
 from mailsift.operators import calibration as cal, linear, metrics as M, scoring as S, thresholds as T, vectors as V
-from mailsift.session import materialise
+from mailsift.session import written
 
 NAMES = {"bayes": "multinomial_nb", "logistic": "logistic_regression", "svm": "linear_svm"}
 
@@ -25,9 +25,9 @@ class TrainedModels:
 
 def _vectors(train: DataFrame, valid: DataFrame):
     """One vectoriser for all models, and both splits as vectors, written once."""
-    features = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train))
+    features = V.vectoriser(V.fit_vocabulary(train))
     keep = [c for c in train.columns if c != "clean_text"]
-    return features, *(materialise(features.transform(df).select(*keep, "features")) for df in (train, valid))
+    return features, *(written(features.transform(df).select(*keep, "features"), "vectors") for df in (train, valid))
 
 
 def train_models(train: DataFrame, valid: DataFrame) -> TrainedModels:
@@ -45,7 +45,7 @@ def train_models(train: DataFrame, valid: DataFrame) -> TrainedModels:
     scored = [
         S.predictions(s.score(valid_vectors)).withColumn("model", F.lit(NAMES[kind])) for kind, s in scorers.items()
     ]
-    predictions = materialise(reduce(DataFrame.unionByName, scored))
+    predictions = written(reduce(DataFrame.unionByName, scored), "predictions")
     bundles = {NAMES[kind]: S.MailModel(features, s) for kind, s in scorers.items()}
     return TrainedModels(bundles, predictions, M.report(predictions, 0.5, ("model",)))
 
@@ -69,7 +69,7 @@ def compare_imbalance(train: DataFrame, valid: DataFrame, floor: float = PRECISI
         for (kind, balanced), s in fits.items()
     ]
     keys = ("model", "balanced")
-    prefix = materialise(M.prefix_counts(M.score_histogram(reduce(DataFrame.unionByName, scored), keys), keys))
+    prefix = written(M.prefix_counts(M.score_histogram(reduce(DataFrame.unionByName, scored), keys), keys), "prefix")
     at_half = M.report_from_prefix(prefix, F.lit(0.5), keys).withColumn("threshold", F.lit(0.5))
     chosen = T.choose_threshold(T.sweep_from_prefix(prefix, keys, T.grid()), keys, floor)
     columns = ["threshold", "precision", "recall", "f1", "macro_f1", "pr_auc", "roc_auc", "brier", "ece"]
@@ -114,5 +114,5 @@ def calibrate_models(trained: TrainedModels, fit_on: DataFrame | None = None) ->
         bundles[name] = S.MailModel(bundle.features, bundle.scorer, fitted, bundle.text_col)
         tables.append(after)
         rows.append(cal.before_after(after, name, kind))
-    scores = materialise(reduce(DataFrame.unionByName, tables))
+    scores = written(reduce(DataFrame.unionByName, tables), "calibrated")
     return Calibrated(bundles, scores, reduce(DataFrame.unionByName, rows), T.threshold_analysis(scores))

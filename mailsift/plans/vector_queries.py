@@ -48,10 +48,10 @@ _CHAR_ALL = ", ".join([sql_char_counts("emails", "counts"), sql_vocabulary("coun
 _PER_DOC = f"""SELECT email_id, count(*) AS terms, {s6('sum(weight)')} AS total, {s6('sum(weight * idx) / sum(weight)')} AS mean_idx FROM weights GROUP BY email_id"""
 
 
-def _vocabulary(spark, sf_dir, counter):
+def _fitted(spark, sf_dir, kind):
+    """All mail, and the vocabulary of all of it."""
     mail = emails(spark, sf_dir).select("email_id", "clean_text")
-    counts = counter(mail)
-    return counts, V.fit_vocabulary(counts, mail)
+    return mail, V.fit_vocabulary(mail, kind)
 
 
 def _per_document(weights):
@@ -68,41 +68,36 @@ def _per_document(weights):
 @query(with_views("emails", f"SELECT term, idx, cf, df, {s6('idf')} AS idf FROM vocabulary", _WORD_ALL))
 def word_vocabulary(spark, sf_dir):
     """Word 1- and 2-grams: corpus count, document count, idf and index."""
-    return rounded(_vocabulary(spark, sf_dir, V.word_counts)[1], "idf")
+    return rounded(_fitted(spark, sf_dir, "word")[1], "idf")
 
 
 @query(with_views("emails", f"SELECT email_id, term, idx, {s6('weight')} AS weight FROM weights", _WORD_ALL + ", " + sql_tfidf("counts", "vocabulary", "weights")))
 def word_tfidf(spark, sf_dir):
     """Word TF-IDF weights of every document in long form."""
-    counts, vocabulary = _vocabulary(spark, sf_dir, V.word_counts)
-    return rounded(V.tfidf(counts, vocabulary), "weight")
+    return rounded(V.tfidf(*_fitted(spark, sf_dir, "word")), "weight")
 
 
 @query(with_views("emails", f"SELECT term, idx, cf, df, {s6('idf')} AS idf FROM vocabulary", _CHAR_ALL))
 def char_vocabulary(spark, sf_dir):
     """Character 3- to 5-grams inside padded words."""
-    return rounded(_vocabulary(spark, sf_dir, V.char_counts)[1], "idf")
+    return rounded(_fitted(spark, sf_dir, "char")[1], "idf")
 
 
 @query(with_views("emails", _PER_DOC, _CHAR_ALL + ", " + sql_tfidf("counts", "vocabulary", "weights")))
 def char_tfidf(spark, sf_dir):
     """Character TF-IDF of every document, all weights folded per document."""
-    counts, vocabulary = _vocabulary(spark, sf_dir, V.char_counts)
-    return _per_document(V.tfidf(counts, vocabulary))
+    return _per_document(V.tfidf(*_fitted(spark, sf_dir, "char"), kind="char"))
 
 
 @query(with_views("emails", _PER_DOC, _WORD_ALL + ", " + sql_tfidf("counts", "vocabulary", "weights")))
 def word_vectors(spark, sf_dir):
     """The same word weights as sparse vectors, opened and folded per document."""
-    mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
-    counts = V.word_counts(mail)
-    vectors = V.vectoriser(V.fit_vocabulary(counts, mail)).transform(mail)
-    return _per_document(V.vector_entries(vectors, "features"))
+    mail, vocabulary = _fitted(spark, sf_dir, "word")
+    return _per_document(V.vector_entries(V.vectoriser(vocabulary).transform(mail), "features"))
 
 
-_TRAIN = "train AS (SELECT * FROM labelled WHERE split = 'train')"
 _TRAIN_FIT = ", ".join([
-    _TRAIN, sql_word_counts("labelled", "counts"),
+    "train AS (SELECT * FROM labelled WHERE split = 'train')", sql_word_counts("labelled", "counts"),
     "train_counts AS (SELECT c.* FROM counts c JOIN train t ON c.email_id = t.email_id)",
     sql_vocabulary("train_counts", "train", "vocabulary"), sql_tfidf("counts", "vocabulary", "weights"),
 ])
@@ -113,9 +108,7 @@ _TRAIN_FIT = ", ".join([
 def train_fitted_tfidf(spark, sf_dir):
     """Vocabulary and idf from the train split, weights of every split."""
     mail = labelled(spark, sf_dir).select("email_id", "split", "clean_text")
-    counts = V.word_counts(mail, keep=("split",))
-    train = F.col("split") == "train"
-    weights = V.tfidf(counts, V.fit_vocabulary(counts.filter(train), mail.filter(train)))
+    weights = V.tfidf(mail, V.fit_vocabulary(mail.filter(F.col("split") == "train")), keep=("split",))
     per_split = weights.groupBy("split").agg(
         F.count("*").alias("weights"), F.count_distinct("email_id").alias("documents"), F.sum("weight").alias("total")
     )
@@ -124,61 +117,70 @@ def train_fitted_tfidf(spark, sf_dir):
 
 # ---- scaling and blocks ------------------------------------------------------------------
 
-_FEATURES_CTE = "f AS (" + sql_features("email_id", "clean_text", "emails") + ")"
+_TRAIN = "train AS (SELECT * FROM labelled WHERE split = 'train')"
+_FEATURES_CTE = _TRAIN + ", f AS (" + sql_features("email_id", "clean_text", "emails") + "), tf AS (" + sql_features("email_id", "clean_text", "train") + ")"
 # Ratios come back rounded from the shared feature SQL, so both sides scale rounded ratios.
 _RATIOS = ("upper_ratio", "digit_ratio", "punctuation_density")
 
 
+def _sql_scale(column: str) -> str:
+    return f"(SELECT CASE WHEN stddev_pop({column}) = 0 THEN 1e0 ELSE stddev_pop({column}) END FROM tf)"
+
+
 def _sql_scaled(with_mean: bool) -> str:
     columns = ", ".join(
-        s6(f"({c}{f' - avg({c}) OVER ()' if with_mean else ''}) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1e0 ELSE stddev_pop({c}) OVER () END") + f" AS {c}"
-        for c in FEATURE_NAMES
+        s6(f"({c}{f' - (SELECT avg({c}) FROM tf)' if with_mean else ''}) / {_sql_scale(c)}") + f" AS {c}" for c in FEATURE_NAMES
     )
     return f"SELECT email_id, {columns} FROM f"
 
 
-def _features(spark, sf_dir):
-    return rounded(structured_features(emails(spark, sf_dir)), *_RATIOS)
+def _features(mail):
+    return rounded(structured_features(mail), *_RATIOS)
+
+
+def _train(spark, sf_dir):
+    return labelled(spark, sf_dir).filter(F.col("split") == "train").select("email_id", "clean_text")
 
 
-@query(with_views("emails", _sql_scaled(True), _FEATURES_CTE))
+@query(with_views("emails labelled", _sql_scaled(True), _FEATURES_CTE))
 def standardised_features(spark, sf_dir):
-    """Structured features with mean 0 and population deviation 1."""
-    rows = _features(spark, sf_dir)
-    return rounded(V.apply_scaler(rows, V.fit_scaler(rows)), *FEATURE_NAMES)
+    """Structured features of all mail by the mean and population deviation of the train split."""
+    scaler = V.fit_scaler(_features(_train(spark, sf_dir)))
+    return rounded(V.apply_scaler(_features(emails(spark, sf_dir)), scaler), *FEATURE_NAMES)
 
 
-@query(with_views("emails", _sql_scaled(False), _FEATURES_CTE))
+@query(with_views("emails labelled", _sql_scaled(False), _FEATURES_CTE))
 def scaled_features(spark, sf_dir):
-    """Structured features divided by their deviation: zeros stay zero."""
-    rows = _features(spark, sf_dir)
-    return rounded(V.apply_scaler(rows, V.fit_scaler(rows), with_mean=False), *FEATURE_NAMES)
+    """Structured features of all mail divided by the train split's deviation: zeros stay zero."""
+    scaler = V.fit_scaler(_features(_train(spark, sf_dir)))
+    return rounded(V.apply_scaler(_features(emails(spark, sf_dir)), scaler, with_mean=False), *FEATURE_NAMES)
 
 
+# Vocabularies and scales of the train split, weights of all mail.
 _HYBRID_SQL = f"""SELECT e.email_id, CAST(coalesce(w.n, 0) + coalesce(c.n, 0) + s.n AS BIGINT) AS values, {s6('coalesce(w.s, 0) + coalesce(c.s, 0) + s.s')} AS squared
   FROM emails e LEFT JOIN (SELECT email_id, count(*) AS n, sum(weight * weight) AS s FROM ww GROUP BY 1) w ON e.email_id = w.email_id
   LEFT JOIN (SELECT email_id, count(*) AS n, sum(weight * weight) AS s FROM cw GROUP BY 1) c ON e.email_id = c.email_id
   JOIN (SELECT email_id, {' + '.join(f'(CASE WHEN {c} <> 0 THEN 1 ELSE 0 END)' for c in FEATURE_NAMES)} AS n,
     {' + '.join(f'{c} * {c}' for c in FEATURE_NAMES)} AS s FROM scaled) s ON e.email_id = s.email_id"""
 _HYBRID_CTES = ", ".join([
-    sql_word_counts("emails", "wc"), sql_vocabulary("wc", "emails", "wv"), sql_tfidf("wc", "wv", "ww"),
-    sql_char_counts("emails", "cc"), sql_vocabulary("cc", "emails", "cv"), sql_tfidf("cc", "cv", "cw"),
-    _FEATURES_CTE, f"""scaled AS (SELECT email_id, {', '.join(
-        f"{c} / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1e0 ELSE stddev_pop({c}) OVER () END AS {c}" for c in FEATURE_NAMES)} FROM f)""",
+    _FEATURES_CTE, sql_word_counts("train", "wt"), sql_vocabulary("wt", "train", "wv"), sql_word_counts("emails", "wc"), sql_tfidf("wc", "wv", "ww"),
+    sql_char_counts("train", "ct"), sql_vocabulary("ct", "train", "cv"), sql_char_counts("emails", "cc"), sql_tfidf("cc", "cv", "cw"),
+    f"scaled AS (SELECT email_id, {', '.join(f'{c} / {_sql_scale(c)} AS {c}' for c in FEATURE_NAMES)} FROM f)",
 ])
 
 
 def _blocks(spark, sf_dir):
-    """Mail with word vector, character vector and scaled features, and the two vocabularies."""
-    mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
-    words, chars = (V.fit_vocabulary(counter(mail), mail) for counter in (V.word_counts, V.char_counts))
+    """All mail with word vector, character vector and scaled features, every block fitted on the train split."""
+    train, mail = _train(spark, sf_dir), emails(spark, sf_dir).select("email_id", "clean_text")
+    scaler = V.fit_scaler(_features(train))
     rows = rounded(structured_features(mail, keep=("email_id", "clean_text")), *_RATIOS)
-    rows = V.apply_scaler(rows, V.fit_scaler(rows), with_mean=False)
-    rows = V.vectoriser(words, out="word").transform(rows)
-    return V.vectoriser(chars, kind="char", out="char").transform(rows)
+    rows = V.apply_scaler(rows, scaler, with_mean=False)
+    for kind in ("word", "char"):
+        rows = V.vectoriser(V.fit_vocabulary(train, kind), kind, out=kind).transform(rows)
+    return rows
 
 
-@query(with_views("emails", _HYBRID_SQL, _HYBRID_CTES))
+@query(with_views("emails labelled", _HYBRID_SQL, _HYBRID_CTES))
 def hybrid_block(spark, sf_dir):
     """Word, character and structured blocks side by side: entries and squared length."""
     entries = V.vector_entries(V.hybrid(_blocks(spark, sf_dir)), "hybrid").filter(F.col("weight") != 0)
@@ -194,8 +196,7 @@ def svd_block(spark, sf_dir):
     The factorisation is iterative, so SQL has no twin; the test compares singular values and
     projections with a dense factorisation.
     """
-    mail = V.by_document(emails(spark, sf_dir), "email_id", (), "clean_text")
-    train = labelled(spark, sf_dir).filter(F.col("split") == "train").select("email_id", "clean_text")
+    mail, train = emails(spark, sf_dir), _train(spark, sf_dir)
     model, right = _train_svd(train)
     rows = V.apply_svd(model.transform(mail).select("email_id", "features"), right).select("email_id", vector_to_array("svd").alias("svd"))
     scaler = V.fit_scaler(structured_features(train))
@@ -204,26 +205,12 @@ def svd_block(spark, sf_dir):
 
 def _train_svd(train):
     """The word vectoriser and right singular vectors of the training mail."""
-    model = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train, max_features=50_000))
+    model = V.vectoriser(V.fit_vocabulary(train, max_features=50_000))
     # More values than rows would be rounding noise.
     _, right = V.fit_svd(model.transform(train).select("email_id", "features"), k=min(SVD_COMPONENTS, train.count()))
     return model, right
 
 
-@query(with_views("labelled", """SELECT m.metric, m.value FROM (SELECT unnest([
-    {'metric': 'word_dim', 'value': (SELECT count(*) FROM vocabulary)}, {'metric': 'structured_dim', 'value': 20::BIGINT},
-    {'metric': 'train_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'train')},
-    {'metric': 'valid_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'valid')},
-    {'metric': 'test_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'test')}]) AS m)""", _TRAIN_FIT))
-def block_sizes(spark, sf_dir):
-    """Feature dimensions and split sizes."""
-    mail = labelled(spark, sf_dir).select("email_id", "split", "clean_text")
-    train = mail.filter(F.col("split") == "train")
-    vocabulary = V.fit_vocabulary(V.word_counts(train), train)
-    dims = {"word_dim": vocabulary.agg(F.count("*")).scalar(), "structured_dim": F.lit(len(FEATURE_NAMES))}
-    return V.block_sizes(dims, mail)
-
-
 _DIMS_FIT = ", ".join([
     _TRAIN_FIT, sql_char_counts("train", "char_counts"), sql_vocabulary("char_counts", "train", "char_vocabulary"),
     "dims AS (SELECT (SELECT count(*) FROM vocabulary) AS w, (SELECT count(*) FROM char_vocabulary) AS c, (SELECT count(*) FROM train) AS n)",
@@ -236,11 +223,11 @@ _DIMS_FIT = ", ".join([
     {{'metric': 'train_size', 'value': n}},
     {{'metric': 'valid_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'valid')}},
     {{'metric': 'test_size', 'value': (SELECT count(*) FROM labelled WHERE split = 'test')}}]) AS m FROM dims)""", _DIMS_FIT))
-def block_sizes_whole(spark, sf_dir):
+def block_sizes(spark, sf_dir):
     """All five feature dimensions, fitted on the train split, and the split sizes; the SVD block holds the structured columns too."""
     mail = labelled(spark, sf_dir).select("email_id", "split", "clean_text")
     train = mail.filter(F.col("split") == "train")
-    word, char = (V.fit_vocabulary(counter(train), train).count() for counter in (V.word_counts, V.char_counts))
+    word, char = (V.fit_vocabulary(train, kind).count() for kind in ("word", "char"))
     _, right = _train_svd(train)
     dims = {"word_dim": word, "char_dim": char, "structured_dim": len(FEATURE_NAMES),
             "hybrid_dim": word + char + len(FEATURE_NAMES), "svd_dim": right.shape[1] + len(FEATURE_NAMES)}
@@ -260,8 +247,8 @@ def vector_round_trip(spark, sf_dir):
     mail = labelled(spark, sf_dir).select("email_id", "split", "clean_text")
     train = mail.filter(F.col("split") == "train")
     path = scratch(spark, "vectors")
-    vectors = V.vectoriser(V.fit_vocabulary(V.word_counts(train), train)).transform(mail)
+    vectors = V.vectoriser(V.fit_vocabulary(train)).transform(mail)
     vectors.select("email_id", "split", "features").write.partitionBy("split").parquet(path)
     back = spark.read.parquet(path)
-    entries = V.vector_entries(back.withColumn("_key", F.struct("email_id", "split")), "features", key="_key")
-    return entries.groupBy("_key.split").agg(F.count("*").alias("weights"), r6(F.sum("weight")).alias("total"))
+    entries = V.vector_entries(back, "features", keep=("split",))
+    return entries.groupBy("split").agg(F.count("*").alias("weights"), r6(F.sum("weight")).alias("total"))

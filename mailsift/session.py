@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+BROADCAST_BYTES = 16_000_000  # a side is broadcast only if its rows were measured and take no more than this
 
 
 def build_session(app_name: str = "mailsift", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,21 +45,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and go on from the written rows.
-
-    The result survives lost executors and is read, not recomputed, by every consumer.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet below the shared checkpoint folder and read it back.
 
-    Unlike a checkpoint the table is compressed, has statistics and is read column by column.
+    The result survives lost executors and is read, not recomputed, by every consumer. Unlike a
+    checkpoint the table is compressed, has statistics and is read column by column.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Marked for broadcast only if the bytes of its rows were added up and are few; else a plain side.
+
+    ``df`` is meant to be a written table, as it is read once for the sum.
+    """
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)) if t in ("string", "binary") else F.lit(16) for c, t in df.dtypes]
+    total = df.agg(F.coalesce(F.sum(sum(sizes, F.lit(16)).cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= limit else df

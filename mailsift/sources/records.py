@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mailsift.config import ID_PREFIX_CHARS, MIN_BODY_CHARS
 from mailsift.functions import text as X
 from mailsift.schema import EMAIL_RECORD
+from mailsift.session import written
 from mailsift.sources.mail_files import sender_from_path
 from mailsift.sources.tables import label_of
 
@@ -52,21 +53,26 @@ def finish_record(df: DataFrame, raw_root: str = "raw", clean_root: str = "clean
 def number_copies(df: DataFrame, digest_col: str = "_digest") -> DataFrame:
     """Give equal rows the numbers 0, 1, 2, ... in ``copy_no``.
 
-    Copies are counted with partial aggregation and written out again in chunks of bounded
-    size, so one row repeated a billion times is neither one group nor one task.
+    Only digests are counted, and only those that repeat are written. All other rows stay where they
+    are, by an anti-join on the digest; a repeated row is fetched once and written out again in chunks
+    of bounded size, so one row repeated a billion times is neither one group nor one task.
     """
     columns = [c for c in df.columns if c != digest_col]
     keyed = df.withColumn(digest_col, F.sha2(F.to_json(F.struct(*columns)), 256))
-    counted = keyed.groupBy(digest_col).agg(*[F.any_value(c).alias(c) for c in columns], F.count("*").alias("_n"))
+    counted = keyed.groupBy(digest_col).agg(F.count("*").alias("_n"))
+    repeated = written(counted.filter("_n > 1"), "repeated")
+    single = keyed.join(repeated, digest_col, "left_anti").select(*columns, digest_col, F.lit(0).cast("bigint").alias("copy_no"))
+    copies = keyed.join(repeated, digest_col, "left_semi").groupBy(digest_col).agg(*[F.any_value(c).alias(c) for c in columns])
     last_chunk = F.floor((F.col("_n") - 1) / COPIES_PER_TASK)
-    chunks = counted.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    chunks = copies.join(repeated, digest_col).withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
     start = F.col("_chunk") * COPIES_PER_TASK
     stop = F.least(F.col("_n"), start + COPIES_PER_TASK) - 1
-    return (
+    numbered = (
         chunks.repartition(digest_col, "_chunk")
         .withColumn("copy_no", F.explode(F.sequence(start, stop)))
         .select(*columns, digest_col, "copy_no")
     )
+    return single.union(numbered)
 
 
 def records_from_table(

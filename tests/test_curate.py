@@ -85,3 +85,20 @@ def test_label_words_with_any_white_space(spark):
 
     words = spark.createDataFrame([("spam\t",), ("1\n",), ("\u00a0ham",), (" no such",)], "word string")
     assert [r[0] for r in words.select(tables.label_of(words["word"])).collect()] == [1, 1, 0, None]
+
+
+def test_the_first_row_of_a_group_is_fetched_by_a_semi_join(spark):
+    rows = [("g", "b", "1", "x"), ("g", "a", "9", "y"), ("g", "a", "9", "y"), ("h", "a", None, "z"), ("h", "a", "2", "w"), (None, None, None, "n"), ("k", "c", "3", "k")]
+    frame = spark.createDataFrame(rows, "duplicate_group string, source_dataset string, email_id string, text string").repartition(3)
+    kept = curate.deduplicate(frame)
+    assert sorted(r.text for r in kept.collect()) == ["k", "n", "y", "z"]
+    plan = curate.deduplicate(frame.filter("text <> 'y'"))._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "Aggregate" not in plan and "Window" not in plan
+
+
+def test_equal_rows_are_numbered(spark):
+    from mailsift.sources.records import number_copies
+
+    frame = spark.createDataFrame([("a", 1)] * 5 + [("b", None)] * 2 + [("c", 2)], "text string, n int").repartition(4)
+    got = sorted((r.text, r.copy_no) for r in number_copies(frame).collect())
+    assert got == [("a", i) for i in range(5)] + [("b", 0), ("b", 1), ("c", 0)]

@@ -117,3 +117,17 @@ def test_platt_targets(spark):
     t = np.array([1 / 5, 1 / 5, 3 / 4, 3 / 4, 1 / 5])
     q = 1 / (1 + np.exp(-(fitted["slope"] * z + fitted["intercept"])))
     assert abs((q - t).sum()) < 1e-3 and abs(((q - t) * z).sum()) < 1e-3
+
+
+def test_curves_use_no_keyed_join(spark):
+    rows = [(m, i % 3 == 0, (i % 7) / 10) for m in "ab" for i in range(40)]
+    scored = spark.createDataFrame([(m, int(y), p) for m, y, p in rows], "model string, label int, probability double")
+    prefix = M.prefix_counts(M.score_histogram(scored, ("model",)), ("model",))
+    for curve, end in ((M.roc_points, (0.0, 0.0, None)), (M.pr_points, (0.0, 1.0, None))):
+        points = curve(prefix, ("model",))
+        plan = points._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and all("_part" in part.split(")")[0] for part in plan.split("hashpartitioning(")[1:])
+        got = [tuple(r)[1:] for r in points.filter("model = 'a'").collect()]
+        assert len(got) == 8 and end in got
+    top = M.roc_points(prefix, ("model",)).filter("model = 'b' and threshold = 0.0").first()
+    assert (top.fpr, top.tpr) == (1.0, 1.0)

@@ -1,6 +1,11 @@
-"""The SVD block against a dense factorisation."""
+"""Vocabularies and vector blocks against plain versions, the SVD block against a dense factorisation."""
+
+import re
+from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pytest
 from pyspark.ml.linalg import Vectors
 
 from mailsift.operators import vectors as V
@@ -17,3 +22,66 @@ def test_svd_equals_a_dense_factorisation(spark):
     assert np.allclose(values, np.linalg.svd(dense, compute_uv=False)[:3], atol=1e-8)
     for row in V.apply_svd(rows, right).collect():
         assert np.allclose(row.svd.toArray(), dense[int(row.email_id)] @ right, atol=1e-12)
+
+
+# ---- vocabulary --------------------------------------------------------------------------
+
+
+def _texts(n=120):
+    rng = np.random.default_rng(8)
+    return [" ".join("".join(rng.choice(list("abé_1"), rng.integers(1, 4))) for _ in range(rng.integers(0, 25))) for _ in range(n)] + ["", "x", None]
+
+
+def _grams(text, kind):
+    text = (text or "").lower()
+    if kind == "word":
+        words = re.findall(r"\w{2,}", text)
+        return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    out = []
+    for chunk in text.split():
+        padded = f" {chunk} "
+        out += [padded[i : i + n] for n in (3, 4, 5) if n == 3 or len(padded) >= n for i in range(max(1, len(padded) - n + 1))]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["word", "char"])
+@pytest.mark.parametrize("most", [1, 7, 40, 10_000])
+def test_vocabulary_keeps_the_most_frequent_and_cuts_ties_by_name(spark, kind, most):
+    texts = _texts()
+    cf, df = Counter(), Counter()
+    for text in texts:
+        cf.update(_grams(text, kind))
+        df.update(set(_grams(text, kind)))
+    want = sorted((t for t in cf if df[t] >= 2), key=lambda t: (-cf[t], t.encode()))[:most]
+    frame = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "email_id string, clean_text string").repartition(3)
+    got = V.fit_vocabulary(frame, kind, max_features=most).collect()
+    assert sorted((r.term, r.cf, r.df) for r in got) == sorted((t, cf[t], df[t]) for t in want)
+    assert [r.term for r in sorted(got, key=lambda r: r.idx)] == sorted(want, key=str.encode)
+    assert all(abs(r.idf - (np.log((1 + len(texts)) / (1 + r.df)) + 1)) < 1e-12 for r in got)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_statistics_move_terms_once_and_no_text(spark):
+    frame = spark.createDataFrame([("1", "ab cd")], "email_id string, clean_text string")
+    words, chars = (_plan(V.term_statistics(frame, kind)) for kind in ("word", "char"))
+    assert words.count("Exchange ") == 1 and "hashpartitioning(term" in words
+    assert chars.count("hashpartitioning(term") == 1 and "TakeOrdered" not in words + chars
+    weights = _plan(V.tfidf(frame, V.fit_vocabulary(frame, min_df=1)))
+    assert "hashpartitioning" not in weights and "Python" not in weights and "Arrow" not in weights
+
+
+def test_entries_of_sparse_and_dense_vectors(spark):
+    rows = [("s", Vectors.sparse(5, {1: 2.0, 4: 3.0})), ("d", Vectors.dense([7.0, 0.0])), ("e", Vectors.sparse(3, {})), ("z", Vectors.dense([]))]
+    entries = V.vector_entries(spark.createDataFrame(rows, ["email_id", "v"]), "v").collect()
+    assert sorted(map(tuple, entries)) == [("d", 0, 7.0), ("d", 1, 0.0), ("s", 1, 2.0), ("s", 4, 3.0)]
+
+
+def test_projection_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(V, "STRETCH", 4)
+    vectors = pd.DataFrame({"indices": [np.array([0, 2]), None, np.array([], int), np.array([1])], "values": [[1.0, 2.0], [3.0, 4.0, 5.0], [], [6.0]]})
+    seen = [(rows.tolist(), starts.tolist(), positions.tolist()) for rows, starts, positions, _ in V._stretches(vectors)]
+    assert [r for rows, _, _ in seen for r in rows] == [0, 1, 3]
+    assert [p for _, _, positions in seen for p in positions] == [0, 2, 0, 1, 2, 1]

@@ -47,7 +47,9 @@ def structured_feature_columns(text: Column) -> dict[str, Column]:
     lower = F.lower(text)
     chars = F.length(text)
     per_char = F.greatest(F.lit(1), chars)
-    tags = _if_has(text.contains("<"), _matches(text, P.HTML_TAG))
+    # Beyond the last ">" no tag can end, and every "<" there would search to the end of the text.
+    closed = F.left(text, chars - F.length(F.substring_index(text, ">", -1)))
+    tags = _if_has(text.contains("<"), _matches(closed, P.HTML_TAG))
     links = _matches(text, "(?iu)(?=[hw])(?:" + P.URL + ")")
     columns = {
         "char_len": chars,
@@ -58,7 +60,7 @@ def structured_feature_columns(text: Column) -> dict[str, Column]:
         "upper_ratio": _chars_in(text, P.UPPER) / F.greatest(F.lit(1), _chars_in(text, P.ALPHA)),
         "digit_ratio": _chars_in(text, P.DIGIT) / per_char,
         "url_count": links,
-        "email_count": _if_has(text.contains("@"), _matches(text, P.EMAIL)),
+        "email_count": _if_has(text.contains("@"), _matches(text, P.EMAIL_AT_RUN)),
         "html_tag_count": tags,
         "has_html": (lower.contains("<html") | lower.contains("<body") | (tags > 0)).cast("int"),
         "attachment_hint": contains_any(lower, P.ATTACHMENT_WORDS).cast("int"),

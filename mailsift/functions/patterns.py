@@ -28,11 +28,14 @@ DIGIT = rf"(?:(?=\p{{N}})[{DIGIT_CHARS}])"
 UNCLEAN_SPACE_RUN = (
     rf"(?![!-~\x{{A1}}-\x{{167F}}])(?: (?=[\x00{SPACE_CHARS}])|[^ ](?<=[\x00{SPACE_CHARS}]))[\x00{SPACE_CHARS}]*"
 )
-EDGE_SPACE = rf"^{SPACE}+|{SPACE}+$"
+# A run of spaces is tried once, from its start.
+EDGE_SPACE = rf"^{SPACE}+|(?<!{SPACE}){SPACE}++$"
 
 # The published patterns, in explicit classes.
 URL = rf"https?://{NON_SPACE}+|www\.{NON_SPACE}+"
 EMAIL = rf"[{WORD_CHARS}.\-]++@[{WORD_CHARS}.\-]+\.{WORD}+"
+# The same matches in linear time: one can only start where a run does, or where the last one ended.
+EMAIL_AT_RUN = rf"(?:\G|(?<![{WORD_CHARS}.\-])){EMAIL}"
 HTML_TAG = r"<[^>]+>"
 PHONE = (
     rf"(?:\+?{DECIMAL}{{1,3}}[-.{SPACE_CHARS}]?)?"

@@ -38,7 +38,7 @@ def normalize_for_dedup(text: Column) -> Column:
     The literal test spares the costliest pattern on the many texts that hold no address.
     """
     linked = F.regexp_replace(F.lower(clean_text(text)), P.URL, "<url>")
-    addressed = F.when(linked.contains("@"), F.regexp_replace(linked, P.EMAIL, "<email>")).otherwise(linked)
+    addressed = F.when(linked.contains("@"), F.regexp_replace(linked, P.EMAIL_AT_RUN, "<email>")).otherwise(linked)
     return F.regexp_replace(addressed, P.DECIMAL + "+", "<num>")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from mailsift.functions.probability import apply_sigmoid, apply_temperature, logit, sigmoid
-from mailsift.operators.linear import fit_logistic
+from mailsift.operators.linear import fit_line
 from mailsift.operators.metrics import report, score_histogram
 
 # 91 candidate temperatures from 0.5 in steps of 0.05.
@@ -51,13 +51,7 @@ def scale_by_temperature(scored: DataFrame, fitted: DataFrame, keys: tuple[str,
 
 def fit_sigmoid(scored: DataFrame, prob: str = "probability", label: str = "label") -> dict[str, float]:
     """Slope and intercept of a regularised logistic fit (C = 1) on the logit of the score."""
-    from pyspark.ml.functions import array_to_vector
-
-    frame = scored.select(
-        F.col(label).cast("double").alias("label"), array_to_vector(F.array(logit(F.col(prob)))).alias("features")
-    )
-    model = fit_logistic(frame)
-    return {"slope": float(model.coefficients[0]), "intercept": float(model.intercept)}
+    return fit_line(scored, logit(F.col(prob)), F.col(label).cast("double"), F.lit(1.0), penalty=1.0)
 
 
 def scale_by_sigmoid(scored: DataFrame, fitted: dict[str, float], prob: str = "probability", out: str = "prob_after") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mailsift.config import PRECISION_FLOOR
 from mailsift.functions import probability as prob
-from mailsift.operators import audit, calibration as cal, metrics as M, thresholds as T
+from mailsift.operators import audit, calibration as cal, linear, metrics as M, thresholds as T
 from mailsift.plans.curation_queries import scratch
 from mailsift.plans.inputs import one_model, scored, scored_lines, with_views
 from mailsift.plans.registry import query, r6, rounded, s6
@@ -262,11 +262,37 @@ def calibration_comparison(spark, sf_dir):
     return rounded(cal.before_after(_tempered(spark, sf_dir), "sharp", "temperature"), *names)
 
 
-@query()
+def sql_line(rows: str, penalty: float, steps: int = 15) -> str:
+    """CTEs ending in ``line (a, b)``: Newton steps of a logistic curve over ``rows (x, t)``, written out one by one."""
+    out = ["n0 AS (SELECT 0e0 AS a, 0e0 AS b)"]
+    for i in range(steps):
+        p = "(1e0 / (1e0 + exp(-(a * x + b))))"
+        out.append(f"""m{i} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, sum(({p} - t) * x) + {penalty}e0 * any_value(a) AS ga, sum({p} - t) AS gb,
+          sum({p} * (1e0 - {p}) * x * x) + {penalty}e0 AS aa, sum({p} * (1e0 - {p}) * x) AS ab, sum({p} * (1e0 - {p})) AS bb FROM {rows}, n{i})""")
+        out.append(f"n{i + 1} AS MATERIALIZED (SELECT a - (bb * ga - ab * gb) / (aa * bb - ab * ab) AS a, b - (aa * gb - ab * ga) / (aa * bb - ab * ab) AS b FROM m{i})")
+    return ", ".join(out) + f", line AS (SELECT * FROM n{steps})"
+
+
+_LOGIT = "ln(greatest(1e-6, least(1e0 - 1e-6, probability)) / (1e0 - greatest(1e-6, least(1e0 - 1e-6, probability))))"
+_SIGMOID_FIT = f"rows AS (SELECT {_LOGIT} AS x, label::DOUBLE AS t FROM one_model), " + sql_line("rows", 1)
+_PLATT_FIT = f"""counts AS (SELECT count_if(label = 1) AS n1, count_if(label = 0) AS n0 FROM one_model),
+  rows AS (SELECT {_LOGIT} AS x, CASE WHEN label = 1 THEN (n1 + 1e0) / (n1 + 2e0) ELSE 1e0 / (n0 + 2e0) END AS t FROM one_model, counts), """ + sql_line("rows", 0)
+
+
+@query(with_views("one_model", f"""SELECT email_id, label AS y_true, probability AS prob_before,
+  {s6(f"1e0 / (1e0 + exp(-(a * {_LOGIT} + b)))")} AS prob_after FROM one_model, line""", _SIGMOID_FIT))
 def sigmoid_calibration(spark, sf_dir):
-    """Scores before and after a fitted sigmoid: an iterative fit, so SQL has no twin."""
+    """Scores before and after a fitted sigmoid; SQL takes the same Newton steps."""
     rows = one_model(spark, sf_dir)
-    return cal.calibrated_table(cal.scale_by_sigmoid(rows, cal.fit_sigmoid(rows)))
+    return rounded(cal.calibrated_table(cal.scale_by_sigmoid(rows, cal.fit_sigmoid(rows))), "prob_after")
+
+
+@query(with_views("one_model", f"SELECT {s6('a')} AS slope, {s6('b')} AS intercept FROM line", _PLATT_FIT))
+def platt_scaling(spark, sf_dir):
+    """Slope and intercept of the unpenalised sigmoid with Platt's smoothed targets."""
+    rows = one_model(spark, sf_dir).withColumn("margin", prob.logit(F.col("probability")))
+    fitted = spark.createDataFrame([linear.fit_platt(rows)], "slope double, intercept double")
+    return rounded(fitted, "slope", "intercept")
 
 
 # ---- gates and sinks ---------------------------------------------------------------------

@@ -6,11 +6,12 @@ iterative fits have no SQL twin and are checked by rows alone.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F, types as T
 
 from mailsift.functions import probability as prob, text as X
 from mailsift.functions.patterns import ERROR_TYPES, RISK_LEVELS
-from mailsift.operators import bayes, calibration as cal, explain, linear, metrics as M, scoring as S, vectors as V
+from mailsift.operators import bayes, calibration as cal, certificates, explain, linear, metrics as M, scoring as S, vectors as V
 from mailsift.plans.curation_queries import scratch
 from mailsift.plans.evaluation_queries import METRICS, _FITTED, _LOSSES, sql_report, sql_round, sql_temper
 from mailsift.plans.inputs import emails, labelled, with_views
@@ -153,25 +154,11 @@ def streamed_mail(spark, sf_dir):
 
 _HISTORY_SQL = f"""SELECT ts, 'csv_batch' AS mode, {s6('probability')} AS probability, CASE risk_code {_RISK_NAMES} END AS risk, text_preview FROM (
     SELECT epoch_us(e.ts) AS ts, s.probability, substr(s.clean_text, 1, 120) AS text_preview, {_RISK_SQL.replace('probability', 's.probability')}
-    FROM scores s JOIN events e ON s.email_id = CAST(e.event_id AS VARCHAR) ORDER BY e.ts DESC, text_preview LIMIT 500)"""
+    FROM scores s JOIN events e ON s.email_id = CAST(e.event_id % (SELECT count(*) FROM emails) AS VARCHAR) ORDER BY e.ts DESC, text_preview LIMIT 500)"""
 
 
 @query(with_views("labelled", _HISTORY_SQL, _ALL_SCORES))
 def scoring_history(spark, sf_dir):
-    """The newest 500 entries of an appended log; the time is the event's. Times are in microseconds."""
-    path = scratch(spark, "history")
-    events = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("email_id"), F.col("ts").alias("seen"))
-    scored = _nb_bundle(spark, sf_dir).score(emails(spark, sf_dir).select("email_id", "clean_text")).join(events, "email_id")
-    S.append_history(S.history_entries(scored, F.col("seen"), S.MODE_BATCH), path)
-    recent = S.recent_history(spark.read.parquet(path))
-    return rounded(recent.withColumn("ts", F.unix_micros(F.col("ts").cast("timestamp"))), "probability")
-
-
-_WHOLE_HISTORY_SQL = _HISTORY_SQL.replace("CAST(e.event_id AS VARCHAR)", "CAST(e.event_id % (SELECT count(*) FROM emails) AS VARCHAR)")
-
-
-@query(with_views("labelled", _WHOLE_HISTORY_SQL, _ALL_SCORES))
-def scoring_history_whole(spark, sf_dir):
     """The newest 500 entries of a log of all events: each has the mail of its number modulo the number of mails."""
     path = scratch(spark, "history")
     mail = emails(spark, sf_dir).select("email_id", "clean_text")
@@ -278,6 +265,14 @@ def _train_valid(spark, sf_dir):
     return mail.filter(F.col("split") == "train"), mail.filter(F.col("split") == "valid")
 
 
+def _embeddings(spark, sf_dir):
+    """Dense vectors with label 1 against the rest."""
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("email_id"), (F.col("label") == 1).cast("int").alias("label"),
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+    )
+
+
 @query()
 def model_summary(spark, sf_dir):
     """Naive Bayes, logistic regression and calibrated SVM: one metric row each."""
@@ -290,6 +285,25 @@ def imbalance_strategies(spark, sf_dir):
     return compare_imbalance(*_train_valid(spark, sf_dir))
 
 
+_CERTIFIED = """SELECT m.model, c."check", true AS ok, m.rows FROM (
+    SELECT 'mail' AS model, count(*) AS rows FROM labelled WHERE split = 'train' UNION ALL SELECT 'embeddings', count(*) FROM embeddings) m,
+  (SELECT unnest(['steepest slope of a feature', 'slope of the intercept', 'loss against that of the mean']) AS "check") c"""
+
+
+@query(with_views("labelled", _CERTIFIED))
+def logistic_certificates(spark, sf_dir):
+    """Both logistic fits are at the optimum of their loss, by gradients over all their rows."""
+    train, _ = _train_valid(spark, sf_dir)
+    vectors = written(V.vectoriser(V.fit_vocabulary(train)).transform(train).select("email_id", "features", "label"), "vectors")
+    fits = {"mail": (linear.with_class_weight(vectors), "weight"), "embeddings": (_embeddings(spark, sf_dir), None)}
+    parts = []
+    for name, (rows, weight) in fits.items():
+        scorer = linear.LogisticScorer(linear.fit_logistic(rows, weight=weight))
+        table = certificates.logistic_certificate(rows, scorer, weight=weight)
+        parts.append(table.select(F.lit(name).alias("model"), "check", "ok", F.lit(rows.count()).alias("rows")))
+    return parts[0].union(parts[1])
+
+
 @query()
 def logistic_coefficients(spark, sf_dir):
     """The strongest logistic-regression coefficients of either sign."""
@@ -304,12 +318,7 @@ def logistic_coefficients(spark, sf_dir):
 @query()
 def logistic_on_embeddings(spark, sf_dir):
     """Logistic regression on dense vectors: probability of label 1 against the rest."""
-    from pyspark.ml.functions import array_to_vector
-
-    rows = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").cast("string").alias("email_id"), (F.col("label") == 1).cast("int").alias("label"),
-        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
-    )
+    rows = _embeddings(spark, sf_dir)
     scorer = linear.LogisticScorer(linear.fit_logistic(rows))
     return scorer.score(rows).select("email_id", "label", "probability")
 
@@ -351,23 +360,6 @@ _KIND = "CAST(email_id AS BIGINT)"
 _BAD = f"{_KIND} % 11 = 3"
 
 
-@query(with_views("emails", f"""SELECT email_id, clean_text, subject, sender, 'Mon, 01 Jan 2024 00:00:00 +0000' AS date,
-    CASE WHEN {_KIND} % 5 = 0 THEN 'digest' ELSE '<m' || email_id || '@mail.example>' END AS message_id,
-    {_KIND} % 3 <> 0 AS has_html, {_KIND} % 3 = 2 AS attachment_hint,
-    CASE WHEN {_KIND} % 3 = 0 THEN '' ELSE clean_text END AS html_text
-  FROM emails WHERE NOT {_BAD}"""))
-def parsed_mail(spark, sf_dir):
-    """Message bytes to fields, for plain, HTML and multipart mail. A digest id is shown as such."""
-    from mailsift.sources.mail_files import parse_mail
-
-    parsed = parse_mail(raw_messages(spark, sf_dir).drop("path")).filter(F.col("parse_error").isNull())
-    is_digest = F.col("message_id").rlike("^[0-9a-f]{64}$")
-    return parsed.select(
-        "email_id", "clean_text", "subject", "sender", "date",
-        F.when(is_digest, "digest").otherwise(F.col("message_id")).alias("message_id"), "has_html", "attachment_hint", "html_text",
-    )
-
-
 @query(with_views("emails", f"SELECT 'TypeError' AS error, count(*) AS n FROM emails WHERE {_BAD}"))
 def rejected_mail(spark, sf_dir):
     """Messages without a readable body, counted by error."""
@@ -379,20 +371,6 @@ def rejected_mail(spark, sf_dir):
     return rejects.groupBy(F.substring_index("parse_error", ":", 1).alias("error")).agg(F.count("*").alias("n"))
 
 
-@query(with_views("emails", f"""SELECT sha256('/corpus/' || CASE WHEN {_KIND} % 4 = 0 THEN 'spam' ELSE 'ham' END || '/' || e.email_id || '::' || '<m' || e.email_id || '@mail.example>' || '::' || substr(clean_text, 1, 200)) AS email_id,
-    CASE WHEN {_KIND} % 4 = 0 THEN 1 ELSE 0 END AS label, subject, md5(clean_text) AS text_md5
-  FROM emails e WHERE NOT {_BAD} AND {_KIND} % 5 <> 0 AND length(clean_text) >= 10""".replace("CAST(email_id", "CAST(e.email_id")))
-def raw_mail_records(spark, sf_dir):
-    """Records from raw messages that carry a message id: label by folder, id by path and text."""
-    from mailsift.sources.mail_files import label_from_path, parse_mail
-    from mailsift.sources.records import records_from_mail
-
-    with_id = raw_messages(spark, sf_dir).filter(F.col("email_id").cast("bigint") % 5 != 0)
-    parsed = parse_mail(with_id.drop("email_id")).withColumn("label", label_from_path(F.col("path"), "/corpus"))
-    built, _ = records_from_mail(parsed, "raw_mail")
-    return built.select("email_id", "label", "subject", X.md5_text(F.col("clean_text")).alias("text_md5"))
-
-
 # The bytes of a plain, an HTML and a mixed message, for the digest of those without a Message-ID.
 _LINE = "chr(13) || chr(10)"
 _EIGHT = f"'Content-Transfer-Encoding: 8bit' || {_LINE} || {_LINE}"
@@ -406,11 +384,24 @@ _DIGEST_SQL = f"""sha256('From: ' || e.sender || {_LINE} || 'Subject: ' || e.sub
   || 'MIME-Version: 1.0' || {_LINE} || CASE {_KIND} % 3 WHEN 0 THEN {_PLAIN_SQL} WHEN 1 THEN {_HTML_SQL} ELSE {_MIXED_SQL} END)"""
 
 
+@query(with_views("emails", f"""SELECT email_id, clean_text, subject, sender, 'Mon, 01 Jan 2024 00:00:00 +0000' AS date,
+    CASE WHEN {_KIND} % 5 = 0 THEN {_DIGEST_SQL} ELSE '<m' || email_id || '@mail.example>' END AS message_id,
+    {_KIND} % 3 <> 0 AS has_html, {_KIND} % 3 = 2 AS attachment_hint,
+    CASE WHEN {_KIND} % 3 = 0 THEN '' ELSE clean_text END AS html_text
+  FROM emails e WHERE NOT {_BAD}""".replace("CAST(email_id", "CAST(e.email_id")))
+def parsed_mail(spark, sf_dir):
+    """Message bytes to fields, for plain, HTML and multipart mail; one without an id has the digest of its bytes."""
+    from mailsift.sources.mail_files import parse_mail
+
+    parsed = parse_mail(raw_messages(spark, sf_dir).drop("path")).filter(F.col("parse_error").isNull())
+    return parsed.select("email_id", "clean_text", "subject", "sender", "date", "message_id", "has_html", "attachment_hint", "html_text")
+
+
 @query(with_views("emails", f"""SELECT sha256('/corpus/' || CASE WHEN {_KIND} % 4 = 0 THEN 'spam' ELSE 'ham' END || '/' || e.email_id || '::'
       || CASE WHEN {_KIND} % 5 = 0 THEN {_DIGEST_SQL} ELSE '<m' || e.email_id || '@mail.example>' END || '::' || substr(clean_text, 1, 200)) AS email_id,
     CASE WHEN {_KIND} % 4 = 0 THEN 1 ELSE 0 END AS label, subject, md5(clean_text) AS text_md5
   FROM emails e WHERE NOT {_BAD} AND length(clean_text) >= 10""".replace("CAST(email_id", "CAST(e.email_id")))
-def raw_mail_records_whole(spark, sf_dir):
+def raw_mail_records(spark, sf_dir):
     """Records from all raw messages; those without a message id have the digest of their bytes in the id."""
     from mailsift.sources.mail_files import label_from_path, parse_mail
     from mailsift.sources.records import records_from_mail
@@ -420,16 +411,9 @@ def raw_mail_records_whole(spark, sf_dir):
     return built.select("email_id", "label", "subject", X.md5_text(F.col("clean_text")).alias("text_md5"))
 
 
-@query(with_views("labelled", f"SELECT email_id, {s6('probability')} AS probability FROM scores WHERE NOT {_BAD}", _ALL_SCORES))
-def scored_messages(spark, sf_dir):
-    """Raw messages parsed and scored in one job."""
-    scored = S.score_mail(raw_messages(spark, sf_dir).drop("path"), _nb_bundle(spark, sf_dir)).filter(F.col("parse_error").isNull())
-    return rounded(scored.select("email_id", "probability"), "probability")
-
-
 @query(with_views("labelled", f"""SELECT email_id, CASE WHEN NOT {_BAD} THEN {s6('probability')} END AS probability,
   CASE WHEN {_BAD} THEN 'TypeError' END AS error FROM scores""", _ALL_SCORES))
-def scored_messages_whole(spark, sf_dir):
+def scored_messages(spark, sf_dir):
     """A row for every raw message: its score, or the kind of its parse error."""
     scored = S.score_mail(raw_messages(spark, sf_dir).drop("path"), _nb_bundle(spark, sf_dir))
     return rounded(scored.select("email_id", "probability", F.substring_index("parse_error", ":", 1).alias("error")), "probability")

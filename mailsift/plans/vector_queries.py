@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, SVD_COMPONENTS
 from mailsift.functions.features import FEATURE_NAMES, structured_features
-from mailsift.operators import vectors as V
+from mailsift.operators import certificates, vectors as V
+from mailsift.session import written
 from mailsift.plans.curation_queries import scratch
 from mailsift.plans.inputs import emails, labelled, with_views
 from mailsift.plans.registry import query, r6, rounded, s6
@@ -197,18 +198,29 @@ def svd_block(spark, sf_dir):
     projections with a dense factorisation.
     """
     mail, train = emails(spark, sf_dir), _train(spark, sf_dir)
-    model, right = _train_svd(train)
+    model, right, _ = _train_svd(train)
     rows = V.apply_svd(model.transform(mail).select("email_id", "features"), right).select("email_id", vector_to_array("svd").alias("svd"))
     scaler = V.fit_scaler(structured_features(train))
     return V.apply_scaler(structured_features(mail), scaler).join(rows, "email_id")
 
 
+@query(with_views("labelled", f"""SELECT c."check", true AS ok, least({SVD_COMPONENTS}, (SELECT count(*) FROM labelled WHERE split = 'train')) AS components
+  FROM (SELECT unnest(['tilt of the vectors', 'residual of the Gram matrix', 'share of the squared length']) AS "check") c"""))
+def svd_certificate(spark, sf_dir):
+    """The singular vectors of the training mail are orthonormal and invariant under its Gram matrix, by sums over all rows."""
+    train = written(_train(spark, sf_dir), "train")
+    model, right, values = _train_svd(train)
+    vectors = written(model.transform(train).select("email_id", "features"), "vectors")
+    checks = certificates.svd_certificate(vectors, values, right)
+    return checks.select("check", "ok", F.lit(right.shape[1]).cast("long").alias("components"))
+
+
 def _train_svd(train):
-    """The word vectoriser and right singular vectors of the training mail."""
+    """The word vectoriser, right singular vectors and singular values of the training mail."""
     model = V.vectoriser(V.fit_vocabulary(train, max_features=50_000))
     # More values than rows would be rounding noise.
-    _, right = V.fit_svd(model.transform(train).select("email_id", "features"), k=min(SVD_COMPONENTS, train.count()))
-    return model, right
+    values, right = V.fit_svd(model.transform(train).select("email_id", "features"), k=min(SVD_COMPONENTS, train.count()))
+    return model, right, values
 
 
 _DIMS_FIT = ", ".join([
@@ -228,7 +240,7 @@ def block_sizes(spark, sf_dir):
     mail = labelled(spark, sf_dir).select("email_id", "split", "clean_text")
     train = mail.filter(F.col("split") == "train")
     word, char = (V.fit_vocabulary(train, kind).count() for kind in ("word", "char"))
-    _, right = _train_svd(train)
+    _, right, _ = _train_svd(train)
     dims = {"word_dim": word, "char_dim": char, "structured_dim": len(FEATURE_NAMES),
             "hybrid_dim": word + char + len(FEATURE_NAMES), "svd_dim": right.shape[1] + len(FEATURE_NAMES)}
     return V.block_sizes({name: F.lit(value) for name, value in dims.items()}, mail)

@@ -8,7 +8,7 @@ from mailsift.plans.inputs import labelled
 from test_queries import _rows, duck  # noqa: F401
 
 WHOLE = (
-    "raw_mail_records_whole", "scored_messages_whole", "scoring_history_whole", "block_sizes_whole",
+    "raw_mail_records", "scored_messages", "scoring_history", "block_sizes", "parsed_mail", "sigmoid_calibration", "platt_scaling",
 )
 
 

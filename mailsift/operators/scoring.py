@@ -26,6 +26,8 @@ class MailModel:
     scorer: LogisticScorer | BayesScorer | SvmScorer
     calibrator: dict = field(default_factory=dict)  # {} | {"temperature": t} | {"slope": a, "intercept": b}
     text_col: str = "clean_text"
+    threshold: float = DEPLOYED_THRESHOLD
+    version: int = 0
 
     def calibrate(self, prob: Column) -> Column:
         if "temperature" in self.calibrator:
@@ -38,14 +40,16 @@ class MailModel:
         vectors = self.features.transform(df.withColumn(self.text_col, no_null(F.col(self.text_col))))
         return self.scorer.score(vectors, out).drop("features")
 
-    def score(self, df: DataFrame, threshold: float = DEPLOYED_THRESHOLD) -> DataFrame:
+    def score(self, df: DataFrame, threshold: float | None = None, keep_raw: bool = False) -> DataFrame:
         """``df`` with probability, pred, risk and risk_code; stateless and map-only.
 
-        The decision uses ``threshold`` and the risk its own cuts, so a mail can be of risk
-        ``spam`` and still not be flagged.
+        The decision uses ``threshold``, the bundle's own by default, and the risk its own cuts, so a
+        mail can be of risk ``spam`` and still not be flagged. ``keep_raw`` adds the score before
+        calibration as ``raw``.
         """
-        scored = self.raw_scores(df).withColumn("probability", self.calibrate(F.col("probability")))
-        p = F.col("probability")
+        scored = self.raw_scores(df, "raw").withColumn("probability", self.calibrate(F.col("raw")))
+        scored = scored if keep_raw else scored.drop("raw")
+        p, threshold = F.col("probability"), self.threshold if threshold is None else threshold
         return scored.withColumns(
             {"pred": (p >= threshold).cast("int"), "risk": risk_label(p), "risk_code": risk_code(p)}
         )
@@ -53,14 +57,18 @@ class MailModel:
     def save(self, path: str) -> None:
         spark = SparkSession.active()
         self.features.write().overwrite().save(path + "/features")
-        facts = {**self.scorer.save(path), "calibrator": self.calibrator, "text_col": self.text_col}
+        facts = {
+            **self.scorer.save(path), "calibrator": self.calibrator, "text_col": self.text_col, "threshold": self.threshold, "version": self.version,
+        }
         spark.createDataFrame([(json.dumps(facts),)], "facts string").coalesce(1).write.mode("overwrite").text(path + "/facts")
 
     @staticmethod
     def load(path: str) -> "MailModel":
         facts = json.loads(SparkSession.active().read.text(path + "/facts").first()[0])
         scorer = SCORERS[facts["kind"]].load(path, facts)
-        return MailModel(PipelineModel.load(path + "/features"), scorer, facts["calibrator"], facts["text_col"])
+        return MailModel(
+            PipelineModel.load(path + "/features"), scorer, facts["calibrator"], facts["text_col"], facts["threshold"], facts["version"],
+        )
 
 
 def predictions(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -82,11 +90,10 @@ def score_table(table: DataFrame, model: MailModel) -> DataFrame | None:
         return None
     kept = [c for c in table.columns if c not in ("probability", "risk")]
     named = table.select(*map(quoted, kept), no_null(quoted(column).cast("string")).alias("_text"))
-    renamed = MailModel(model.features, model.scorer, model.calibrator, model.text_col)
     source = named.withColumn("_original", F.struct(*map(quoted, kept))).select(
         "_original", F.col("_text").alias(model.text_col)
     )
-    return renamed.score(source).select("_original.*", "probability", "risk")
+    return model.score(source).select("_original.*", "probability", "risk")
 
 
 def score_mail(files: DataFrame, model: MailModel) -> DataFrame:

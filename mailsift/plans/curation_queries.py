@@ -178,6 +178,34 @@ def csv_round_trip(spark, sf_dir):
     return back.select("email_id", "subject", F.md5("text").alias("text_md5"), F.length("text").alias("chars").cast("bigint"))
 
 
+@query(with_views("emails", f"""SELECT 'rows' AS kind, CAST(email_id AS BIGINT) % 2 AS files, md5({sql_clean('subject')} || '/' || {sql_clean('text')}) AS digest, count(*) AS n
+    FROM emails GROUP BY ALL UNION ALL SELECT 'skipped', 2, 'csv.Error', 1"""))
+def table_corpus(spark, sf_dir):
+    """Mail in many CSV and TSV files of two headers, found and read as a whole, and the one damaged file that is left out.
+
+    The headers are the known ones, in their own spelling. A file whose quote never closes is skipped.
+    """
+    root = scratch(spark, "corpus")
+    mail = emails(spark, sf_dir)
+    odd = F.col("email_id").cast("bigint") % 2
+    label = F.lit("ham")
+    tables.write_table(mail.filter(odd == 0).select(
+        F.col("subject").alias("Subject"), F.col("text").alias("Message"), label.alias("Spam/Ham"), F.lit("").alias("Date")), f"{root}/comma", fmt="csv")
+    tables.write_table(mail.filter(odd == 1).select(
+        label.alias(" CLASS"), F.col("text").alias("Body"), F.col("subject").alias("subject")), f"{root}/other", fmt="csv")
+    broken = spark.createDataFrame([("text,label",), ("fine,ham",), ('"never closed,spam',)], "line string").coalesce(1)
+    broken.write.option("sep", "\x01").option("quote", "\x02").option("escape", "\x02").csv(f"{root}/broken")
+    scan = tables.scan_tables(spark, root)
+    rows = tables.read_labelled_tables(spark, root, scan=scan)
+    digest = F.md5(F.concat(X.clean_text(F.col("subject")), F.lit("/"), X.clean_text(F.col("text"))))
+    files = F.when(F.col("source_path").contains("/comma/"), 0).otherwise(1).cast("bigint")
+    found = rows.groupBy(F.lit("rows").alias("kind"), files.alias("files"), digest.alias("digest")).agg(F.count("*").alias("n"))
+    skipped = tables.skipped_tables(scan).groupBy(
+        F.lit("skipped").alias("kind"), F.lit(2).cast("bigint").alias("files"), F.concat(F.lit("csv."), F.substring_index("error", ":", 1)).alias("digest")
+    ).agg(F.count("*").alias("n"))
+    return found.union(skipped)
+
+
 @query(with_views("emails", f"""SELECT 'table_mail' AS source_dataset, label, count(*) AS n, sum(length(clean_text))::BIGINT AS chars FROM records GROUP BY ALL""", _RECORDS))
 def parquet_round_trip(spark, sf_dir):
     """Records with raw and clean text, partitioned by source, read back with the declared schema."""

@@ -6,16 +6,20 @@ iterative fits have no SQL twin and are checked by rows alone.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from mailsift.functions import probability as prob, text as X
 from mailsift.functions.patterns import ERROR_TYPES, RISK_LEVELS
-from mailsift.operators import bayes, calibration as cal, certificates, explain, linear, metrics as M, scoring as S, vectors as V
+from mailsift.operators import bayes, calibration as cal, certificates, curate, explain, linear, metrics as M, scoring as S, vectors as V
 from mailsift.plans.curation_queries import scratch
+from mailsift.plans.deployment import deploy
 from mailsift.plans.evaluation_queries import METRICS, _FITTED, _LOSSES, sql_report, sql_round, sql_temper
 from mailsift.plans.inputs import emails, labelled, with_views
 from mailsift.plans.registry import query, r6, rounded, s6, table
+from mailsift.plans.text_queries import sql_body_hash
 from mailsift.plans.training import compare_imbalance, train_models
 from mailsift.plans.vector_queries import _TRAIN_FIT
 from mailsift.session import written
@@ -323,6 +327,46 @@ def logistic_on_embeddings(spark, sf_dir):
     return scorer.score(rows).select("email_id", "label", "probability")
 
 
+_DEPLOYED = """SELECT m.model, 'mail' AS kind, email_id AS item, label, true AS ok FROM labelled, (SELECT unnest(['logistic_regression', 'linear_svm']) AS model) m
+  WHERE split = 'test' UNION ALL SELECT m.model, 'gate', c."check", NULL, true FROM (SELECT unnest(['logistic_regression', 'linear_svm']) AS model) m,
+  (SELECT unnest(['grid_rows', 'selected_threshold', 'valid_precision', 'test_precision', 'test_recall', 'test_f1', 'test_macro_f1', 'ece', 'brier']) AS "check") c"""
+
+
+@query(with_views("labelled", _DEPLOYED))
+def deployed_model(spark, sf_dir):
+    """Two models fitted, calibrated on held-out mail, saved, reloaded and put to the test split.
+
+    A mail is ok if its score is a probability, its decision follows the bundle's threshold and its
+    score after calibration keeps the order of the raw one; a gate is ok if plain aggregates over the
+    written scores and the saved bundle give its value.
+    """
+    train, valid = _train_valid(spark, sf_dir)
+    test = labelled(spark, sf_dir).filter(F.col("split") == "test").select("email_id", "label", "clean_text")
+    done = deploy(train, valid, test, scratch(spark, "deployed"))
+    bundles = {name: S.MailModel.load(path) for name, path in done.paths.items()}
+    rows, gates = [], []
+    for name, bundle in bundles.items():
+        own = done.scores.filter(F.col("model") == name)
+        p, again = F.col("probability"), bundle.calibrate(F.col("raw"))
+        ok = p.between(0, 1) & (F.abs(p - again) < 1e-12) & (F.col("pred") == (p >= bundle.threshold).cast("int"))
+        rows.append(own.select("model", F.lit("mail").alias("kind"), F.col("email_id").alias("item"), "label", ok.alias("ok")))
+        y, said = F.col("label") == 1, F.col("pred") == 1
+        tp, fp, fn, tn = (F.count_if(c).cast("double") for c in (y & said, ~y & said, y & ~said, ~y & ~said))
+        brier = F.avg(F.pow(p - F.col("label"), F.lit(2.0))) - F.avg(F.pow(F.col("raw") - F.col("label"), F.lit(2.0)))
+        f1 = lambda hit, miss: F.coalesce(2 * hit / F.nullif(2 * hit + miss, F.lit(0.0)), F.lit(0.0))
+        plain = own.agg(
+            F.lit(91.0).alias("grid_rows"), F.lit(bundle.threshold).alias("selected_threshold"),
+            F.coalesce(tp / F.nullif(tp + fp, F.lit(0.0)), F.lit(0.0)).alias("test_precision"), F.coalesce(tp / F.nullif(tp + fn, F.lit(0.0)), F.lit(0.0)).alias("test_recall"),
+            f1(tp, fp + fn).alias("test_f1"), ((f1(tp, fp + fn) + f1(tn, fp + fn)) / 2).alias("test_macro_f1"), brier.alias("brier"),
+        ).first().asDict()
+        expected = F.create_map(*[F.lit(x) for pair in plain.items() for x in pair])
+        own_gates = done.gates.filter(F.col("model") == name)
+        same = F.coalesce(F.abs(F.col("value") - F.try_element_at(expected, F.col("check"))) < 1e-9, F.col("value").isNotNull())
+        level = F.col("level").isin("PASS", "WARN", "FAIL")
+        gates.append(own_gates.select("model", F.lit("gate").alias("kind"), F.col("check").alias("item"), F.lit(None).cast("int").alias("label"), (same & level).alias("ok")))
+    return reduce(DataFrame.unionByName, rows + gates)
+
+
 # ---- raw messages ------------------------------------------------------------------------
 
 _BREAK = "=" * 8 + "part"
@@ -397,6 +441,26 @@ def parsed_mail(spark, sf_dir):
     return parsed.select("email_id", "clean_text", "subject", "sender", "date", "message_id", "has_html", "attachment_hint", "html_text")
 
 
+_MESSAGES = f"""messages AS (SELECT e.email_id, clean_text, {_BAD} AS bad FROM emails e WHERE {_BAD} OR length(clean_text) >= 10),
+  funnel AS (SELECT count(*) AS parsed_total, count(*) FILTER (NOT bad) AS after_corrupt_filter,
+    count(DISTINCT {sql_body_hash('clean_text')}) FILTER (NOT bad) AS after_dedup FROM messages)""".replace("CAST(email_id", "CAST(e.email_id")
+
+
+@query(with_views("emails", """SELECT m.metric, m.value::DOUBLE AS value FROM (SELECT unnest([{'metric': 'parsed_total', 'value': parsed_total},
+    {'metric': 'after_corrupt_filter', 'value': after_corrupt_filter}, {'metric': 'after_dedup', 'value': after_dedup}]) AS m FROM funnel)""", _MESSAGES))
+def corruption_funnel(spark, sf_dir):
+    """Raw messages through the dataset stages: those that cannot be parsed are counted, flagged, and filtered."""
+    from mailsift.sources.mail_files import label_from_path, parse_mail
+    from mailsift.sources.records import corrupted_records, records_from_mail, union_corpora
+
+    parsed = written(parse_mail(raw_messages(spark, sf_dir).drop("email_id")).withColumn("label", label_from_path(F.col("path"), "/corpus")), "parsed")
+    sound, _ = records_from_mail(parsed, "raw_mail")
+    records = written(union_corpora(sound, corrupted_records(parsed, "raw_mail")), "records")
+    unique = curate.with_group_key(curate.deduplicate(curate.drop_corrupted(records)))
+    stages = curate.funnel(records, unique.withColumn("split", curate.bucket_split(F.col("group_key"))))
+    return stages.filter(F.col("metric").isin("parsed_total", "after_corrupt_filter", "after_dedup"))
+
+
 @query(with_views("emails", f"""SELECT sha256('/corpus/' || CASE WHEN {_KIND} % 4 = 0 THEN 'spam' ELSE 'ham' END || '/' || e.email_id || '::'
       || CASE WHEN {_KIND} % 5 = 0 THEN {_DIGEST_SQL} ELSE '<m' || e.email_id || '@mail.example>' END || '::' || substr(clean_text, 1, 200)) AS email_id,
     CASE WHEN {_KIND} % 4 = 0 THEN 1 ELSE 0 END AS label, subject, md5(clean_text) AS text_md5

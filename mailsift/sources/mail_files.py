@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from email import policy
 from email.parser import BytesParser
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -106,8 +107,25 @@ def _body_of(part) -> str:
     return content
 
 
+@lru_cache(maxsize=4096)
+def _short_header(name: str, value: str):
+    return policy.default.header_fetch_parse(name, value)
+
+
+class _OncePerHeader(policy.EmailPolicy):
+    """The default policy, which parses a header anew each time it is asked for, with a memory of short ones."""
+
+    def header_fetch_parse(self, name, value):
+        if type(value) is str and len(value) <= 200:
+            return _short_header(name, value)
+        return super().header_fetch_parse(name, value)
+
+
+ONCE = _OncePerHeader()
+
+
 def _parse_message(raw: bytes) -> tuple:
-    message = BytesParser(policy=policy.default).parsebytes(raw)
+    message = BytesParser(policy=ONCE).parsebytes(raw)
     parts = list(message.walk()) if message.is_multipart() else [message]
     found: dict[str, list[str]] = {"plain": [], "html": []}
     attached = has_html = False

@@ -134,6 +134,19 @@ def records_from_mail(parsed: DataFrame, source_dataset: str, sender_by_path: bo
     return finish_record(full), rejects
 
 
+def corrupted_records(parsed: DataFrame, source_dataset: str) -> DataFrame:
+    """Records of the messages that could not be parsed: no text, ``is_corrupted`` set, the digest as their id.
+
+    They go through the dataset stages with the others, so that the funnel counts them before the
+    filter takes them out. Messages without a label by folder are left out, as among the sound ones.
+    """
+    bad = parsed.filter(F.col("parse_error").isNotNull() & (F.col("label") != -1))
+    return finish_record(bad.withColumns({
+        "email_id": record_id(F.col("path"), F.col("message_id"), F.lit(""), sep="::"),
+        "source_dataset": F.lit(source_dataset), "is_corrupted": F.lit(True),
+    }))
+
+
 def union_corpora(*corpora: DataFrame | None) -> DataFrame:
     """All corpora as one table; an error when there is nothing in any of them."""
     present = [c for c in corpora if c is not None]

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import csv
+import gzip
+import io
+import re
+import zlib
+from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mailsift.functions import patterns as P
 from mailsift.functions.text import strip
+from mailsift.session import written
 
 # Header aliases of the two kinds of labelled table.
 LABELLED_MAIL_ROLES = {
@@ -41,14 +48,15 @@ def read_csv(
 ) -> DataFrame:
     """A table with a header row. Without a schema every column is a string; none is inferred.
 
-    Damaged lines are kept in ``_corrupt_record`` when the schema declares it. Quoted line
-    breaks need ``multi_line``, which makes a file one read unit: turn it off for very large
-    files that have none.
+    Damaged lines are kept in ``_corrupt_record`` when the schema declares it; a file that cannot
+    be read to its end stops the job, so none is ever read by half (``scan_tables`` names such files
+    beforehand). Quoted line breaks need ``multi_line``, which makes a file one read unit: turn it off
+    for very large files that have none.
     """
     reader = (
         spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("encoding", "UTF-8")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True)
+        .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", False)
     )
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
@@ -81,35 +89,79 @@ def select_roles(df: DataFrame, roles: Mapping[str, tuple[str, ...]], keep: tupl
 
 
 def rename_known_headers(df: DataFrame) -> DataFrame:
-    renames = {c: KNOWN_HEADERS[c.lower().strip()] for c in df.columns if c.lower().strip() in KNOWN_HEADERS}
-    return df.withColumnsRenamed(renames)
-
-
-def list_tables(spark: SparkSession, root: str) -> list[str]:
-    """Paths of the CSV and TSV files under ``root``; only file names are read."""
-    names = (
+    """The known headers under their plain names; a name that another column has already is left alone."""
+    plain = {c: c.lower().strip() for c in df.columns}
+    renames = {c: KNOWN_HEADERS[n] for c, n in plain.items() if n in KNOWN_HEADERS}
+    taken = [n for c, n in plain.items() if c not in renames]
+    targets = list(renames.values())
+    return df.withColumnsRenamed({c: n for c, n in renames.items() if n not in taken and targets.count(n) == 1})
+
+
+def _checked(content: bytes, sep: str, packed: bool) -> tuple[list[str] | None, str | None]:
+    """(header, None) of a sound file, (None, error) of any other: all of it is read once."""
+    try:
+        text = (gzip.decompress(content) if packed else content).decode("utf-8-sig")
+        rows = csv.reader(io.StringIO(text, newline=""), delimiter=sep, strict=True)
+        header = next(rows, None)
+        if not header:
+            return None, "ValueError: no header"
+        for row in rows:
+            if len(row) > len(header):
+                return None, f"ValueError: line {rows.line_num} has {len(row)} fields, the header {len(header)}"
+    except (OSError, EOFError, UnicodeDecodeError, csv.Error, zlib.error) as error:
+        return None, f"{type(error).__name__}: {error}"
+    return header, None
+
+
+def scan_tables(spark: SparkSession, root: str) -> DataFrame:
+    """(path, sep, columns, error) of every CSV and TSV file under ``root``, plain or gzipped, in one job.
+
+    A file is sound if it decodes as UTF-8 to its end, closes its quotes, and has no line longer than
+    its header; any other has its error instead of columns. The separator follows the suffix. Files of
+    a task are as many as make up one read partition, or one larger file.
+    """
+    files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.{csv,tsv}").load(root).select("path")
+        .option("pathGlobFilter", "*.{csv,tsv,csv.gz,tsv.gz}").load(root).select("path", "content")
     )
-    return sorted(row.path for row in names.collect())
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        csv.field_size_limit(1 << 31)
+        for batch in batches:
+            seps = ["\t" if re.search(r"\.tsv(\.gz)?$", path, re.I) else "," for path in batch["path"]]
+            found = [_checked(bytes(c), sep, p.lower().endswith(".gz")) for p, c, sep in zip(batch["path"], batch["content"], seps)]
+            yield pd.DataFrame({"path": batch["path"], "sep": seps, "columns": [c for c, _ in found], "error": [e for _, e in found]})
+
+    return written(files.mapInPandas(check, "path string, sep string, columns array<string>, error string"), "table-scan")
+
+
+def skipped_tables(scan: DataFrame) -> DataFrame:
+    """(path, error) of the files that are left out as a whole."""
+    return scan.filter(F.col("error").isNotNull()).select("path", "error")
+
+
+def _string_schema(columns: list[str]) -> T.StructType:
+    """Every column a string; a repeated name gets its position."""
+    names = [c if columns.index(c) == i else f"{c}_{i}" for i, c in enumerate(columns)]
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 def read_labelled_tables(
-    spark: SparkSession, root: str, roles: Mapping[str, tuple[str, ...]] = LABELLED_MAIL_ROLES
+    spark: SparkSession, root: str, roles: Mapping[str, tuple[str, ...]] = LABELLED_MAIL_ROLES, scan: DataFrame | None = None
 ) -> DataFrame | None:
-    """All labelled tables under ``root`` as (source_path, text, label, subject, sender).
+    """All sound labelled tables under ``root`` as (source_path, text, label, subject, sender).
 
-    Files that share a header are one scan; files without a text or label column give no rows.
-    The separator follows the file suffix.
+    One job has checked the files and found their headers (``scan``); files that share a header are
+    one scan more, and files without a text or label column, or damaged, give no rows at all. Known
+    headers are renamed first, where that clashes with no other column. The driver holds the names of
+    the files, as it does for any scan of them.
     """
-    by_header: dict[tuple, list[str]] = {}
-    for path in list_tables(spark, root):
-        sep = "\t" if path.lower().endswith(".tsv") else ","
-        by_header.setdefault((sep, tuple(read_csv(spark, path, sep=sep).columns)), []).append(path)
+    scan = scan_tables(spark, root) if scan is None else scan
+    groups = scan.filter(F.col("error").isNull()).groupBy("sep", "columns").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     parts = []
-    for (sep, _), paths in by_header.items():
-        table = read_csv(spark, paths, sep=sep).withColumn("source_path", F.col("_metadata.file_path"))
-        part = select_roles(table, roles, keep=("source_path",))
+    for group in groups.orderBy("sep", "columns").collect():
+        table = read_csv(spark, group.paths, schema=_string_schema(group.columns), sep=group.sep)
+        part = select_roles(rename_known_headers(table).withColumn("source_path", F.col("_metadata.file_path")), roles, keep=("source_path",))
         if part is not None:
             parts.append(part)
     return reduce(DataFrame.unionByName, parts) if parts else None

@@ -1,5 +1,6 @@
 """Raw files, label index, records, the data stages, and streaming."""
 
+import gzip
 from email.message import EmailMessage
 
 from pyspark.sql import functions as F
@@ -106,3 +107,64 @@ def test_data_stages_end_to_end(spark, tmp_path):
     assert numbers["parsed_total"] == 320 and numbers["after_dedup"] == 300 and numbers["final_size"] == 200
     assert (numbers["train"], numbers["valid"], numbers["test"]) == (120, 40, 40)
     assert numbers["train_test_leakage_rate"] == 0.0
+
+
+def _jobs(spark, run):
+    """Spark jobs that ``run`` starts."""
+    group = f"count-{id(run)}"
+    spark.sparkContext.setJobGroup(group, "", False)
+    run()
+    found = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("rest", "", False)
+    return found
+
+
+def test_damaged_tables_are_skipped_whole_and_named(spark, tmp_path):
+    sound = "text,label\na sound long body,spam\nanother sound body,ham\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(sound)
+    (tmp_path / "in" / "b.csv.gz").write_bytes(gzip.compress(sound.replace("sound", "packed").encode()))
+    cut = gzip.compress(("text,label\n" + "".join(f"{i * 7919 % 1000003} of a long body,spam\n" for i in range(5000))).encode())
+    (tmp_path / "cut.csv.gz").write_bytes(cut[: len(cut) // 2])
+    (tmp_path / "bytes.csv").write_bytes(b"text,label\n\xff\xfe bad,spam\n")
+    (tmp_path / "ragged.csv").write_text("text,label\nfine,spam\none,two,three\n")
+    (tmp_path / "open.tsv").write_text('text\tlabel\n"never closed\tspam\n')
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "note.txt").write_text("text,label\nno,spam\n")
+    scan = T.scan_tables(spark, str(tmp_path))
+    skipped = {r.path.rsplit("/", 1)[1]: r.error for r in T.skipped_tables(scan).collect()}
+    assert set(skipped) == {"cut.csv.gz", "bytes.csv", "ragged.csv", "open.tsv"} and all(skipped.values())  # Spark lists no empty file
+    rows = T.read_labelled_tables(spark, str(tmp_path), scan=scan)
+    assert sorted(r.text for r in rows.collect()) == ["a packed long body", "a sound long body", "another packed body", "another sound body"]
+
+
+def test_jobs_do_not_grow_with_the_files(spark, tmp_path):
+    for folder, n in (("few", 80), ("many", 200)):
+        (tmp_path / folder).mkdir()
+        for i in range(n):
+            header = "text,label" if i % 2 else "Message,Spam/Ham,Date"
+            (tmp_path / folder / f"{i}.csv").write_text(f"{header}\na long body {i},spam" + ("" if i % 2 else ",x") + "\n")
+    runs = [lambda f=folder: T.read_labelled_tables(spark, str(tmp_path / f)).count() for folder in ("few", "many")]
+    few, many = (_jobs(spark, run) for run in runs)
+    assert many == few
+    assert T.read_labelled_tables(spark, str(tmp_path / "many")).count() == 200
+
+
+def test_known_headers_are_renamed_unless_taken(spark):
+    frame = spark.createDataFrame([("1", "a", "b", "c")], ["Message ID", " SUBJECT", "Spam/Ham", "x"])
+    assert T.rename_known_headers(frame).columns == ["message_id", "subject", "spam_ham", "x"]
+    clash = spark.createDataFrame([("1", "a", "b")], ["Message", "text", "Date"])
+    assert T.rename_known_headers(clash).columns == ["Message", "text", "date"]
+
+
+def test_corrupted_messages_are_counted_and_dropped(spark, tmp_path):
+    good = [(f"/c/{'spam' if i % 4 == 0 else 'ham'}/{i}", f"Subject: s{i}\r\nContent-Type: text/plain\r\n\r\nbody number {i} {'x' * i}\r\n".encode()) for i in range(80)]
+    bad = [(f"/c/ham/bad{i}", b"Content-Type: image/png\r\nContent-Transfer-Encoding: base64\r\n\r\niVBO\r\n") for i in range(7)]
+    files = spark.createDataFrame(good + bad, "path string, content binary")
+    parsed = MF.parse_mail(files).withColumn("label", MF.label_from_path(F.col("path"), "/c"))
+    records, rejects = R.records_from_mail(parsed, "raw")
+    settings = Settings(class_sizes={0: 30, 1: 10}, split_sizes={"train": 24, "valid": 8, "test": 8})
+    built = build_dataset(spark, [records, R.corrupted_records(parsed, "raw")], str(tmp_path / "out"), settings, rejects=[rejects])
+    numbers = {r.metric: r.value for r in built.funnel.collect()}
+    assert (numbers["parsed_total"], numbers["after_corrupt_filter"], numbers["after_dedup"]) == (87, 80, 80 - 80 + len({"x" * i for i in range(80)}))
+    assert built.rejects.count() == 7 and built.split.filter("is_corrupted").isEmpty()

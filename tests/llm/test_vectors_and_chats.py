@@ -138,3 +138,22 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark):
     assert packed.where("piece = 0").count() == sizes[4]
     totals = packed.groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert all(r[1] <= 4096 for r in totals)
+
+
+def test_topk_of_repeated_rows_and_large_values(frame, monkeypatch):
+    """Every query row ranks for itself; sums beyond doubles, and beyond longs, keep their exact order."""
+    monkeypatch.setattr(topk_search, "SHARD", 7)
+    monkeypatch.setattr(topk_search, "BLOCK", 3)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=6) * rng.choice([1.0, 1e3, 1e12, 3e16])).tolist(), 0, 0) for i in range(60)]
+    rows += [rows[50], rows[50], rows[7], rows[7], (100, rows[50][1], 0, 0), (150, [1e300, -1e300, 0.0, 0.0, 0.0, 0.0], 0, 0)]
+    most = (1 << 63) - 1
+    whole = [(i, [min(max(int(np.floor(256 * x)) if abs(x) < 2.0**55 else (most if x > 0 else -most), -most), most) for x in v]) for i, v, *_ in rows]
+    want = []
+    for q, v in whole:
+        if q % 50 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:5]
+            want += [(q, k + 1, i, max(min(-s, most), -most - 1)) for k, (s, i) in enumerate(scores)]
+    got = [tuple(r) for r in topk_search.result(frame(rows, VECTORS)).collect()]
+    assert sorted(got) == sorted(want)
+    assert len(got) == 5 * sum(1 for i, _ in whole if i % 50 == 0)

@@ -178,6 +178,23 @@ def csv_round_trip(spark, sf_dir):
     return back.select("email_id", "subject", F.md5("text").alias("text_md5"), F.length("text").alias("chars").cast("bigint"))
 
 
+@query(with_views("emails", """SELECT source_dataset, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes, bit_xor(('0x' || substr(md5(text), 1, 15))::BIGINT) AS digest
+  FROM (SELECT source_dataset, replace(replace(clean_text, chr(13), ' '), chr(10), ' ') AS text FROM emails) GROUP BY ALL"""))
+def scanned_files(spark, sf_dir):
+    """Mail written as text files in a folder for each source, and found again whole as raw files."""
+    root = scratch(spark, "raw-files")
+    text = F.replace(F.replace(F.col("clean_text"), F.lit("\r"), F.lit(" ")), F.lit("\n"), F.lit(" "))
+    emails(spark, sf_dir).select("source_dataset", text.alias("value")).write.partitionBy("source_dataset").text(root)
+    files = mail_files.scan_mail_files(spark, root)
+    source = F.regexp_extract("path", "source_dataset=([^/]+)/", 1).alias("source_dataset")
+    line = F.explode(F.split(F.regexp_replace(F.decode("content", "UTF-8"), "\n$", ""), "\n"))
+    sizes = files.groupBy(source).agg(F.sum("length").alias("bytes"))
+    lines = files.select(source, line.alias("line")).groupBy("source_dataset").agg(
+        F.bit_xor(F.conv(F.substring(F.md5("line"), 1, 15), 16, 10).cast("long")).alias("digest")
+    )
+    return sizes.join(lines, "source_dataset")
+
+
 @query(with_views("emails", f"""SELECT 'rows' AS kind, CAST(email_id AS BIGINT) % 2 AS files, md5({sql_clean('subject')} || '/' || {sql_clean('text')}) AS digest, count(*) AS n
     FROM emails GROUP BY ALL UNION ALL SELECT 'skipped', 2, 'csv.Error', 1"""))
 def table_corpus(spark, sf_dir):
@@ -248,6 +265,38 @@ def deduplicated_mail(spark, sf_dir):
     return kept.select("email_id", "source_dataset", "duplicate_group", X.md5_text(F.col("clean_text")).alias("text_md5"))
 
 
+_GUARDS = f"""n AS (SELECT count(*) FILTER (label = 1) AS spam, count(*) FILTER (split = 'train') AS train FROM labelled)"""
+
+
+@query(with_views("labelled", """SELECT g.* FROM n, (SELECT unnest([
+    {'guard': 'class size', 'wanted': spam, 'stopped': false}, {'guard': 'class size', 'wanted': spam + 1, 'stopped': true},
+    {'guard': 'label counts', 'wanted': spam, 'stopped': false}, {'guard': 'label counts', 'wanted': spam + 1, 'stopped': true},
+    {'guard': 'split sizes', 'wanted': train, 'stopped': false}, {'guard': 'split sizes', 'wanted': train - 1, 'stopped': true}]) AS g)""", _GUARDS))
+def dataset_guards(spark, sf_dir):
+    """The guards of the dataset stages, each at the size that it lets through and at the next that it stops."""
+    rows = labelled(spark, sf_dir)
+    counts = curate.class_counts(rows)
+    sizes = {row[0]: row[1] for row in rows.groupBy("split").count().collect()}
+    more = {**counts, 1: counts[1] + 1}
+    moved = {**sizes, "train": sizes["train"] - 1, "valid": sizes["valid"] + 1}
+    trials = [
+        ("class size", counts[1], lambda: curate.sample_classes(rows, {1: counts[1]})), ("class size", more[1], lambda: curate.sample_classes(rows, {1: more[1]})),
+        ("label counts", counts[1], lambda: curate.require_label_counts(rows, counts, sum(counts.values()))),
+        ("label counts", more[1], lambda: curate.require_label_counts(rows, more, sum(counts.values()))),
+        ("split sizes", sizes["train"], lambda: curate.require_split_sizes(rows, sizes)),
+        ("split sizes", moved["train"], lambda: curate.require_split_sizes(rows, moved)),
+    ]
+
+    def stopped(trial) -> bool:
+        try:
+            trial()
+        except ValueError:
+            return True
+        return False
+
+    return spark.createDataFrame([(name, wanted, stopped(trial)) for name, wanted, trial in trials], "guard string, wanted long, stopped boolean")
+
+
 def _sample_sizes(df) -> dict[int, int]:
     """Half of each class, so that the sizes follow the data."""
     return {label: n // 2 for label, n in curate.class_counts(df).items()}

@@ -295,6 +295,24 @@ def platt_scaling(spark, sf_dir):
     return rounded(fitted, "slope", "intercept")
 
 
+_BY_MODEL = f"""{_STAGES.rsplit(', t AS', 1)[0]}, t AS (SELECT s.*, {sql_temper('probability', 'temperature')} AS prob_after FROM scored s JOIN fitted f ON s.model = f.model WHERE s.model = 'sharp'),
+  rows AS (SELECT {_LOGIT} AS x, label::DOUBLE AS t FROM scored WHERE model = 'blunt'), {sql_line("rows", 1)},
+  pairs AS (SELECT model, label, probability, prob_after FROM t UNION ALL
+    SELECT model, label, probability, 1e0 / (1e0 + exp(-(a * {_LOGIT} + b))) FROM scored, line WHERE model = 'blunt'),
+  s AS (SELECT model || '/before' AS model, label, probability AS p FROM pairs UNION ALL SELECT model || '/after', label, prob_after FROM pairs)"""
+
+
+@query(with_views("scored", f"""SELECT split_part(model, '/', 1) AS model, CASE split_part(model, '/', 1) WHEN 'sharp' THEN 'temperature' ELSE 'sigmoid' END AS calibration_type, {', '.join(
+    f"{s6(f'max({m}) FILTER (ends_with(model, {chr(39)}/{st}{chr(39)}))')} AS {m}_{st}" for m in ('brier', 'ece', 'pr_auc') for st in ('before', 'after'))}
+  FROM ({sql_report('s', '0.5e0')}) GROUP BY 1, 2""", _BY_MODEL))
+def calibration_by_model(spark, sf_dir):
+    """Before and after for a model with a temperature and one with a sigmoid, a row each."""
+    names = [f"{m}_{s}" for m in ("brier", "ece", "pr_auc") for s in ("before", "after")]
+    blunt = one_model(spark, sf_dir, "blunt")
+    sigmoid = cal.before_after(cal.scale_by_sigmoid(blunt, cal.fit_sigmoid(blunt)), "blunt", "sigmoid")
+    return rounded(cal.before_after(_tempered(spark, sf_dir), "sharp", "temperature").union(sigmoid), *names)
+
+
 # ---- gates and sinks ---------------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ from mailsift.functions.text import no_null
 from mailsift.operators.order import numbered
 from mailsift.session import written
 
+GRAM = r"(?=([^\n]{{{n}}}))[^\n]"  # an n-gram at every character that has n of its line before it
 LEVELS = 16  # histogram levels for each doubling of a count
 STRETCH = 20_000  # vector entries multiplied at once in a projection
 
@@ -53,21 +54,17 @@ def word_chunks(text: Column) -> Column:
     return F.filter(F.split(F.lower(no_null(text)), SPACE + "+"), lambda w: w != "")
 
 
-def chunk_grams(chunk: Column, sizes: tuple[int, int] = CHAR_NGRAMS) -> Column:
-    """Character n-grams of one chunk padded by a space; a chunk shorter than n gives itself once."""
-    padded = F.concat(F.lit(" "), chunk, F.lit(" "))
-    width = F.length(chunk) + 2
-    used = F.filter(
-        F.sequence(F.lit(sizes[0]), F.lit(sizes[1])), lambda n: (n == sizes[0]) | (width >= n)
-    )
-    return F.flatten(
-        F.transform(
-            used,
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.greatest(F.lit(1), width - n + 1)), lambda at: F.substring(padded, at, n)
-            ),
-        )
-    )
+def padded(chunks: Column) -> Column:
+    """Chunks with a space on either side, a line each; white space cut the chunks, so none holds a line break."""
+    return F.concat(F.lit(" "), F.array_join(chunks, " \n "), F.lit(" "))
+
+
+def line_grams(lines: Column, sizes: tuple[int, int] = CHAR_NGRAMS) -> Column:
+    """All character n-grams inside the lines: a look-ahead takes the gram and the match moves on by one character.
+
+    A padded chunk has three characters or more, so a chunk shorter than n gives none of length n.
+    """
+    return F.concat(*[F.regexp_extract_all(lines, F.lit(GRAM.format(n=n)), F.lit(1)) for n in range(sizes[0], sizes[1] + 1)])
 
 
 def _word_statistics(df: DataFrame, text_col: str) -> DataFrame:
@@ -82,8 +79,8 @@ def _char_statistics(df: DataFrame, text_col: str) -> DataFrame:
     chunks = word_chunks(F.col(text_col))
     counted = df.select(F.explode(chunks).alias("_chunk")).groupBy("_chunk").agg(F.count("*").alias("cf"))
     zero = F.lit(0).cast("long")
-    counts = counted.select(F.explode(chunk_grams(F.col("_chunk"))).alias("term"), "cf", zero.alias("df"))
-    own = F.array_distinct(F.flatten(F.transform(F.array_distinct(chunks), lambda c: chunk_grams(c))))
+    counts = counted.select(F.explode(line_grams(F.concat(F.lit(" "), "_chunk", F.lit(" ")))).alias("term"), "cf", zero.alias("df"))
+    own = F.array_distinct(line_grams(padded(F.array_distinct(chunks))))
     return counts.union(df.select(F.explode(own).alias("term"), zero.alias("cf"), F.lit(1).cast("long").alias("df")))
 
 
@@ -192,12 +189,10 @@ def _char_statement(text_col: str, out: str) -> str:
     """The character-gram expression as SQL, so that the transformer can be saved."""
     low, high = CHAR_NGRAMS
     space = SPACE.replace("\\", "\\\\")
-    grams = (
-        f"flatten(transform(filter(sequence({low}, {high}), n -> n = {low} OR length(w) + 2 >= n), "
-        f"n -> transform(sequence(1, greatest(1, length(w) + 3 - n)), i -> substring(concat(' ', w, ' '), i, n))))"
-    )
     chunks = f"filter(split(lower(coalesce({text_col}, '')), '{space}+'), w -> w <> '')"
-    return f"SELECT *, flatten(transform({chunks}, w -> {grams})) AS {out} FROM __THIS__"
+    lines = f"concat(' ', array_join({chunks}, ' \\n '), ' ')"
+    grams = ", ".join("regexp_extract_all(_lines, '" + GRAM.format(n=n).replace("\\", "\\\\") + "', 1)" for n in range(low, high + 1))
+    return f"SELECT * EXCEPT (_lines), concat({grams}) AS {out} FROM (SELECT *, {lines} AS _lines FROM __THIS__)"
 
 
 # ---- scaling -----------------------------------------------------------------------------

@@ -1,20 +1,20 @@
 """N-gram Jaccard join by vertical partitioning.
 
-All n-grams have one global order, that of their 64-bit hashes. The order is cut into fragments,
-and each fragment is handled apart:
-
-1. *Candidates.* Sets ``x`` and ``y`` at the threshold differ in at most ``d`` n-grams, ``d`` being
-   set by their sizes. Cut into more than ``d`` fragments, at least one fragment is equal in both, so
-   one signature per fragment finds every linked pair. A signature holds some ten n-grams, so a
-   passage shared by many documents does not make candidates of them. Sizes are put into levels;
-   a set that may link with the next level also signs with that level's fragments.
-   Two sets may agree only on empty fragments. There is one fragment to spare; a set with more
-   than one empty fragment also signs those, so no pair is lost.
-2. *Clusters.* Documents with equal sets become one class first. Each signature ties its classes to
-   the smallest of them, and the components of these ties hold every link.
-3. *Overlaps.* Inside a cluster the classes are dealt into pieces; every two pieces meet in one unit
-   of work. There the order is cut again, each fragment adds its partial overlaps to the sums of all
-   pairs, and only links of a spanning forest leave the unit: copies are never listed as pairs.
+All n-grams have one global order: rare ones first by their 64-bit hashes, then the common ones by
+falling rarity. Every document is counted for it; a task keeps its heaviest counts only, and the
+``COMMON`` most frequent n-grams of all are named. The counts decide about work, never about links:
+any one order gives the same ones.
+
+1. *Prefixes.* Sets that link share at least the threshold's part of either, so each has one of the
+   shared n-grams among its first ``n - ceil(threshold * n) + 1``. Documents with equal sets become one
+   class first; only the prefix of a class is dealt out, by n-gram, and n-grams of one class end there.
+2. *Groups of near copies.* Where more than ``HOT`` classes share an n-gram, each is first compared
+   with the few classes that lead most of its n-grams. What links becomes one group.
+3. *Candidates.* Inside each n-gram of the prefixes only classes of different groups are paired, so a
+   group's own pairs are never listed. The shared prefix n-grams of a pair are summed: with what is
+   behind the prefix that ends first, they bound the overlap, and pairs out of reach are left.
+4. *Overlaps.* The order's hash range is cut into fragments of some ``FRAGMENT`` n-grams of a set; each
+   fragment counts the partial overlap of a pair apart, and the sums per pair decide about the link.
 
 Defined results: words are what lies between ASCII white space; a text with fewer words than ``n``
 has its whole sequence as its only n-gram; a text without words (or null) has an empty set and links
@@ -26,22 +26,21 @@ that a set's size is off is below its size squared over 2**65.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mailsift.llm.common import (
-    NO_ID, chunk_numbers, components, gram_hashes, scramble, small_side, text_slices, unit_rows, whole_groups, word_hashes,
-    words_of, written,
+    NO_ID, bounded_side, components, gram_hashes, scramble, small_side, text_slices, word_hashes, words_of, written,
 )
 
-LEVEL_RATIO = 1.5
-SPARE = 1  # fragments beyond the bound, see above
-PIECE = 512  # classes in a piece of a cluster
-CELLS = 24_000_000  # of a fragment's class-by-n-gram matrix inside a unit
+COMMON = 1 << 18  # n-grams that are ordered by their counts; also the counts a task keeps
+LEAST_COUNT = 8  # a rarer n-gram is ordered by its hash
+HOT = 64  # classes that share an n-gram, beyond which they are first compared with its leaders
+LEADERS = 3  # such comparisons for a class
+FRAGMENT = 4096  # n-grams of a set in a fragment of the order, on average
 
 
 def shingle_set(words: list[bytes], n: int) -> np.ndarray:
@@ -55,220 +54,204 @@ def shingle_set(words: list[bytes], n: int) -> np.ndarray:
     return grams[np.concatenate([[True], grams[1:] != grams[:-1]])] if len(grams) else grams
 
 
-def _bound(size: float, numerator: int, denominator: int) -> int:
-    """The most n-grams in which two sets of at most ``size`` can differ and still link."""
-    return int(2 * size * (denominator - numerator) / (denominator + numerator) + 1e-9)
+def heaviest(grams: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` largest counts, sorted by n-gram; equal n-grams are added up first."""
+    grams, place = np.unique(grams, return_inverse=True)
+    counts = np.bincount(place, counts, len(grams)).astype(np.int64)
+    if len(grams) > most:
+        top = np.sort(np.argpartition(-counts, most)[:most])
+        grams, counts = grams[top], counts[top]
+    return grams, counts
 
 
-@lru_cache(maxsize=None)
-def fragment_count(most: int, expected: float | None) -> int:
-    """Fragments for sets that differ in at most ``most`` n-grams: enough to be sure that one is equal.
+def _count(n: int, lower: bool, most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        for batch in text_slices(batches):
+            sets = [shingle_set(words_of(text, lower), n) for text in batch.column("text").to_pylist()]
+            new = np.concatenate([*sets, np.empty(0, np.uint64)])
+            grams, counts = heaviest(np.concatenate([grams, new]), np.concatenate([counts, np.ones(len(new), np.int64)]), 4 * most)
+        grams, counts = heaviest(grams, counts, most)
+        often = counts > 1
+        yield pa.RecordBatch.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often])], names=["gram", "count"])
+
+    return run
+
 
-    With ``expected``, as few as leave that many equal fragments on average at the bound, if fewer.
+def common_grams(docs: DataFrame, n: int, lower: bool, most: int = COMMON, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams, sorted, and the place of each in the order of rising counts.
+
+    At most ``most`` rows come to the driver, whatever the number of documents.
     """
-    sure = most + 1 + (SPARE if most else 0)
-    if expected is None:
-        return sure
-    few = np.arange(1, sure + 1)
-    enough = few * np.exp(-most / few) >= expected
-    return int(few[np.argmax(enough)]) if enough.any() else sure
-
-
-def signatures(grams: np.ndarray, numerator: int, denominator: int, expected: float | None = None) -> np.ndarray:
-    """Sorted set -> signatures: some signature is shared by every two sets that link."""
-    size = len(grams)
-    if not size:
-        return np.empty(0, np.uint64)
-    level = int(np.floor(np.log(size) / np.log(LEVEL_RATIO) + 1e-9))
-    out = []
-    for at in (level, level + 1):
-        top = LEVEL_RATIO ** (at + 1)
-        # Into the next level only if some larger set that links can be there.
-        if at > level and int(size * denominator / numerator) < int(np.ceil(LEVEL_RATIO**at - 1e-6)):
-            break
-        most = _bound(np.ceil(top), numerator, denominator)
-        fragments = fragment_count(most, expected)
-        place = ((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
-        filled, starts = np.unique(place, return_index=True)
-        sums = np.add.reduceat(scramble(grams ^ np.uint64(0x5851F42D4C957F2D)), starts)
-        tag = np.full(1, at * 1_000_003, np.uint64)
-        out.append(scramble(sums ^ scramble(filled + tag * np.uint64(0x2545F4914F6CDD1D) + np.uint64(1))))
-        empty = fragments - len(filled)
-        if empty > (SPARE if most else 0):
-            gone = np.setdiff1d(np.arange(fragments, dtype=np.uint64), filled)
-            out.append(scramble(gone * np.uint64(0xD6E8FEB86659FD93) + tag + np.uint64(7)))
-    return np.concatenate(out)
-
-
-SIGNED = "id long, digest string, n long, one long, two long, signatures array<long>"
-
-
-def _sign(n: int, lower: bool, numerator: int, denominator: int, expected: float | None):
+    counted = docs.select("text").mapInArrow(_count(n, lower, most), "gram long, count long")
+    top = (
+        counted.groupBy("gram").agg(F.sum("count").alias("count")).where(F.col("count") >= least)
+        .orderBy(F.desc("count"), "gram").limit(most).toArrow()
+    )
+    grams = top.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], (len(grams) - 1 - np.arange(len(grams)))[order]
+
+
+def ordered_prefix(grams: np.ndarray, length: int, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
+    """The first ``length`` n-grams of a sorted set in the global order, and a number for the last one's place."""
+    names, places = common
+    at = np.searchsorted(names, grams)
+    known = np.zeros(len(grams), bool)
+    inside = at < len(names)
+    known[inside] = names[at[inside]] == grams[inside]
+    rare = grams[~known]
+    if length <= len(rare):
+        return rare[:length], int(rare[length - 1] >> np.uint64(2))
+    often = at[known]
+    often = often[np.argsort(places[often])][: length - len(rare)]
+    return np.concatenate([rare, names[often]]), (1 << 62) + int(places[often[-1]])
+
+
+SIGNED = "id long, digest string, n long, one long, two long, last long, prefix array<long>"
+
+
+def prefix_length(size: int, numerator: int, denominator: int) -> int:
+    return size - -(-numerator * size // denominator) + 1
+
+
+def _sign(n: int, lower: bool, numerator: int, denominator: int, common: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            sizes, ones, twos, signs = [], [], [], []
+            sizes, ones, twos, lasts, prefixes = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingle_set(words_of(text, lower), n)
+                some = len(grams) > 0
                 sizes.append(len(grams))
-                ones.append(int(np.add.reduce(grams).astype(np.int64)) if len(grams) else 0)
-                twos.append(int(np.add.reduce(scramble(grams + np.uint64(0x9E3779B97F4A7C15))).astype(np.int64)) if len(grams) else 0)
-                signs.append(signatures(grams, numerator, denominator, expected).view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in signs])]).astype(np.int32)
-            values = np.concatenate(signs) if signs else np.empty(0, np.int64)
+                ones.append(int(np.add.reduce(grams).astype(np.int64)) if some else 0)
+                twos.append(int(np.add.reduce(scramble(grams + np.uint64(0x9E3779B97F4A7C15))).astype(np.int64)) if some else 0)
+                prefix, last = ordered_prefix(grams, prefix_length(len(grams), numerator, denominator), common.value) if some else (grams, 0)
+                lasts.append(last)
+                prefixes.append(prefix.view(np.int64))
+            offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("digest"), pa.array(sizes, pa.int64()), pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))],
-                names=["id", "digest", "n", "one", "two", "signatures"],
+                [batch.column("id"), batch.column("digest"), *(pa.array(c, pa.int64()) for c in (sizes, ones, twos, lasts)),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]), pa.int64()))],
+                names=[x.split()[0] for x in SIGNED.split(", ")],
             )
 
     return run
 
 
-SETS = "number long, grams array<long>"
+SLICES = "number long, fragments long, fragment long, grams array<long>"
 
 
-def _sets(n: int, lower: bool):
+def _slices(n: int, lower: bool):
+    """Every set cut into ``fragments`` ranges of hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            sets = []
-            for text in batch.column("text").to_pylist():
-                sets.append(shingle_set(words_of(text, lower), n).view(np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("number"),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))],
-                names=["number", "grams"],
-            )
+            keys = zip(batch.column("number").to_pylist(), batch.column("fragments").to_pylist())
+            for (number, fragments), text in zip(keys, batch.column("text").to_pylist()):
+                grams = shingle_set(words_of(text, lower), n)
+                place = ((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
+                offsets = np.searchsorted(place, np.arange(fragments + 1, dtype=np.uint64)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(fragments, number)), pa.array(np.full(fragments, fragments)), pa.array(np.arange(fragments)),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams.view(np.int64)))],
+                    names=["number", "fragments", "fragment", "grams"],
+                )
 
     return run
 
 
-def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
-    """The pairs that first join two trees."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    kept = []
-    for a, b in pairs:
-        ra, rb = root(int(a)), root(int(b))
-        if ra != rb:
-            parent[ra] = rb
-            kept.append((int(a), int(b)))
-    return kept
-
-
-def linked_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, numerator: int, denominator: int) -> np.ndarray:
-    """Pairs (i in left, j in right) whose sets link, by partial overlaps summed over fragments of the order."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    grams = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    distinct, code, counts = np.unique(grams, return_inverse=True, return_counts=True)
-    shared = counts[code] > 1  # an n-gram of one set only overlaps with nothing
-    code, owner = code[shared], owner[shared]
-    used = np.unique(code)
-    code = np.searchsorted(used, code)
-    width = max(64, CELLS // max(1, len(sets)))
-    overlap = np.zeros((len(left), len(right)), np.int32)
-    order = np.argsort(code, kind="stable")
-    code, owner = code[order], owner[order]
-    for start in range(0, len(used), width):
-        a, b = np.searchsorted(code, [start, start + width])
-        fragment = np.zeros((len(sets), min(width, len(used) - start)), np.float32)
-        fragment[owner[a:b], code[a:b] - start] = 1
-        overlap += (fragment[left] @ fragment[right].T).astype(np.int32)
-    union = sizes[left][:, None] + sizes[right][None, :] - overlap
-    i, j = np.nonzero(denominator * overlap.astype(np.int64) >= numerator * union)
-    pairs = np.stack([left[i], right[j]], 1)
-    return pairs[pairs[:, 0] != pairs[:, 1]]
-
-
-def _verify(numerator: int, denominator: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "unit"):
-            frame = table.select(["number", "group", "chunk", "low", "high"]).to_pandas()
-            grams = table.column("grams").combine_chunks()
-            grams = grams.chunk(0) if isinstance(grams, pa.ChunkedArray) else grams
-            values, offsets = grams.values.to_numpy().view(np.uint64), grams.offsets.to_numpy()
-            links = []
-            for (_, low, high), rows in frame.groupby(["group", "low", "high"], sort=False).indices.items():
-                chunk = frame["chunk"].to_numpy()[rows]
-                left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
-                if len(left) and len(right) and len(rows) > 1:
-                    sets = [values[offsets[r] : offsets[r + 1]] for r in rows]
-                    number = frame["number"].to_numpy()[rows]
-                    links += _forest(number[linked_pairs(sets, left, right, numerator, denominator)])
-            out = pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-            yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+def linked(pairs: DataFrame, classes: DataFrame, numbered: DataFrame, n: int, numerator: int, denominator: int, lower: bool) -> DataFrame:
+    """The pairs (a, b) of classes that link, by partial overlaps in the fragments of the order, summed per pair."""
+    pairs = written(
+        pairs.withColumn("fragments", F.ceil(F.greatest("na", "nb") / F.lit(FRAGMENT)).cast("long")), "ngram-pairs"
+    )
+    needed = pairs.select(F.col("a").alias("number"), "fragments").union(pairs.select("b", "fragments")).distinct()
+    wanted = written(
+        needed.join(classes.select("number", F.col("rep.id").alias("want"), F.col("rep.digest").alias("as")), "number"), "ngram-wanted"
+    )
+    texts = numbered.join(
+        small_side(wanted).hint("shuffle_hash"), (F.col("id") == F.col("want")) & (F.col("digest") == F.col("as"))
+    ).select("number", "fragments", "text").dropDuplicates(["number", "fragments"])
+    slices = written(texts.mapInArrow(_slices(n, lower), SLICES), "ngram-slices")
+    parts = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fragments") - 1)))
+    for side in "ab":
+        held = slices.select(F.col("number").alias(side), "fragments", "fragment", F.col("grams").alias(f"grams_{side}"))
+        parts = parts.join(held, [side, "fragments", "fragment"])
+    partial = F.size(F.array_intersect("grams_a", "grams_b")).cast("long")
+    sums = parts.select("a", "b", "na", "nb", partial.alias("partial")).groupBy("a", "b", "na", "nb").agg(F.sum("partial").alias("both"))
+    return written(
+        sums.where(denominator * F.col("both") >= numerator * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "ngram-links"
+    )
+
+
+def led_pairs(postings: DataFrame) -> DataFrame:
+    """In n-grams of more than ``HOT`` classes: each class with the classes that lead most of its n-grams."""
+    leaders = postings.groupBy("gram").agg(F.count("*").alias("many"), F.min(F.struct("number", "n")).alias("led")).where(F.col("many") > HOT)
+    votes = (
+        postings.join(leaders.select("gram", "led"), "gram").where(F.col("number") != F.col("led.number"))
+        .groupBy("led", "number", "n").agg(F.count("*").alias("votes"))
+    )
+    best = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("votes"), "led"))
+    return votes.withColumn("best", best).where(F.col("best") <= LEADERS).select(
+        F.col("led.number").alias("a"), F.col("number").alias("b"), F.col("led.n").alias("na"), F.col("n").alias("nb")
+    )
 
-    return run
 
+def candidate_pairs(postings: DataFrame, groups: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Pairs of classes of different groups whose shared prefix n-grams leave the threshold within reach."""
+    grouped = postings.join(groups, F.col("number") == F.col("id"), "left").withColumn("component", F.coalesce("component", "number"))
+    grouped = written(grouped.select("gram", "number", "n", "last", "component"), "ngram-grouped")
+    several = grouped.groupBy("gram", "component").agg(F.max("n").alias("most"), F.min("n").alias("least"))
+    left, right = (several.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("component", "most", "least"))) for s in "ab")
+    near = lambda small, large: denominator * F.col(small) >= numerator * F.col(large)
+    met = left.join(right, "gram").where(
+        (F.col("component_a") < F.col("component_b")) & near("most_a", "least_b") & near("most_b", "least_a")
+    ).select("gram", "component_a", "component_b")
+    for s in "ab":
+        met = met.join(
+            grouped.select("gram", F.col("component").alias(f"component_{s}"), F.col("number").alias(s), F.col("n").alias(f"n{s}"),
+                           F.col("last").alias(f"last_{s}")), ["gram", f"component_{s}"],
+        )
+    pairs = met.where(near("na", "nb") & near("nb", "na")).groupBy("a", "b", "na", "nb", "last_a", "last_b").agg(F.count("*").alias("shared"))
+    needed = F.ceil(F.lit(numerator) * (F.col("na") + F.col("nb")) / F.lit(numerator + denominator) - 1e-9)
+    behind = [F.ceil(F.lit(numerator) * F.col(c) / F.lit(denominator) - 1e-9) - 1 for c in ("na", "nb")]
+    # Whose prefix ends first; places that are too close to tell count as either.
+    a_first, b_first = F.col("last_a") <= F.col("last_b"), F.col("last_b") <= F.col("last_a")
+    rest = F.greatest(F.when(a_first, behind[0]), F.when(b_first, behind[1]))
+    return pairs.where(F.col("shared") + rest >= needed).select("a", "b", "na", "nb")
 
-def join(
-    docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10, lower: bool = True,
-    expected: float | None = None,
-) -> DataFrame:
+
+def join(docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10, lower: bool = True) -> DataFrame:
     """(id, digest, n_shingles, component_id, first_digest): a row for every row of ``docs``.
 
     Two documents link when ``denominator * intersection >= numerator * union`` of their sets of
     ``n``-word shingles. ``id`` is doc_id (null: ``NO_ID``) and ``digest`` the MD5 of the text;
-    ``component_id`` and ``first_digest`` name the first document of the component.
-
-    Without ``expected`` no link is lost. With it, sets of more than some 60 n-grams sign fewer and
-    longer fragments, so that at the threshold ``expected`` of them are equal on average, and larger
-    sets count as candidates from two or three equal fragments on: this keeps documents that share
-    passages apart where the threshold is low, and loses pairs near the threshold. Fragments are
-    counted per smallest class, not per pair, so texts made of shared passages lose the most.
+    ``component_id`` and ``first_digest`` name the first document of the component. No link is lost.
     """
     numbered = docs.select(
         F.coalesce(F.col("doc_id"), F.lit(NO_ID)).cast("long").alias("id"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"),
         F.col("text"),
     )
+    common = docs.sparkSession.sparkContext.broadcast(common_grams(docs, n, lower))
     signed = written(
-        numbered.mapInArrow(_sign(n, lower, numerator, denominator, expected), SIGNED)
-        .withColumn("cls", F.xxhash64("n", "one", "two")), "ngram-signed",
+        numbered.mapInArrow(_sign(n, lower, numerator, denominator, common), SIGNED).withColumn("cls", F.xxhash64("n", "one", "two")),
+        "ngram-signed",
     )
-    # Candidate ties between sets, by any shared signature; copies of a set fall together.
-    signs = signed.select("cls", "n", F.explode("signatures").alias("s"))
-    shared = signs.groupBy("s").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most")
-    ties = signs.join(shared.select("s", "least"), "s").where("cls <> least")
-    if expected is None:
-        ties = ties.select(F.col("cls").alias("a"), F.col("least").alias("b")).distinct()
-    else:
-        needed = F.when(F.col("n") < 60, 1).when(F.col("n") < 120, 2).otherwise(3)
-        ties = (
-            ties.groupBy(F.col("cls").alias("a"), F.col("least").alias("b"))
-            .agg(F.count_distinct("s").alias("equal"), F.min("n").alias("n")).where(F.col("equal") >= needed)
-        )
-    clusters = components(ties)
     classes = written(
-        signed.where("n > 0").groupBy("cls", "n", "one", "two").agg(F.min(F.struct("id", "digest")).alias("rep"))
+        signed.where("n > 0").groupBy("cls", "n", "one", "two", "last").agg(F.min(F.struct("id", "digest")).alias("rep"))
         .withColumn("number", F.monotonically_increasing_id()), "ngram-classes",
     )
-    # Within a cluster only sets of one level, or of neighbouring ones, can link.
-    ratio = F.lit(LEVEL_RATIO)
-    level = F.floor(F.log(F.col("n")) / F.log(ratio) + 1e-9)
-    upward = F.floor(F.col("n") * denominator / numerator) >= F.ceil(F.pow(ratio, level + 1) - 1e-6)
-    levels = F.when(upward, F.array(level, level + 1)).otherwise(F.array(level))
-    grouped = classes.join(clusters, F.col("cls") == F.col("id")).select("number", "rep", "component", F.explode(levels).alias("level"))
-    grouped = grouped.withColumn("group", F.xxhash64("component", "level"))
-    dealt = written(chunk_numbers(grouped, "group", ["number"], PIECE, least=2), "ngram-pieces")
-    wanted = dealt.groupBy(F.col("rep.id").alias("want"), F.col("rep.digest").alias("as"), "number").agg(F.max(F.lit(1)).alias("one")).drop("one")
-    texts = numbered.join(
-        small_side(wanted).hint("shuffle_hash"), (F.col("id") == F.col("want")) & (F.col("digest") == F.col("as"))
-    ).select("number", "text")
-    sets = written(texts.mapInArrow(_sets(n, lower), SETS), "ngram-sets")
-    units = unit_rows(dealt.select("number", "group", "chunks", "chunk"), "group").select("unit", "number", "group", "chunk", "low", "high")
-    units = units.join(sets, "number").select("unit", "number", "group", "chunk", "low", "high", "grams")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = written(
-        units.repartition(parts, "unit").sortWithinPartitions("unit")
-        .mapInArrow(_verify(numerator, denominator), "a long, b long"), "ngram-links",
+    # N-grams in the prefixes of several classes; copies of a set fall together.
+    dealt = signed.select("cls", F.explode("prefix").alias("gram"))
+    shared = written(
+        dealt.groupBy("gram").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("gram"), "ngram-shared"
+    )
+    postings = written(
+        dealt.join(bounded_side(shared), "gram").distinct().join(classes.select("cls", "number", "n", "last"), "cls")
+        .select("gram", "number", "n", "last"), "ngram-postings",
     )
+    find = lambda pairs: linked(pairs, classes, numbered, n, numerator, denominator, lower)
+    links = find(led_pairs(postings))
+    links = links.union(find(candidate_pairs(postings, components(links), numerator, denominator)))
     joined = components(links).withColumnRenamed("id", "linked")
     located = classes.join(joined, F.col("number") == F.col("linked"), "left").withColumn("component", F.coalesce("component", "number"))
     first = located.groupBy("component").agg(F.min("rep").alias("first"))

@@ -81,7 +81,7 @@ def test_ngram_join_finds_every_link(frame, n, numerator, denominator):
     assert sorted((r["id"], r["n_shingles"], r["component_id"]) for r in got) == want
 
 
-def crowded_pair(rng, bounds=(64, 97), others=12):
+def crowded_pair(rng, cuts=(18, 24), others=12):
     """Two texts at the threshold, and texts that each hold all of one long fragment that the two share."""
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     words = [word() for _ in range(295)]
@@ -89,8 +89,8 @@ def crowded_pair(rng, bounds=(64, 97), others=12):
     for at in range(30, 280, 44):
         near[at] = word()
     texts = [words, near]
-    for most in bounds:
-        texts += crowd(words, near, word, ngram_join.fragment_count(most, 10.0), others)
+    for fragments in cuts:
+        texts += crowd(words, near, word, fragments, others)
     return texts
 
 
@@ -152,20 +152,40 @@ def test_deduplicated_keeps_one_of_each_group(frame):
     assert len(kept) == joined.select("component_id", "first_digest").distinct().count()
 
 
-def test_fewer_fragments_lose_nothing_far_above_the_threshold():
+def test_prefixes_of_linked_sets_meet_under_any_order():
     rng = np.random.default_rng(3)
-    base = np.sort(rng.integers(0, 2**63, 800).astype(np.uint64))
-    near = np.sort(np.concatenate([base[30:], rng.integers(0, 2**63, 30).astype(np.uint64)]))
-    shared = np.intersect1d(ngram_join.signatures(base, 8, 10, 10.0), ngram_join.signatures(near, 8, 10, 10.0))
-    assert len(shared) >= 3
-
-
-def test_units_of_a_divided_cluster_hold_every_pair(frame, monkeypatch):
-    monkeypatch.setattr(ngram_join, "PIECE", 3)
+    for size in (1, 2, 7, 800):
+        base = np.sort(rng.integers(0, 2**63, size).astype(np.uint64))
+        near = base[size // 5 :]  # at the threshold
+        names = np.sort(rng.choice(base, size // 2, replace=False))
+        places = rng.permutation(len(names))
+        (one, last), (two, last_two) = (
+            ngram_join.ordered_prefix(s, ngram_join.prefix_length(len(s), 8, 10), (names, places)) for s in (base, near)
+        )
+        assert len(one) == size - -(-8 * size // 10) + 1 and len(np.intersect1d(one, two))
+        cold = one[~np.isin(one, names)]
+        assert (np.diff(cold.astype(object)) > 0).all() and last <= last_two or size > 1
+
+
+def test_heaviest_adds_up_and_keeps_the_largest():
+    grams, counts = ngram_join.heaviest(np.array([5, 3, 5, 9], np.uint64), np.array([1, 1, 1, 4]), 2)
+    assert grams.tolist() == [5, 9] and counts.tolist() == [2, 4]
+
+
+@pytest.mark.parametrize(("hot", "fragment", "least"), [(2, 16, 2), (5, 1000, 1), (10**9, 4096, 10**9)])
+def test_hot_groups_fragments_and_orders_change_no_link(frame, monkeypatch, hot, fragment, least):
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    monkeypatch.setattr(ngram_join, "FRAGMENT", fragment)
+    monkeypatch.setattr(ngram_join.common_grams, "__defaults__", (ngram_join.COMMON, least))
     words = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join(words[: 200 - i]), None, None, 0) for i in range(15)]
+    rows = [(i, " ".join(words[: 200 - i]), None, None, 0) for i in range(15)]  # a chain: only near ones link
+    rows += [(100 + i, " ".join(words[100:160] + [f"x{i}.{j}" for j in range(60)]), None, None, 0) for i in range(15)]  # share a passage only
+    rows += [rows[3], rows[3], (None, rows[20][1], None, None, 0)]
     got = ngram_join.join(frame(rows, DOCS), n=3, numerator=9, denominator=10).collect()
-    assert {r["component_id"] for r in got} == {0}
+    assert {(r["id"], r["component_id"]) for r in got} == (
+        {(i, 0) for i in range(15)} | {(100 + i, 100 + i) for i in range(15)} | {(ngram_join.NO_ID, 105)}
+    )
+    assert len(got) == len(rows)
 
 
 def removed(rows):

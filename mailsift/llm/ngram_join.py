@@ -1,8 +1,8 @@
 """N-gram Jaccard join by vertical partitioning.
 
 All n-grams have one global order: rare ones first by their 64-bit hashes, then the common ones by
-falling rarity. Every document is counted for it; a task keeps its heaviest counts only, and the
-``COMMON`` most frequent n-grams of all are named. The counts decide about work, never about links:
+rising counts. Every document is counted for it; a task adds up what repeats and keeps its heaviest
+counts, and the ``COMMON`` most frequent n-grams of all are named. The counts decide about work, never about links:
 any one order gives the same ones.
 
 1. *Prefixes.* Sets that link share at least the threshold's part of either, so each has one of the
@@ -37,6 +37,7 @@ from mailsift.llm.common import (
 )
 
 COMMON = 1 << 18  # n-grams that are ordered by their counts; also the counts a task keeps
+WAITING = 1 << 22  # n-grams that a task gathers before it adds up those that occur in them twice or more
 LEAST_COUNT = 8  # a rarer n-gram is ordered by its hash
 HOT = 64  # classes that share an n-gram, beyond which they are first compared with its leaders
 LEADERS = 3  # such comparisons for a class
@@ -64,16 +65,30 @@ def heaviest(grams: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarr
     return grams, counts
 
 
+def repeated(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that occur more than once, sorted, and their counts."""
+    grams = np.sort(grams)
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(grams)), bool), grams[1:] != grams[:-1]]))
+    counts = np.diff(np.append(starts, len(grams)))
+    return grams[starts[counts > 1]], counts[counts > 1]
+
+
 def _count(n: int, lower: bool, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        held: tuple[np.ndarray, np.ndarray] = np.empty(0, np.uint64), np.empty(0, np.int64)
+        waiting: list[np.ndarray] = []
+
+        def add_up() -> tuple[np.ndarray, np.ndarray]:
+            new = repeated(np.concatenate([*waiting, np.empty(0, np.uint64)]))
+            waiting.clear()
+            return heaviest(*(np.concatenate(two) for two in zip(held, new)), most)
+
         for batch in text_slices(batches):
-            sets = [shingle_set(words_of(text, lower), n) for text in batch.column("text").to_pylist()]
-            new = np.concatenate([*sets, np.empty(0, np.uint64)])
-            grams, counts = heaviest(np.concatenate([grams, new]), np.concatenate([counts, np.ones(len(new), np.int64)]), 4 * most)
-        grams, counts = heaviest(grams, counts, most)
-        often = counts > 1
-        yield pa.RecordBatch.from_arrays([pa.array(grams[often].view(np.int64)), pa.array(counts[often])], names=["gram", "count"])
+            waiting += [shingle_set(words_of(text, lower), n) for text in batch.column("text").to_pylist()]
+            if sum(map(len, waiting)) > WAITING:
+                held = add_up()
+        grams, counts = add_up()
+        yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(counts)], names=["gram", "count"])
 
     return run
 

@@ -170,6 +170,8 @@ def test_prefixes_of_linked_sets_meet_under_any_order():
 def test_heaviest_adds_up_and_keeps_the_largest():
     grams, counts = ngram_join.heaviest(np.array([5, 3, 5, 9], np.uint64), np.array([1, 1, 1, 4]), 2)
     assert grams.tolist() == [5, 9] and counts.tolist() == [2, 4]
+    for given, want in (([], []), ([4], []), ([4, 7, 4, 9, 9, 9], [(4, 2), (9, 3)])):
+        assert list(zip(*(a.tolist() for a in ngram_join.repeated(np.array(given, np.uint64))))) == want
 
 
 @pytest.mark.parametrize(("hot", "fragment", "least"), [(2, 16, 2), (5, 1000, 1), (10**9, 4096, 10**9)])

@@ -1,9 +1,14 @@
 """Near-duplicate vectors by cross-polytope hashing.
 
 A hash applies random signs and a fast Hadamard transform three times and takes the coordinate
-with the largest magnitude and its sign. ``HASHES`` of them make a bucket of a table; a vector also
-probes the buckets that replace one coordinate by the runner-up. Pairs that share a bucket are
-verified by their cosine in double precision; no pair below the threshold is ever a link.
+with the largest magnitude and its sign. ``HASHES`` of them, and more as the table grows, make a
+bucket of a table; a vector also probes the buckets that replace one coordinate by the runner-up. Pairs
+that share a bucket are verified by their cosine in double precision; no pair below the threshold is
+ever a link.
+
+Vectors of equal direction (bit by bit, once scaled by their largest component) are one class from
+the start: its copies are counted, never paired. A link of two classes counts for each as many times as
+the other has copies, and a class gives each of its own copies one link less than it has.
 
 A bucket is dealt into pieces and every two pieces meet in one unit, so no bucket is gathered,
 whatever its size. Pairs stay inside a unit: what leaves it is how many links each vector has there
@@ -29,6 +34,7 @@ from mailsift.llm.common import NO_ID, chunk_numbers, components, scramble, unit
 THRESHOLD = 0.95
 TABLES = 10
 HASHES = 3
+ROWS = 1 << 24  # classes up to which these numbers of tables and hashes hold
 PIECE = 1024
 SEED = 42
 
@@ -97,8 +103,13 @@ def _hash(tables: int, hashes: int, seed: int):
     return run
 
 
-def unit_links(vectors: np.ndarray, lists: np.ndarray, bucket: int, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs (left, right) at the threshold for which ``bucket`` is the first that both lists have."""
+def unit_links(
+    vectors: np.ndarray, lists: np.ndarray, bucket: int, left: np.ndarray, right: np.ndarray, threshold: float, tables: int,
+) -> np.ndarray:
+    """Pairs (left, right) at the threshold for which ``bucket`` is the first that both lists have.
+
+    A name tells its table, so only places of one table are compared.
+    """
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     same = len(left) == len(right) and (left == right).all()
     i, j = np.nonzero(unit[left] @ unit[right].T >= threshold)
@@ -106,25 +117,38 @@ def unit_links(vectors: np.ndarray, lists: np.ndarray, bucket: int, left: np.nda
     if same:
         i, j = i[i < j], j[i < j]
     i, j = np.minimum(i, j), np.maximum(i, j)
+    by_table = lists.reshape(len(lists), tables, -1)
     kept = []
-    for start in range(0, len(i), 50_000):
-        a, b = i[start : start + 50_000], j[start : start + 50_000]
-        la, lb = lists[a], lists[b]
-        first = np.full(len(a), lists.shape[1])
-        for k in range(lists.shape[1] - 1, -1, -1):  # the first place of the left list that the right list has
-            first[(la[:, k : k + 1] == lb).any(1)] = k
-        mine = np.take_along_axis(la, np.minimum(first, lists.shape[1] - 1)[:, None], 1)[:, 0] == bucket
+    for start in range(0, len(i), 20_000):
+        a, b = i[start : start + 20_000], j[start : start + 20_000]
+        met = np.stack([
+            (by_table[a, :, k, None] == by_table[b]).any(2) for k in range(by_table.shape[2])
+        ], 2).reshape(len(a), -1)
+        first = met.argmax(1)  # the first place of the left list that the right list has
+        mine = met.any(1) & (lists[a, first] == bucket)
         kept.append(np.stack([a[mine], b[mine]], 1))
     return np.concatenate(kept) if kept else np.empty((0, 2), np.int64)
 
 
+def hash_numbers(rows: int) -> tuple[int, int]:
+    """(tables, hashes) for so many classes: buckets of unrelated vectors stay short, recall stays up.
+
+    A hash of 64 dimensions has 128 values, so each further one is due at 128 times the rows; it takes
+    twice the tables to find a pair at the threshold as often as before.
+    """
+    more = 0
+    while rows > ROWS << (7 * more):
+        more += 1
+    return TABLES << more, HASHES + more
+
+
 FOUND = "number long, links long, other long"
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "unit"):
-            frame = table.select(["number", "bucket", "dim", "chunk", "low", "high"]).to_pandas()
+            frame = table.select(["number", "copies", "bucket", "dim", "chunk", "low", "high"]).to_pandas()
             out: list[pd.DataFrame] = []
             for (bucket, _, low, high), rows in frame.groupby(["bucket", "dim", "low", "high"], sort=False).indices.items():
                 if len(rows) < 2:
@@ -134,10 +158,11 @@ def _verify(threshold: float):
                 order = np.argsort(number)  # the bucket list of the smaller number decides
                 vectors, lists = _matrix(part.column("vector"))[order], _matrix(part.column("buckets"))[order]
                 number, chunk = number[order], chunk[order]
+                copies = frame["copies"].to_numpy()[rows][order]
                 left, right = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
-                pairs = unit_links(vectors, lists, bucket, left, right, threshold)
+                pairs = unit_links(vectors, lists, bucket, left, right, threshold, tables)
                 if len(pairs):
-                    out += _counts(number, pairs)
+                    out += _counts(number, copies, pairs)
             yield pa.RecordBatch.from_pandas(
                 pd.concat(out) if out else pd.DataFrame(columns=["number", "links", "other"], dtype="int64"), preserve_index=False,
             )
@@ -145,9 +170,11 @@ def _verify(threshold: float):
     return run
 
 
-def _counts(number: np.ndarray, pairs: np.ndarray) -> list[pd.DataFrame]:
-    """Links of every vector of a unit, with one tree edge where the vector first joins another tree."""
-    degree = np.bincount(pairs.ravel(), minlength=len(number))
+def _counts(number: np.ndarray, copies: np.ndarray, pairs: np.ndarray) -> list[pd.DataFrame]:
+    """Links of every class of a unit, with one tree edge where the class first joins another tree."""
+    degree = np.zeros(len(number), np.int64)
+    np.add.at(degree, pairs[:, 0], copies[pairs[:, 1]])
+    np.add.at(degree, pairs[:, 1], copies[pairs[:, 0]])
     parent = np.arange(len(number))
 
     def root(x: int) -> int:
@@ -169,36 +196,63 @@ def _counts(number: np.ndarray, pairs: np.ndarray) -> list[pd.DataFrame]:
 
 
 def near_duplicates(
-    vectors: DataFrame, threshold: float = THRESHOLD, tables: int = TABLES, hashes: int = HASHES, seed: int = SEED,
+    vectors: DataFrame, threshold: float = THRESHOLD, tables: int | None = None, hashes: int | None = None, seed: int = SEED,
 ) -> DataFrame:
     """(id, n_links, component, kept): a row for every row of (vec_id, embedding)."""
-    rows = written(
-        vectors.select(
-            F.coalesce(F.col("vec_id"), F.lit(NO_ID)).cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector")
-        ).withColumn("number", F.monotonically_increasing_id()), "vectors",
-    )
+    rows = vectors.select(
+        F.coalesce(F.col("vec_id"), F.lit(NO_ID)).cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector")
+    ).withColumn("number", F.monotonically_increasing_id())
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     zero = F.forall("vector", lambda x: x == 0)
-    usable = rows.where(F.col("vector").isNotNull()).where(F.size("vector") > 0).where(~bad).where(~zero)
+    usable = F.coalesce(F.col("vector").isNotNull() & (F.size("vector") > 0) & ~bad & ~zero, F.lit(False))
     # Scaled by the largest component, so that no square overflows or vanishes; cosines stay as they are.
     largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
-    usable = usable.withColumn("vector", F.transform("vector", lambda x: x / largest)).withColumn("dim", F.size("vector"))
-    listed = written(usable.select("number", "dim", "vector").mapInArrow(_hash(tables, hashes, seed), BUCKETS), "vector-buckets")
+    scaled = F.transform("vector", lambda x: x / largest + F.lit(0.0))  # one zero only
+    rows = rows.withColumn("vector", F.when(usable, scaled))
+    # Two hashes of 64 bits name a direction; what links with nothing is named by its row.
+    named = lambda first, last: F.when(F.col("vector").isNotNull(), F.xxhash64(*first, "vector", *last)).otherwise(F.col("number"))
+    rows = written(
+        rows.withColumn("one", named([], [F.lit(1)])).withColumn("two", named([F.lit(2)], [])), "vectors"
+    )
+    classes = written(
+        rows.where(F.col("vector").isNotNull()).groupBy("one", "two").agg(F.min("number").alias("number"), F.count("*").alias("copies")),
+        "vector-classes",
+    )
+    if tables is None or hashes is None:
+        sized = hash_numbers(classes.count())
+        tables, hashes = tables or sized[0], hashes or sized[1]
+    distinct = written(
+        rows.select("number", "vector").join(classes.select("number", "copies"), "number").withColumn("dim", F.size("vector")),
+        "vector-distinct",
+    )
+    listed = written(
+        distinct.select("number", "dim", "vector").mapInArrow(_hash(tables, hashes, seed), BUCKETS), "vector-buckets"
+    )
     members = listed.select("number", "dim", F.explode(F.array_distinct("buckets")).alias("bucket"))
     dealt = chunk_numbers(members.withColumn("group", F.xxhash64("bucket", "dim")), "group", ["number"], PIECE, least=2)
     units = unit_rows(dealt, "group")
-    full = listed.drop("dim").join(usable.select("number", "vector"), "number")
-    units = units.join(full, "number").select("unit", "number", "bucket", "dim", "chunk", "low", "high", "vector", "buckets")
+    full = listed.drop("dim").join(distinct.select("number", "vector", "copies"), "number")
+    units = units.join(full, "number").select("unit", "number", "copies", "bucket", "dim", "chunk", "low", "high", "vector", "buckets")
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = written(units.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_verify(threshold), FOUND), "vector-links")
+    found = written(
+        units.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_verify(threshold, tables), FOUND), "vector-links"
+    )
     degrees = found.where("links > 0").groupBy(F.col("number").alias("_d")).agg(F.sum("links").alias("links"))
     joined = components(found.where("links = 0").select(F.col("number").alias("a"), F.col("other").alias("b")))
-    located = (
-        rows.select("number", "id").join(degrees, F.col("number") == F.col("_d"), "left")
+    linked = written(
+        classes.join(degrees, F.col("number") == F.col("_d"), "left")
         .join(joined.withColumnRenamed("id", "_j"), F.col("number") == F.col("_j"), "left")
-        .withColumn("component", F.coalesce("component", "number"))
+        .select(
+            F.col("one").alias("_one"), F.col("two").alias("_two"), F.coalesce("component", "number").alias("component"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
+        ), "vector-linked",
+    )
+    located = written(
+        rows.select("number", "id", "one", "two")
+        .join(linked, (F.col("one") == F.col("_one")) & (F.col("two") == F.col("_two")), "left")
+        .select("number", "id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "number").alias("component")),
+        "vector-located",
     )
-    located = written(located.select("number", "id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "component"), "vector-located")
     first = located.groupBy(F.col("component").alias("_c")).agg(F.min(F.struct("id", "number")).alias("first"))
     return located.join(first, F.col("component") == F.col("_c")).select(
         "id", "n_links", F.col("first.id").alias("component"), (F.col("first.number") == F.col("number")).alias("kept")

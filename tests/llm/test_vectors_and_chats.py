@@ -157,3 +157,38 @@ def test_topk_of_repeated_rows_and_large_values(frame, monkeypatch):
     got = [tuple(r) for r in topk_search.result(frame(rows, VECTORS)).collect()]
     assert sorted(got) == sorted(want)
     assert len(got) == 5 * sum(1 for i, _ in whole if i % 50 == 0)
+
+
+def test_copies_of_a_direction_are_counted_not_paired(spark):
+    """20,000 copies of one vector, 500 of a near one and some of neither; scaled copies are copies."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=64)
+    near = base + 0.05 * rng.normal(size=64)
+    far = rng.normal(size=64)
+    assert near @ base / np.linalg.norm(near) / np.linalg.norm(base) > 0.97
+    kinds = {0: base.tolist(), 1: near.tolist(), 2: (4.0 * base).tolist(), 3: far.tolist()}
+    ids = spark.range(20_503).selectExpr("id AS vec_id", "CASE WHEN id < 500 THEN 1 WHEN id < 20500 THEN IF(id % 2 = 0, 0, 2) ELSE 3 END AS kind")
+    vectors = ids.join(spark.createDataFrame(list(kinds.items()), "kind int, embedding array<double>").hint("broadcast"), "kind")
+    got = {
+        (r["n_links"], r["component"]): r["n"]
+        for r in embedding_dedup.near_duplicates(vectors).groupBy("n_links", "component").count().withColumnRenamed("count", "n").collect()
+    }
+    assert got == {(20_499, 0): 20_500, (2, 20_500): 3}
+
+
+def test_recall_just_above_the_threshold():
+    """Random pairs with cosines from 0.95 to 0.96, for the numbers of hashes of small and of large tables."""
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=(400, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    other = rng.normal(size=a.shape)
+    other -= (other * a).sum(1, keepdims=True) * a
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = rng.uniform(0.95, 0.96, (400, 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * other
+    assert embedding_dedup.hash_numbers(1000) == (10, 3)
+    assert embedding_dedup.hash_numbers(1 << 30) == (20, 4)
+    for rows in (1000, 1 << 30):
+        tables, hashes = embedding_dedup.hash_numbers(rows)
+        lists = [embedding_dedup.bucket_lists(x, tables, hashes).tolist() for x in (a, b)]
+        assert np.mean([bool(set(x) & set(y)) for x, y in zip(*lists)]) >= 0.9

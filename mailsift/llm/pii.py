@@ -8,7 +8,7 @@ there is to know. A word of the entity's documents, wherever it stands in them,
 ``pmi`` reaches ``DISCLOSURE`` times ``ic``. Every occurrence of a revealing word in every text is
 sanitised, in documents without the entity too: removed where ``pmi`` reaches ``REMOVAL`` times ``ic``
 for some entity, generalised to a placeholder below that. Pairs seen in fewer than ``SUPPORT``
-documents are no estimate and stay. Words are whole runs of letters, in lower case; what overlaps with
+documents are no estimate and stay. Words are whole runs of letters of any length, in lower case; what overlaps with
 a base span is no word.
 
 Positions are code points: Java's
@@ -38,23 +38,50 @@ CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
 
 MASK = "\ue003"  # stands for a base span
 LETTERS = r"\p{L}+"
-SHORTEST = 4  # letters of a term
+BLOCK = 128  # numbers that are summed in one pass
+CUT = 512  # code points of a block of a text
 SUPPORT = 3  # documents that a pair needs
 DISCLOSURE, REMOVAL = 0.9, 0.98
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def before_each(values: Column, joined=lambda a, b: a + b) -> Column:
+    """For each number of an array what those before it join to: their sum, from 0 on.
+
+    Blocks of ``BLOCK`` are joined apart and then with what is before them: appending copies an array,
+    so one pass over a text of a million hits would copy a million times a million numbers.
+    """
+    def grown(array: Column, last) -> Column:
+        return F.aggregate(array, F.array(F.lit(0)), lambda acc, x: F.array_append(acc, joined(F.element_at(acc, -1), last(x))))
+
+    def done(whole: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(whole), F.lit(BLOCK))
+        blocks = F.transform(starts, lambda at: grown(F.slice(whole, at, F.lit(BLOCK)), lambda x: x))
+        return bound(blocks, lambda inner: F.flatten(F.zip_with(
+            inner, F.slice(grown(inner, lambda x: F.element_at(x, -1)), F.lit(1), F.size(inner)),
+            lambda block, before: F.transform(F.slice(block, F.lit(1), F.size(block) - 1), lambda x: joined(x, before)),
+        )))
+
+    none = F.array().cast("array<int>")
+    return bound(values, lambda whole: F.when(F.size(whole) > 0, done(whole)).otherwise(none))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start int, end int, value string>> of the matches, in code points."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
-    steps = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("hit")))
-    starts = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["hit"]).alias("at"), F.array_append(acc["out"], acc["at"] + x["gap"]).alias("out")
-        ), lambda acc: acc["out"],
-    )
-    return F.zip_with(starts, hits, lambda s, h: F.struct(s.alias("start"), (s + F.length(h)).alias("end"), h.alias("value")))
+    def placed(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+        steps = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("hit")))
+        return bound(steps, lambda known: F.zip_with(
+            F.zip_with(before_each(F.transform(known, lambda x: x["gap"] + x["hit"])), known, lambda at, x: F.struct(
+                (at + x["gap"]).alias("start"), (at + x["gap"] + x["hit"]).alias("end"))),
+            hits, lambda at, h: F.struct(at["start"].alias("start"), at["end"].alias("end"), h.alias("value")),
+        ))
+
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def joints(text: Column, separator: str, around: str, mark: str) -> Column:
@@ -116,49 +143,58 @@ def base_spans(text: Column) -> Column:
 
 
 def _replaced(text: Column, spans: Column) -> Column:
-    """The text with each of the sorted spans (start, back, by) replaced, unless an earlier one reaches into it."""
-    done = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], -s["back"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.array_append(F.array_append(
-                acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])), s["by"])).otherwise(acc["out"]).alias("out"),
-        ),
-    )
-    return F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.lit(2**31 - 1)))
+    """The text with each of the sorted spans (start, back, by) replaced, unless an earlier one reaches into it.
+
+    What stays is cut out of blocks of the text, so no cut walks through all of it.
+    """
+    def built(blocks: Column, reached: Column) -> Column:
+        def cut(start: Column, end: Column) -> Column:
+            first = F.floor(start / CUT).cast("int")
+            count = F.floor((end - 1) / CUT).cast("int") - first + 1
+            return F.substring(F.array_join(F.slice(blocks, first + 1, count), ""), start - first * CUT + 1, end - start)
+
+        kept = F.filter(reached, lambda x: x["span"]["start"] >= x["reach"])
+        parts = F.transform(kept, lambda x: F.concat(cut(x["reach"], x["span"]["start"]), x["span"]["by"]))
+        last = F.coalesce(F.array_max(F.transform(reached, lambda x: -x["span"]["back"])), F.lit(0))
+        return F.concat(F.array_join(parts, ""), bound(last, lambda at: cut(at, F.greatest(at, F.size(blocks) * CUT))))
+
+    def of(blocks: Column, known: Column) -> Column:
+        reach = before_each(F.transform(known, lambda s: -s["back"]), F.greatest)
+        return bound(F.zip_with(reach, known, lambda r, s: F.struct(r.alias("reach"), s.alias("span"))), lambda reached: built(blocks, reached))
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    return bound(blocks, lambda held: bound(spans, lambda known: of(held, known)))
 
 
 def words(text: Column) -> Column:
     """The distinct words of a text, without those that touch a ``MASK``."""
-    found = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}{MASK}])\p{{L}}{{{SHORTEST},}}+(?!{MASK})"), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(rf"(?<![\p{{L}}{MASK}])\p{{L}}++(?!{MASK})"), F.lit(0))
     return F.array_distinct(F.transform(found, F.lower))
 
 
 def masked(text: Column, base: Column) -> Column:
-    """The text with one ``MASK`` for every base span."""
+    """The text with a blank for every base span, and a ``MASK`` where the span begins or ends inside a run of letters."""
+    def edge(value: Column, pattern: str) -> Column:
+        return F.when(F.rlike(value, F.lit(pattern)), F.lit(MASK)).otherwise(F.lit(""))
+
     free = F.translate(text, MASK, "\ue001")
-    return _replaced(free, F.array_sort(F.transform(base, lambda s: F.struct(
-        s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(MASK).alias("by")))))
+    blanked = _replaced(free, F.array_sort(F.transform(base, lambda s: F.struct(
+        s["start"].alias("start"), (-s["end"]).alias("back"),
+        F.concat(edge(s["value"], r"^\p{L}"), F.lit(" "), edge(s["value"], r"\p{L}$")).alias("by")))))
+    return F.when(F.size(base) > 0, blanked).otherwise(free)
 
 
 def occurrences(text: Column, base: Column, held: Column) -> Column:
     """array<struct<start, end, remove>>: where the ``held`` words stand in the text, outside of base spans."""
-    hits = F.regexp_extract_all(text, F.lit(LETTERS), F.lit(0))
-    steps = F.arrays_zip(F.slice(F.split(text, LETTERS, -1), F.lit(1), F.size(hits)).alias("gap"), hits.alias("hit"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        covered = F.exists(base, lambda s: (start < s["end"]) & (end > s["start"]))
-        # Only what is found is appended: a long text does not copy an array for every word.
-        same = F.transform(F.filter(held, lambda h: h["term"] == F.lower(x["hit"])), lambda h: F.struct(
-            start.alias("start"), end.alias("end"), h["remove"].alias("remove")))
-        more = F.when((F.size(same) > 0) & ~covered, F.concat(acc["out"], same)).otherwise(acc["out"])
-        return F.struct(end.alias("at"), more.alias("out"))
-
     none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(F.size(held) > 0, found).otherwise(none)
+    # Held words first: only what is found is compared with the base spans, and nothing is appended.
+    by_word = bound(F.map_from_entries(F.transform(held, lambda h: F.struct(h["term"], h["remove"]))), lambda known: F.filter(
+        F.transform(matches(text, LETTERS), lambda m: F.struct(
+            m["start"].alias("start"), m["end"].alias("end"), F.element_at(known, F.lower(m["value"])).alias("remove"))),
+        lambda m: m["remove"].isNotNull(),
+    ))
+    free = F.filter(by_word, lambda m: ~F.exists(base, lambda s: (m["start"] < s["end"]) & (m["end"] > s["start"])))
+    return F.when(F.size(held) > 0, free).otherwise(none)
 
 
 def revealing_terms(
@@ -183,7 +219,7 @@ def revealing_terms(
     most = lambda count: count * F.pow(F.lit(n) / count, F.lit(1 - disclosure)) * (1 + 1e-9)
     limit = top if n <= top or not top else top * (n / top) ** (1 - disclosure) * (1 + 1e-9)
     terms = written(
-        rows.select(F.explode(words(F.coalesce("row.text", F.lit("")))).alias("word"))
+        rows.select(F.explode(words(masked(F.coalesce("row.text", F.lit("")), F.col("base")))).alias("word"))
         .groupBy("word").agg(F.count("*").alias("n_term")).where(F.col("n_term").between(support, limit)), "pii-words",
     )
     near = (

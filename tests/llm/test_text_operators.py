@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -309,7 +311,7 @@ def test_terms_that_give_an_entity_away_go(frame):
 def test_removed_and_generalised_terms(frame):
     rows = [(i, "boss Quentin wrote to boss@firm.com quickly") for i in range(4)] + [(9 + i, "who wrote it quickly") for i in range(60)]
     docs = frame(rows, "doc_id long, text string")
-    assert {r["text"] for r in pii.sanitise(docs).where("doc_id < 4").collect()} == {"  wrote to [EMAIL] quickly"}
+    assert {r["text"] for r in pii.sanitise(docs).where("doc_id < 4").collect()} == {"  wrote  [EMAIL] quickly"}
 
 
 def test_revealing_terms_go_in_every_text(frame):
@@ -325,6 +327,55 @@ def test_revealing_terms_go_in_every_text(frame):
     assert spans[50] == f"term:{at}:{at + 9}" and spans[100] == "" and spans[0].count("term:") == 2
 
 
+def test_added_spans_equal_brute_force(frame):
+    """Words of one letter and more, beside and far from their entities, against counts over all documents."""
+    rng = np.random.default_rng(3)
+    people = ["Bob", "Li", "Q", "Wilhelmina", "eve"]
+    rows = []
+    for i in range(150):
+        words = [f"w{'abcdefghij'[k]}" for k in rng.integers(0, 10, 6)]
+        if i % 2:
+            who = int(rng.integers(0, 5))
+            words.insert(int(rng.integers(0, 6)), f"{people[who].lower()}{who}@mail.org")
+            words.insert(int(rng.integers(0, 6)), people[who if rng.random() < 0.9 else int(rng.integers(0, 5))])
+        if i % 7 == 0:
+            words.append("call+4915112345678")
+        rows.append((i, " ".join(words)))
+    bases = {i: [s.split(":") for s in base_spans(t).split(",") if s] for i, t in rows}
+    outside = {
+        i: [m for m in re.finditer(r"[A-Za-z]+", t) if not any(m.start() < int(b) and m.end() > int(a) for _, a, b in bases[i])]
+        for i, t in rows
+    }
+    entities, terms = {}, {}
+    for i, t in rows:
+        for kind, a, b in bases[i]:
+            entities.setdefault((kind, t[int(a) : int(b)].lower()), set()).add(i)
+        for m in outside[i]:
+            terms.setdefault(m[0].lower(), set()).add(i)
+    revealing = {
+        term for term, where in terms.items() for held in entities.values()
+        if len(held) >= pii.SUPPORT and len(held & where) >= pii.SUPPORT
+        and math.log2(len(held & where) * len(rows) / len(held) / len(where)) >= pii.DISCLOSURE * math.log2(len(rows) / len(held))
+    }
+    assert {"call"} <= revealing and revealing & {"bob", "li", "q", "eve"}
+    want = {i: ",".join(f"term:{m.start()}:{m.end()}" for m in outside[i] if m[0].lower() in revealing) for i, _ in rows}
+    got = {r["doc_id"]: r["spans"] for r in pii.result(frame(rows, "doc_id long, text string")).collect()}
+    assert {i: ",".join(s for s in spans.split(",") if s.startswith("term")) for i, spans in got.items()} == want
+
+
+def test_short_names_are_sanitised(frame):
+    rows = [(i, "Bob has bob0@mail.org for mail") for i in range(5)] + [(9 + i, "who has it for mail") for i in range(60)]
+    clean = {r["text"] for r in pii.sanitise(frame(rows, "doc_id long, text string")).where("doc_id < 5").collect()}
+    assert clean == {" has [EMAIL] for mail"}
+
+
+def test_long_texts_of_hits_take_linear_time(frame):
+    numbers, mails = "12.34 " * 300_000, " ".join(f"a{i}@mail.org" for i in range(60_000))
+    start = time.monotonic()
+    clean = [r["text"] for r in pii.sanitise(frame([(1, numbers), (2, mails)], "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert clean == [numbers, " ".join(["[EMAIL]"] * 60_000)] and time.monotonic() - start < 120
+
+
 def test_counts_follow_edits(frame, monkeypatch):
     monkeypatch.setattr(token_counts, "LEAF", 3)
     counter = token_counts.Counter()

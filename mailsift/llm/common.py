@@ -62,13 +62,13 @@ def gram_hashes(hashes: np.ndarray, n: int, multiplier: int = 0x9E3779B97F4A7C15
     return scramble(total)
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that each piece holds one row or at most ``SLICE_CHARS`` bytes of text."""
+def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that each piece holds one row or at most ``most`` bytes of text."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
         start = total = 0
         for i, length in enumerate(lengths):
-            if i > start and total + length > SLICE_CHARS:
+            if i > start and total + length > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += length

@@ -4,12 +4,14 @@ A text is a chain of words; every word with a letter has a language as its label
 n-grams and a lexicon of frequent training words give each word a score per language, learned
 transitions tie neighbours, and forward-backward gives the probability of each language at each
 word, also where a text switches. A document's language is the one with the largest mean
-probability over its words, which is its score.
+probability over its words, which is its score; its ``certainty`` is the mean of each word's own largest
+probability, which stays high where a text switches. ``runs`` are the words' labels, as counts of
+consecutive words of one language.
 
 Training takes a bounded sample: at most ``DOCS`` documents of each language, by hash, of each at
 most ``SEGMENTS`` segments of ``SEGMENT`` words spread over the whole text; the sample's size does
 not depend on the table's. Segments of random languages are chained, so that the transitions see
-switches. The fit is adaptive-gradient ascent of the chain's likelihood with a small L2 penalty.
+switches. Tables grow with the labels found, the work with their square. The fit is adaptive-gradient ascent of the chain's likelihood with a small L2 penalty.
 Prediction covers every word of every text, in tasks that hold the fitted tables.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; equal scores go to the
@@ -29,11 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
-from mailsift.llm.common import SPACE, text_slices
+from mailsift.llm.common import SLICE_CHARS, SPACE, text_slices
 
 DOCS = 300  # per language
 SEGMENTS, SEGMENT = 6, 24
-LANGUAGES = 64  # more labels than this are an error
 FEATURES = 1 << 15
 LEXICON = 2  # times a word must occur in the sample
 EPOCHS, RATE, PENALTY = 6, 0.25, 1e-6
@@ -118,8 +119,6 @@ def fit(segments: list[tuple[str, list[str]]], seed: int = 42) -> Model | None:
     if not segments:
         return None
     languages = sorted({lang for lang, _ in segments})
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
     counts = Counter(w for _, words in segments for w in words)
     model = Model(languages, frozenset(w for w, n in counts.items() if n >= LEXICON))
     rng = np.random.default_rng(seed)
@@ -195,31 +194,39 @@ class Labeller:
             self.rows.update((w, place[x]) for w, x in plain.items())
         return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
-    def label(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def label(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float], list[list[dict]]]:
+        """Language, score, certainty and runs of every text."""
         split = [(t or "").split() for t in texts]
         codes = self._codes([w for words in split for w in words])
         owner = np.repeat(np.arange(len(texts)), [len(w) for w in split])
         owner, codes = owner[codes >= 0], codes[codes >= 0]
-        total = np.zeros((len(texts), len(self.model.languages)))
-        for whose, marginal in self._marginals(owner, codes):
-            heads = np.flatnonzero(np.concatenate([[True], whose[1:] != whose[:-1]]))
-            total[whose[heads]] = np.add.reduceat(marginal, heads)
+        total, sure = np.zeros((len(texts), len(self.model.languages))), np.zeros(len(texts))
+        runs: list[list[dict]] = [[] for _ in texts]
+        if len(codes):
+            marginal = self._marginals(owner, codes)
+            heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            total[owner[heads]] = np.add.reduceat(marginal, heads)
+            labels = marginal.argmax(1)
+            sure[owner[heads]] = np.add.reduceat(marginal.max(1), heads)
+            turns = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (labels[1:] != labels[:-1])]))
+            sizes = np.diff(np.append(turns, len(labels)))
+            for whose, name, size in zip(owner[turns].tolist(), labels[turns].tolist(), sizes.tolist()):
+                runs[whose].append({"lang": self.model.languages[name], "words": size})
         count = np.bincount(owner, minlength=len(texts))
-        mean = total / np.maximum(count, 1)[:, None]
+        mean, sure = total / np.maximum(count, 1)[:, None], sure / np.maximum(count, 1)
         best = mean.argmax(1)
         return (
             [self.model.languages[b] if n else UNKNOWN for b, n in zip(best, count)],
             [min(1.0, float(mean[i, b])) if n else 0.0 for i, (b, n) in enumerate(zip(best, count))],
+            np.minimum(sure, 1.0).tolist(), runs,
         )
 
-    def _marginals(self, owner: np.ndarray, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _marginals(self, owner: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Exact marginals of all chains of a batch, ``CHAIN`` words of every chain at a time.
 
         A long chain is cut into blocks; a block's product of potentials maps what enters it to what
         leaves it, so the messages at all block ends come from a short pass over the blocks.
         """
-        if not len(codes):
-            return
         k = len(self.model.languages)
         sizes = np.bincount(owner)
         sizes = sizes[sizes > 0]
@@ -269,17 +276,15 @@ class Labeller:
             step = np.where(mask[:, t, None], step, back)
             back = step / step.sum(1, keepdims=True)
         marginal = alpha[row, column]
-        yield owner, marginal / marginal.sum(1, keepdims=True)
+        return marginal / marginal.sum(1, keepdims=True)
 
 
 def training_segments(docs: DataFrame, per_language: int = DOCS) -> list[tuple[str, list[str]]]:
     """The bounded sample: (language, words) segments of documents that are not held out."""
     usable = docs.where((F.col("lang").isNotNull()) & F.col("text").isNotNull() & ~held_out())
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(LANGUAGES + 1).collect()
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()
     if not counts:
         return []
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
     # A document is in the sample if its hash is below the share that gives some more than wanted.
     share = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.3 * per_language / r["n"])))]), F.col("lang"))
     luck = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -305,30 +310,38 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(True))
 
 
-LABELLED = "lang_pred string, score double"
+RUNS = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(row, lang_pred, score): every row of ``docs`` as a struct, with its language."""
+    """(row, lang_pred, score, certainty, runs): every row of ``docs`` as a struct, with its language."""
+    runs = "array<struct<lang:string,words:bigint>>"
     if model is None:
-        return docs.select(F.struct("*").alias("row"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(
+            F.struct("*").alias("row"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("certainty"),
+            F.array().cast(runs).alias("runs"),
+        )
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
+    chars = max(1, 16 * SLICE_CHARS // max(16, len(model.languages)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
-        for batch in text_slices(batches):
-            languages, scores = labeller.label(batch.column("text").to_pylist())
+        for batch in text_slices(batches, most=chars):
+            languages, scores, sure, parts = labeller.label(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=["row", "lang_pred", "score"]
+                [batch.column("row"), pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.float64()),
+                 pa.array(parts, RUNS)], names=["row", "lang_pred", "score", "certainty", "runs"],
             )
 
-    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double").add("certainty", "double")
+    schema = schema.add("runs", docs.sparkSession.range(0).select(F.array().cast(runs).alias("x")).schema["x"].dataType)
     return rows.mapInArrow(run, schema)
 
 
 def result(docs: DataFrame) -> DataFrame:
-    """The language of every document."""
+    """The language of every document, and its words' labels as ``lang:words`` runs."""
     model = fit(training_segments(docs.select("doc_id", "text", "lang")))
     labelled = identify(docs.select("doc_id", "text").withColumn("held_out", held_out()), model)
-    return labelled.select("row.doc_id", "row.held_out", "lang_pred", "score")
+    parts = F.transform("runs", lambda r: F.concat_ws(":", r["lang"], r["words"].cast("string")))
+    return labelled.select("row.doc_id", "row.held_out", "lang_pred", "score", "certainty", F.array_join(parts, ",").alias("runs"))

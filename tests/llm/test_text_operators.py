@@ -433,7 +433,7 @@ def test_blocks_of_long_chains_give_exact_marginals(monkeypatch):
     labeller.scores = rng.normal(size=(50, 3)) * 2
     sizes = [1, 3, 4, 5, 13, 22]
     owner, codes = np.repeat(np.arange(6), sizes), rng.integers(0, 50, sum(sizes))
-    [(_, got)] = labeller._marginals(owner, codes)
+    got = labeller._marginals(owner, codes)
     for i in range(6):
         scores = labeller.scores[codes[owner == i]][None]
         want = language_id.forward_backward(scores, model.transitions)[0][0]
@@ -471,3 +471,35 @@ def test_columns_with_clashing_names_pass(frame):
     assert mixing.mixed_documents(docs).columns == docs.columns
     assert language_id.identify(docs, language_id.fit(language_id.training_segments(docs))).select("row.*").columns == docs.columns
     assert packing.pack(docs).count() == 12 and token_counts.result(docs).count() == 12 and substring_dedup.result(docs).count() == 12
+
+
+def made_up_words(seed: int, letters: str, number: int = 200) -> list[str]:
+    rng = random.Random(seed)
+    return ["".join(rng.choices(letters, k=rng.randint(3, 8))) for _ in range(number)]
+
+
+def test_words_of_mixed_texts_are_labelled(frame):
+    """Texts in three languages by turns: the runs name each part, and all words are certain."""
+    words = {"aa": made_up_words(1, "abcdefg"), "bb": made_up_words(2, "hijklmn"), "cc": made_up_words(3, "opqrstu")}
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(words[lang], k=40)), lang) for i, lang in enumerate(list(words) * 40)]
+    turns = [("bb", 20), ("aa", 15), ("cc", 25), ("aa", 10)]
+    mixed = " ".join(w for lang, n in turns for w in rng.choices(words[lang], k=n))
+    rows += [(1000, mixed, None), (1001, None, None), (1002, "12 34", None)]
+    got = {r["doc_id"]: r for r in language_id.result(frame(rows, "doc_id long, text string, lang string")).collect()}
+    parts = [(r.split(":")[0], int(r.split(":")[1])) for r in got[1000]["runs"].split(",")]
+    truth, seen = [[lang for lang, n in x for _ in range(n)] for x in (turns, parts)]
+    assert len(seen) == 70 and sum(a == b for a, b in zip(truth, seen)) >= 66
+    assert got[1000]["certainty"] > 0.85 > 0.6 > got[1000]["score"]
+    assert all(got[i]["runs"] == "" and got[i]["lang_pred"] == "und" and got[i]["certainty"] == 0 for i in (1001, 1002))
+
+
+def test_more_than_64_languages(frame):
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèêàâîïôûçñåø"
+    rows = [
+        (i, " ".join(random.Random(i).choices(made_up_words(k, "".join(random.Random(k).sample(letters, 5)), 30), k=30)), f"x{k:02}")
+        for i, k in enumerate(list(range(70)) * 4)
+    ]
+    got = language_id.result(frame(rows, "doc_id long, text string, lang string")).collect()
+    truth = {i: lang for i, _, lang in rows}
+    assert len(got) == 280 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in got) >= 200

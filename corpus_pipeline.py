@@ -13,14 +13,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mailsift.llm import language_id, mixing, ngram_join, packing, pii
 from mailsift.session import checkpoint_dir
 
-LEAST_SCORE = 0.4  # a document in which no language is this likely on average is rejected
+LEAST_CERTAINTY = 0.4  # a document whose words are on average less likely than this to be in any one language is rejected
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 8, 10  # five words, similarity of 0.8 or more
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language stay, with the predicted one where ``lang`` is null; the others go."""
+    """Documents with a language stay, with the predicted one where ``lang`` is null; the others go.
+
+    Texts that switch languages stay: each word counts by its own language. Null texts and texts without
+    letters go; repeated rows are judged alike; an empty table stays empty.
+    """
     model = language_id.fit(language_id.training_segments(docs.select("doc_id", "text", "lang")))
-    found = language_id.identify(docs, model).where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    found = language_id.identify(docs, model).where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("certainty") >= LEAST_CERTAINTY))
     return found.select(*[
         F.coalesce(F.col("row.lang"), F.col("lang_pred")).alias(c) if c == "lang" else F.col("row")[c].alias(c) for c in docs.columns
     ])

@@ -7,7 +7,9 @@ any one order gives the same ones.
 
 1. *Prefixes.* Sets that link share at least the threshold's part of either, so each has one of the
    shared n-grams among its first ``n - ceil(threshold * n) + 1``. Documents with equal sets become one
-   class first; only the prefix of a class is dealt out, by n-gram, and n-grams of one class end there.
+   class first; only the prefix of a class is dealt out, by n-gram, and n-grams of one class end there. With
+   a set at least as large as its own, a set has to share more, so for these its *early* prefix is enough:
+   a pair meets in the early prefix of the smaller set (of both, if equally large) and the prefix of the other.
 2. *Groups of near copies.* Where more than ``HOT`` classes share an n-gram, each is first compared
    with the few classes that lead most of its n-grams. What links becomes one group.
 3. *Candidates.* Inside each n-gram of the prefixes only classes of different groups are paired, so a
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailsift.llm.common import (
     NO_ID, bounded_side, components, gram_hashes, scramble, small_side, text_slices, word_hashes, words_of, written,
@@ -108,44 +110,53 @@ def common_grams(docs: DataFrame, n: int, lower: bool, most: int = COMMON, least
     return grams[order], (len(grams) - 1 - np.arange(len(grams)))[order]
 
 
-def ordered_prefix(grams: np.ndarray, length: int, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
-    """The first ``length`` n-grams of a sorted set in the global order, and a number for the last one's place."""
+def ordered_prefix(grams: np.ndarray, early: int, length: int, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int, int]:
+    """The first ``length`` n-grams of a sorted set in the global order, and numbers for the places of the ``early``-th and the last."""
     names, places = common
     at = np.searchsorted(names, grams)
     known = np.zeros(len(grams), bool)
     inside = at < len(names)
     known[inside] = names[at[inside]] == grams[inside]
-    rare = grams[~known]
-    if length <= len(rare):
-        return rare[:length], int(rare[length - 1] >> np.uint64(2))
+    rare = grams[~known][:length]
     often = at[known]
     often = often[np.argsort(places[often])][: length - len(rare)]
-    return np.concatenate([rare, names[often]]), (1 << 62) + int(places[often[-1]])
 
+    def place(i: int) -> int:
+        return int(rare[i] >> np.uint64(2)) if i < len(rare) else (1 << 62) + int(places[often[i - len(rare)]])
 
-SIGNED = "id long, digest string, n long, one long, two long, last long, prefix array<long>"
+    return np.concatenate([rare, names[often]]), place(early - 1), place(length - 1)
+
+
+SIGNED = "id long, digest string, n long, one long, two long, soon long, last long, prefix array<long>"
 
 
 def prefix_length(size: int, numerator: int, denominator: int) -> int:
     return size - -(-numerator * size // denominator) + 1
 
 
+def early_length(size: int, numerator: int, denominator: int) -> int:
+    """Length of the prefix that meets every set that links and is at least as large."""
+    return size - -(-2 * numerator * size // (numerator + denominator)) + 1
+
+
 def _sign(n: int, lower: bool, numerator: int, denominator: int, common: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            sizes, ones, twos, lasts, prefixes = [], [], [], [], []
+            sizes, ones, twos, soons, lasts, prefixes = [], [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingle_set(words_of(text, lower), n)
                 some = len(grams) > 0
                 sizes.append(len(grams))
                 ones.append(int(np.add.reduce(grams).astype(np.int64)) if some else 0)
                 twos.append(int(np.add.reduce(scramble(grams + np.uint64(0x9E3779B97F4A7C15))).astype(np.int64)) if some else 0)
-                prefix, last = ordered_prefix(grams, prefix_length(len(grams), numerator, denominator), common.value) if some else (grams, 0)
+                lengths = [of(len(grams), numerator, denominator) for of in (early_length, prefix_length)]
+                prefix, soon, last = ordered_prefix(grams, *lengths, common.value) if some else (grams, 0, 0)
+                soons.append(soon)
                 lasts.append(last)
                 prefixes.append(prefix.view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("digest"), *(pa.array(c, pa.int64()) for c in (sizes, ones, twos, lasts)),
+                [batch.column("id"), batch.column("digest"), *(pa.array(c, pa.int64()) for c in (sizes, ones, twos, soons, lasts)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]), pa.int64()))],
                 names=[x.split()[0] for x in SIGNED.split(", ")],
             )
@@ -214,24 +225,36 @@ def led_pairs(postings: DataFrame) -> DataFrame:
 def candidate_pairs(postings: DataFrame, groups: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Pairs of classes of different groups whose shared prefix n-grams leave the threshold within reach."""
     grouped = postings.join(groups, F.col("number") == F.col("id"), "left").withColumn("component", F.coalesce("component", "number"))
-    grouped = written(grouped.select("gram", "number", "n", "last", "component"), "ngram-grouped")
-    several = grouped.groupBy("gram", "component").agg(F.max("n").alias("most"), F.min("n").alias("least"))
-    left, right = (several.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("component", "most", "least"))) for s in "ab")
+    grouped = written(grouped.select("gram", "number", "n", "early", "soon", "last", "component"), "ngram-grouped")
+    several = grouped.groupBy("gram", "component").agg(
+        F.max("n").alias("most"), F.min("n").alias("least"), F.min(F.when(F.col("early"), F.col("n"))).alias("first")
+    )
+    left, right = (several.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("component", "most", "least", "first"))) for s in "ab")
     near = lambda small, large: denominator * F.col(small) >= numerator * F.col(large)
+    early = (F.col("first_a") < F.col("most_b")) | (F.col("first_b") < F.col("most_a")) | (F.col("first_a").isNotNull() & F.col("first_b").isNotNull())
     met = left.join(right, "gram").where(
-        (F.col("component_a") < F.col("component_b")) & near("most_a", "least_b") & near("most_b", "least_a")
+        (F.col("component_a") < F.col("component_b")) & near("most_a", "least_b") & near("most_b", "least_a") & early
     ).select("gram", "component_a", "component_b")
     for s in "ab":
         met = met.join(
             grouped.select("gram", F.col("component").alias(f"component_{s}"), F.col("number").alias(s), F.col("n").alias(f"n{s}"),
-                           F.col("last").alias(f"last_{s}")), ["gram", f"component_{s}"],
+                           *(F.col(c).alias(f"{c}_{s}") for c in ("early", "soon", "last"))), ["gram", f"component_{s}"],
         )
-    pairs = met.where(near("na", "nb") & near("nb", "na")).groupBy("a", "b", "na", "nb", "last_a", "last_b").agg(F.count("*").alias("shared"))
+    # The prefix of either that counts for the pair: the early one against a set at least as large.
+    a_early, b_early = F.col("na") <= F.col("nb"), F.col("nb") <= F.col("na")
+    pairs = met.where(near("na", "nb") & near("nb", "na") & (~a_early | F.col("early_a")) & (~b_early | F.col("early_b"))).groupBy(
+        "a", "b", "na", "nb", F.when(a_early, F.col("soon_a")).otherwise(F.col("last_a")).alias("end_a"),
+        F.when(b_early, F.col("soon_b")).otherwise(F.col("last_b")).alias("end_b"),
+    ).agg(F.count("*").alias("shared"))
     needed = F.ceil(F.lit(numerator) * (F.col("na") + F.col("nb")) / F.lit(numerator + denominator) - 1e-9)
-    behind = [F.ceil(F.lit(numerator) * F.col(c) / F.lit(denominator) - 1e-9) - 1 for c in ("na", "nb")]
+
+    def behind(size: str, is_early: Column) -> Column:
+        return F.when(is_early, F.ceil(F.lit(2 * numerator) * F.col(size) / F.lit(numerator + denominator) - 1e-9)).otherwise(
+            F.ceil(F.lit(numerator) * F.col(size) / F.lit(denominator) - 1e-9)) - 1
+
     # Whose prefix ends first; places that are too close to tell count as either.
-    a_first, b_first = F.col("last_a") <= F.col("last_b"), F.col("last_b") <= F.col("last_a")
-    rest = F.greatest(F.when(a_first, behind[0]), F.when(b_first, behind[1]))
+    a_first, b_first = F.col("end_a") <= F.col("end_b"), F.col("end_b") <= F.col("end_a")
+    rest = F.greatest(F.when(a_first, behind("na", a_early)), F.when(b_first, behind("nb", b_early)))
     return pairs.where(F.col("shared") + rest >= needed).select("a", "b", "na", "nb")
 
 
@@ -252,17 +275,20 @@ def join(docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10,
         "ngram-signed",
     )
     classes = written(
-        signed.where("n > 0").groupBy("cls", "n", "one", "two", "last").agg(F.min(F.struct("id", "digest")).alias("rep"))
+        signed.where("n > 0").groupBy("cls", "n", "one", "two", "soon", "last").agg(F.min(F.struct("id", "digest")).alias("rep"))
         .withColumn("number", F.monotonically_increasing_id()), "ngram-classes",
     )
     # N-grams in the prefixes of several classes; copies of a set fall together.
-    dealt = signed.select("cls", F.explode("prefix").alias("gram"))
+    soonest = F.col("n") - F.ceil(F.lit(2 * numerator) * F.col("n") / F.lit(numerator + denominator) - 1e-9) + 1
+    dealt = signed.select("cls", soonest.alias("soonest"), F.posexplode("prefix").alias("place", "gram")).select(
+        "cls", "gram", (F.col("place") < F.col("soonest")).alias("early")
+    )
     shared = written(
         dealt.groupBy("gram").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("gram"), "ngram-shared"
     )
     postings = written(
-        dealt.join(bounded_side(shared), "gram").distinct().join(classes.select("cls", "number", "n", "last"), "cls")
-        .select("gram", "number", "n", "last"), "ngram-postings",
+        dealt.join(bounded_side(shared), "gram").distinct().join(classes.select("cls", "number", "n", "soon", "last"), "cls")
+        .select("gram", "number", "n", "early", "soon", "last"), "ngram-postings",
     )
     find = lambda pairs: linked(pairs, classes, numbered, n, numerator, denominator, lower)
     links = find(led_pairs(postings))

@@ -161,9 +161,11 @@ def test_prefixes_of_linked_sets_meet_under_any_order():
         near = base[size // 5 :]  # at the threshold
         names = np.sort(rng.choice(base, size // 2, replace=False))
         places = rng.permutation(len(names))
-        (one, last), (two, last_two) = (
-            ngram_join.ordered_prefix(s, ngram_join.prefix_length(len(s), 8, 10), (names, places)) for s in (base, near)
+        (one, _, last), (two, _, last_two) = (
+            ngram_join.ordered_prefix(
+                s, ngram_join.early_length(len(s), 8, 10), ngram_join.prefix_length(len(s), 8, 10), (names, places)) for s in (base, near)
         )
+        assert len(np.intersect1d(one, two[: ngram_join.early_length(len(near), 8, 10)]))  # the smaller set's early ones suffice
         assert len(one) == size - -(-8 * size // 10) + 1 and len(np.intersect1d(one, two))
         cold = one[~np.isin(one, names)]
         assert (np.diff(cold.astype(object)) > 0).all() and last <= last_two or size > 1

@@ -74,6 +74,10 @@ def test_page_text_keeps_visible_nodes_only():
     assert page_text(None) == ""
 
 
+def test_references_need_their_semicolon():
+    assert page_text("<p>a&amp b &copy=1 &am &notit; &#38; &amp;quot; &quot;c&quot; &&&amp;</p>") == 'a&amp b &copy=1 &am &notit; & &quot; "c" &&&'
+
+
 def test_tables_with_other_headers_and_separators(spark, tmp_path):
     (tmp_path / "a.csv").write_text('Message,Spam/Ham,Subject\n"long body, with\nbreak",spam,Hi\nshort,ham,x\nanother long body,maybe,y\n')
     (tmp_path / "b.tsv").write_text("text\tlabel\na third long body\t0\n")

@@ -147,7 +147,7 @@ def batch_summary(spark, sf_dir):
 def streamed_mail(spark, sf_dir):
     """Every document read as a file stream, scored, appended to a sink and read back."""
     schema = table(spark, sf_dir, "documents").schema
-    stream = mail_stream(spark, sf_dir, schema, name_filter="documents.parquet")
+    stream = mail_stream(spark, f"{sf_dir}/documents.parque[t]", schema)  # a pattern, as the table is one file or a folder of files
     from mailsift.plans.inputs import as_mail
 
     sink, state = scratch(spark, "stream-sink"), scratch(spark, "stream-state")

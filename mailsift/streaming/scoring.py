@@ -9,7 +9,10 @@ from mailsift.operators.scoring import MailModel
 
 
 def mail_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", name_filter: str | None = None, files_per_batch: int = 1000) -> DataFrame:
-    """New files of ``folder`` as a stream with a declared schema."""
+    """New files of ``folder`` as a stream with a declared schema.
+
+    ``folder`` may be a pattern: of what it matches, files are read as they are and folders by their files.
+    """
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)

@@ -28,3 +28,10 @@ def test_svd_block_is_fitted_on_train_only(spark):
     assert len(first["svd"]) == 200
     assert abs(rows.join(train, "email_id").agg({"char_len": "avg"}).first()[0]) < 1e-9  # scaled by the mean of train
     assert rows.count() == 1000
+
+
+def test_a_table_in_several_files_is_streamed_whole(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    one, several = (entry.queries()["streamed_mail"](spark, folder) for folder in (SMALL, str(tmp_path)))
+    assert sorted(map(tuple, several.collect())) == sorted(map(tuple, one.collect())) != []

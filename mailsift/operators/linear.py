@@ -1,16 +1,21 @@
-"""Linear models fitted by ``pyspark.ml`` with the published objective."""
+"""Linear models with the published objective: naive Bayes by ``pyspark.ml``, the others by ``descent``."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, LogisticRegressionModel, NaiveBayes, NaiveBayesModel
+import numpy as np
+from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.config import NB_ALPHA, SEED
 from mailsift.functions.probability import sigmoid
 from mailsift.operators.curate import class_counts, stratified_folds
+from mailsift.operators.descent import Point, Rows, Unfinished, descend, hinge, logistic
+from mailsift.operators.vectors import projected
 from mailsift.session import written
 
 FOLDS = 3
@@ -18,9 +23,37 @@ LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 2000, 1e-10
 SVM_ITERATIONS, SVM_TOLERANCE = 5000, 1e-6
 
 
-def _unfinished(summary, max_iter: int, what: str) -> str | None:
-    """What to say of a fit that stopped at its iteration limit."""
-    return f"{what} did not converge in {max_iter} iterations: raise max_iter or tol." if summary.totalIterations >= max_iter else None
+# Widths of the hinge's rounded corner, until ``GAP`` is reached, and how near each fit comes to its minimum.
+WIDTHS = ((1.0, 1e-3), (0.2, 1e-3), (0.05, 3e-4), (0.02, 1e-4), (0.01, 1e-4), (5e-3, 1e-4), (2e-3, 1e-4), (1e-3, 1e-5), (1e-4, 1e-6), (1e-5, 1e-6))
+GAP = 1e-3  # largest share of the hinge loss that may lie above its lower bound
+
+
+@dataclass
+class LinearModel:
+    """Coefficients and intercept of a margin."""
+
+    coefficients: DenseVector
+    intercept: float
+
+    @staticmethod
+    def of(at: np.ndarray) -> "LinearModel":
+        return LinearModel(DenseVector(at[:-1]), float(at[-1]))
+
+    def save(self, path: str) -> None:
+        row = ([float(w) for w in self.coefficients.toArray()], self.intercept)
+        SparkSession.active().createDataFrame([row], "coefficients array<double>, intercept double").write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(path: str) -> "LinearModel":
+        row = SparkSession.active().read.parquet(path).first()
+        return LinearModel(DenseVector(row["coefficients"]), float(row["intercept"]))
+
+
+def with_margins(df: DataFrame, models: list[LinearModel], out: str) -> DataFrame:
+    """Rows with the array of their margins by each of the models, in one pass over their features."""
+    right = np.stack([m.coefficients.toArray() for m in models], 1)
+    raw = projected(df, right, "features", out)
+    return raw.withColumn(out, F.array(*[F.col(out)[i] + F.lit(m.intercept) for i, m in enumerate(models)]))
 
 
 def class_weights(df: DataFrame) -> DataFrame:
@@ -42,20 +75,45 @@ def with_class_weight(df: DataFrame, out: str = "weight") -> DataFrame:
 def fit_logistic(
     df: DataFrame, weight: str | None = None, c: float = 1.0, features: str = "features",
     max_iter: int = LOGISTIC_ITERATIONS, tol: float = LOGISTIC_TOLERANCE,
-) -> LogisticRegressionModel:
+) -> LinearModel:
     """L2 logistic regression with inverse strength ``c``; the intercept is not penalised.
 
     A fit that reaches ``max_iter`` before the relative tolerance ``tol`` is an error.
     """
-    total = df.agg(F.sum(weight) if weight else F.count("*")).first()[0]
-    learner = LogisticRegression(
-        featuresCol=features, labelCol="label", regParam=1.0 / (c * total) if c else 0.0, elasticNetParam=0.0,
-        standardization=False, maxIter=max_iter, tol=tol,
-    )
-    model = (learner.setWeightCol(weight) if weight else learner).fit(df)
-    if said := _unfinished(model.summary, max_iter, "Logistic regression"):
-        raise RuntimeError(said)
-    return model
+    with Rows(df, weight, features) as rows:
+        try:
+            found, _ = descend(rows, np.zeros(rows.size + 1), logistic, 1.0 / c if c else 0.0, tol, max_iter)
+        except Unfinished as error:
+            raise RuntimeError(f"Logistic regression {error}: raise max_iter or tol.") from error
+    return LinearModel.of(found.at)
+
+
+def fit_svm(df: DataFrame, weight: str | None = None, c: float = 1.0, max_iter: int = SVM_ITERATIONS, tol: float = SVM_TOLERANCE) -> LinearModel:
+    """The support vector machine of the hinge loss, within ``GAP`` of its lowest value (four times ``tol`` if that is more).
+
+    The hinge's corner is rounded, less from fit to fit, each starting from the last and ending closer
+    to its minimum, down to ``tol``. The slopes at a rounded minimum are a solution of the dual problem,
+    whose value no hinge loss can be below.
+    """
+    penalty, steps = 1.0 / c, 0
+    with Rows(df, weight) as rows:
+        at = np.zeros(rows.size + 1)
+        for width, near in WIDTHS:
+            try:
+                found, more = descend(rows, at, hinge(width), penalty, max(tol, near), max_iter - steps)
+            except Unfinished as error:
+                raise RuntimeError(f"The support vector machine did not converge in {max_iter} iterations: raise max_iter or tol.") from error
+            at, steps = found.at, steps + more
+            if _gap(found, penalty) <= max(GAP, 4 * tol):
+                return LinearModel.of(at)
+    raise RuntimeError(f"The support vector machine is not within {GAP} of its lowest loss.")
+
+
+def _gap(found: Point, penalty: float) -> float:
+    """The share of the loss that may lie above the bound: the sharp loss less the value of the dual solution."""
+    w = found.at[:-1]
+    pull = found.gradient[:-1] - penalty * w
+    return (found.more + penalty * (w @ w) / 2 + pull @ pull / (2 * penalty) + abs(found.gradient[-1] * found.at[-1])) / found.loss
 
 
 def fit_platt(df: DataFrame, margin: str = "margin", weight: str | None = None) -> dict[str, float]:
@@ -121,22 +179,18 @@ def fit_line(df: DataFrame, x: Column, target: Column, weight: Column, penalty:
 class LogisticScorer:
     """Logistic regression with one probability column."""
 
-    model: LogisticRegressionModel
+    model: LinearModel
 
     def score(self, df: DataFrame, out: str = "probability") -> DataFrame:
-        # The probability comes from the margin: one expression, no intermediate columns kept.
-        model = self.model.copy()
-        model.setRawPredictionCol("_raw").setProbabilityCol("_prob").setPredictionCol("")
-        scored = model.transform(df)
-        return scored.withColumn(out, vector_to_array("_prob")[1]).drop("_raw", "_prob")
+        return with_margins(df, [self.model], "_margins").withColumn(out, sigmoid(F.col("_margins")[0])).drop("_margins")
 
     def save(self, path: str) -> dict:
-        self.model.write().overwrite().save(path + "/logistic")
+        self.model.save(path + "/logistic")
         return {"kind": "logistic"}
 
     @staticmethod
     def load(path: str, facts: dict) -> "LogisticScorer":
-        return LogisticScorer(LogisticRegressionModel.load(path + "/logistic"))
+        return LogisticScorer(LinearModel.load(path + "/logistic"))
 
 
 @dataclass
@@ -176,11 +230,11 @@ class BayesScorer:
 class SvmScorer:
     """Linear support vector machines of three stratified folds, each with its own sigmoid; scores averaged.
 
-    Spark's loss is the hinge, not its square, so scores are close to the published ones and
+    The loss is the hinge, not its square, so scores are close to the published ones and
     not equal. A fit that reaches ``max_iter`` is an error.
     """
 
-    models: list[LinearSVCModel]
+    models: list[LinearModel]
     sigmoids: list[dict[str, float]]
 
     @staticmethod
@@ -189,44 +243,31 @@ class SvmScorer:
         max_iter: int = SVM_ITERATIONS, tol: float = SVM_TOLERANCE,
     ) -> "SvmScorer":
         folded = written(stratified_folds(df, FOLDS, seed, key), "folds")
-        models, sigmoids = [], []
-        for fold in range(FOLDS):
-            fit_rows = folded.filter(F.col("_fold") != fold)
-            total = fit_rows.agg(F.sum(weight) if weight else F.count("*")).first()[0]
-            learner = LinearSVC(
-                featuresCol="features", labelCol="label", regParam=1.0 / (c * total), standardization=False,
-                maxIter=max_iter, tol=tol,
-            )
-            model = (learner.setWeightCol(weight) if weight else learner).fit(fit_rows)
-            if said := _unfinished(model.summary(), max_iter, "The support vector machine"):
-                raise RuntimeError(said)
-            held_out = _margin(model, folded.filter(F.col("_fold") == fold), "margin")
-            models.append(model)
-            sigmoids.append(fit_platt(held_out, "margin", weight))
-        return SvmScorer(models, sigmoids)
+
+        def fit_fold(fold: int) -> tuple[LinearModel, dict[str, float]]:
+            model = fit_svm(folded.filter(F.col("_fold") != fold), weight, c, max_iter, tol)
+            held_out = with_margins(folded.filter(F.col("_fold") == fold), [model], "margin").withColumn("margin", F.col("margin")[0])
+            return model, fit_platt(held_out, "margin", weight)
+
+        with ThreadPoolExecutor(FOLDS) as pool:  # a pass is short: those of the folds fill each other's gaps
+            models, sigmoids = zip(*pool.map(fit_fold, range(FOLDS)))
+        return SvmScorer(list(models), list(sigmoids))
 
     def score(self, df: DataFrame, out: str = "probability") -> DataFrame:
-        total: Column = F.lit(0.0)
-        for i, (model, fitted) in enumerate(zip(self.models, self.sigmoids)):
-            df = _margin(model, df, f"_m{i}")
-            total = total + sigmoid(F.lit(fitted["slope"]) * F.col(f"_m{i}") + F.lit(fitted["intercept"]))
-        return df.withColumn(out, total / F.lit(float(len(self.models)))).drop(*[f"_m{i}" for i in range(len(self.models))])
+        df, total = with_margins(df, self.models, "_margins"), F.lit(0.0)
+        for i, fitted in enumerate(self.sigmoids):
+            total = total + sigmoid(F.lit(fitted["slope"]) * F.col("_margins")[i] + F.lit(fitted["intercept"]))
+        return df.withColumn(out, total / F.lit(float(len(self.models)))).drop("_margins")
 
     def save(self, path: str) -> dict:
         for i, model in enumerate(self.models):
-            model.write().overwrite().save(f"{path}/svm-{i}")
+            model.save(f"{path}/svm-{i}")
         return {"kind": "svm", "sigmoids": [[s["slope"], s["intercept"]] for s in self.sigmoids]}
 
     @staticmethod
     def load(path: str, facts: dict) -> "SvmScorer":
         fitted = [{"slope": s, "intercept": i} for s, i in facts["sigmoids"]]
-        return SvmScorer([LinearSVCModel.load(f"{path}/svm-{i}") for i in range(len(fitted))], fitted)
-
-
-def _margin(model: LinearSVCModel, df: DataFrame, out: str) -> DataFrame:
-    named = model.copy()
-    named.setRawPredictionCol("_svm_raw").setPredictionCol("_svm_pred")
-    return named.transform(df).withColumn(out, vector_to_array("_svm_raw")[1]).drop("_svm_raw", "_svm_pred")
+        return SvmScorer([LinearModel.load(f"{path}/svm-{i}") for i in range(len(fitted))], fitted)
 
 
 SCORERS = {"logistic": LogisticScorer, "bayes": BayesScorer, "svm": SvmScorer}

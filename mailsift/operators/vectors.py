@@ -252,6 +252,11 @@ def apply_svd(df: DataFrame, right: np.ndarray, vector_col: str = "features", ou
 
     The matrix is vocabulary x k numbers, whatever the size of the data.
     """
+    return projected(df, right, vector_col, out).withColumn(out, array_to_vector(out))
+
+
+def projected(df: DataFrame, right: np.ndarray, vector_col: str, out: str) -> DataFrame:
+    """``apply_svd`` with an array of numbers instead of a vector."""
     matrix = df.sparkSession.sparkContext.broadcast(right)
 
     @F.pandas_udf("array<double>")
@@ -262,7 +267,7 @@ def apply_svd(df: DataFrame, right: np.ndarray, vector_col: str = "features", ou
         return pd.Series(list(out))
 
     right_columns = right.shape[1]
-    return df.withColumn(out, array_to_vector(project(F.col(vector_col))))
+    return df.withColumn(out, project(F.col(vector_col)))
 
 
 def _stretches(vectors: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:

@@ -56,3 +56,18 @@ def test_saved_models_score_alike(spark, tmp_path):
             [r["probability"] for r in s.score(frame).orderBy("email_id").select("probability").collect()] for s in (scorer, again)
         )
         assert np.allclose(before, after, atol=1e-12)
+
+
+def test_rare_terms_do_not_slow_a_fit(spark):
+    """Terms of very uneven frequency, as in text: the optimum is a hundred steps away, not a thousand."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(300):
+        places = np.unique((3000 * rng.random(60) ** 4).astype(int))
+        values = rng.random(len(places)) + 0.1
+        rows.append((str(i), i % 2, Vectors.sparse(3001, [*places, 3000], [*(values / np.linalg.norm(values)), 0.1 * (i % 2)])))
+    frame = spark.createDataFrame(rows, ["email_id", "label", "features"])
+    model = linear.fit_logistic(frame, max_iter=100)
+    x, y = np.stack([r[2].toArray() for r in rows]), np.array([r[1] for r in rows])
+    error = 1 / (1 + np.exp(-(x @ model.coefficients.toArray() + model.intercept))) - y
+    assert np.abs(np.append(x.T @ error + model.coefficients.toArray(), error.sum())).max() < 1e-3

@@ -7,7 +7,8 @@ from email import policy
 from email.parser import BytesParser
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mailsift.functions.text import clean_text
@@ -19,6 +20,22 @@ _PARSED = (
 )
 
 
+_FLAGS = ("has_html", "attachment_hint")
+BATCH_BYTES = 4_000_000  # of messages that a task has parsed at once
+
+
+def byte_ranges(contents: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of runs of one value, or of at most ``most`` bytes in all."""
+    start = total = 0
+    for i, length in enumerate(pc.fill_null(pc.binary_length(contents), 0).to_pylist()):
+        if i > start and total + length > most:
+            yield start, i
+            start, total = i, 0
+        total += length
+    if start < len(contents):
+        yield start, len(contents)
+
+
 def scan_mail_files(spark: SparkSession, root: str) -> DataFrame:
     """Non-empty files under ``root`` that look like messages: (path, length, content).
 
@@ -107,7 +124,7 @@ def _body_of(part) -> str:
     return content
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=256)  # a parsed header takes some ten thousand bytes
 def _short_header(name: str, value: str):
     return policy.default.header_fetch_parse(name, value)
 
@@ -163,12 +180,15 @@ def parse_mail(df: DataFrame, content_col: str = "content") -> DataFrame:
     )
     names = [piece.strip().split(" ")[0] for piece in _PARSED.split(",")]
 
-    def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fields = pd.DataFrame([_parse_or_reject(raw) for raw in batch["_content"]], columns=names, index=batch.index)
-            yield pd.concat([batch.drop(columns="_content"), fields], axis=1)
+            kept = batch.drop_columns(["_content"])
+            for start, stop in byte_ranges(batch.column("_content"), BATCH_BYTES):
+                fields = zip(*(_parse_or_reject(raw.as_py()) for raw in batch.column("_content").slice(start, stop - start)))
+                arrays = [pa.array(field, pa.bool_() if name in _FLAGS else pa.string()) for name, field in zip(names, fields)]
+                yield pa.RecordBatch.from_arrays([*kept.slice(start, stop - start).columns, *arrays], names=[*kept.schema.names, *names])
 
-    parsed = source.mapInPandas(parse_batches, f"{kept_schema}, {_PARSED}")
+    parsed = source.mapInArrow(parse_batches, f"{kept_schema}, {_PARSED}")
     message_id = clean_text(F.col("message_id"))
     return parsed.select(
         *keep,

@@ -172,3 +172,24 @@ def test_corrupted_messages_are_counted_and_dropped(spark, tmp_path):
     numbers = {r.metric: r.value for r in built.funnel.collect()}
     assert (numbers["parsed_total"], numbers["after_corrupt_filter"], numbers["after_dedup"]) == (87, 80, 80 - 80 + len({"x" * i for i in range(80)}))
     assert built.rejects.count() == 7 and built.split.filter("is_corrupted").isEmpty()
+
+
+def test_a_table_file_is_checked_without_a_copy_of_its_text():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    content = pa.py_buffer(b"text,label\n" + ("\u4e00" * 300 + ",ham\n").encode() * 20_000)
+    tracemalloc.start()
+    assert T._checked(content, ",", False) == (["text", "label"], None)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < content.size / 4
+
+
+def test_messages_are_parsed_some_bytes_at_a_time():
+    import pyarrow as pa
+
+    contents = pa.array([b"x" * n for n in (3, 3, 3, 20, 1)] + [None, b""])
+    assert list(MF.byte_ranges(contents, 6)) == [(0, 2), (2, 3), (3, 4), (4, 7)]
+    assert list(MF.byte_ranges(contents.slice(0, 0), 6)) == []

@@ -10,7 +10,7 @@ import zlib
 from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mailsift.functions import patterns as P
@@ -97,11 +97,11 @@ def rename_known_headers(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({c: n for c, n in renames.items() if n not in taken and targets.count(n) == 1})
 
 
-def _checked(content: bytes, sep: str, packed: bool) -> tuple[list[str] | None, str | None]:
-    """(header, None) of a sound file, (None, error) of any other: all of it is read once."""
+def _checked(content: pa.Buffer, sep: str, packed: bool) -> tuple[list[str] | None, str | None]:
+    """(header, None) of a sound file, (None, error) of any other: all of it is read once, some lines at a time."""
     try:
-        text = (gzip.decompress(content) if packed else content).decode("utf-8-sig")
-        rows = csv.reader(io.StringIO(text, newline=""), delimiter=sep, strict=True)
+        plain = gzip.GzipFile(fileobj=pa.BufferReader(content)) if packed else pa.BufferReader(content)
+        rows = csv.reader(io.TextIOWrapper(plain, encoding="utf-8-sig", newline=""), delimiter=sep, strict=True)
         header = next(rows, None)
         if not header:
             return None, "ValueError: no header"
@@ -125,14 +125,18 @@ def scan_tables(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", "*.{csv,tsv,csv.gz,tsv.gz}").load(root).select("path", "content")
     )
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 31)
         for batch in batches:
-            seps = ["\t" if re.search(r"\.tsv(\.gz)?$", path, re.I) else "," for path in batch["path"]]
-            found = [_checked(bytes(c), sep, p.lower().endswith(".gz")) for p, c, sep in zip(batch["path"], batch["content"], seps)]
-            yield pd.DataFrame({"path": batch["path"], "sep": seps, "columns": [c for c, _ in found], "error": [e for _, e in found]})
-
-    return written(files.mapInPandas(check, "path string, sep string, columns array<string>, error string"), "table-scan")
+            paths = batch.column("path").to_pylist()
+            seps = ["\t" if re.search(r"\.tsv(\.gz)?$", path, re.I) else "," for path in paths]
+            found = [_checked(c.as_buffer(), sep, p.lower().endswith(".gz")) for p, c, sep in zip(paths, batch.column("content"), seps)]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("path"), pa.array(seps), pa.array([c for c, _ in found], pa.list_(pa.string())),
+                pa.array([e for _, e in found], pa.string()),
+            ], names=["path", "sep", "columns", "error"])
+
+    return written(files.mapInArrow(check, "path string, sep string, columns array<string>, error string"), "table-scan")
 
 
 def skipped_tables(scan: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ null ids are rows of their own (a null id counts as held out of training); an em
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
-from mailsift.llm.common import SLICE_CHARS, SPACE, text_slices
+from mailsift.llm.common import SPACE, text_slices
 
 DOCS = 300  # per language
 SEGMENTS, SEGMENT = 6, 24
@@ -39,6 +39,7 @@ FEATURES = 1 << 15
 LEXICON = 2  # times a word must occur in the sample
 EPOCHS, RATE, PENALTY = 6, 0.25, 1e-6
 UNKNOWN = "und"
+LABELLED_CHARS = 1_000_000  # text that a task labels at once
 CHAIN = 64  # words of a chain that are handled at once
 CACHED_WORDS = 200_000
 
@@ -313,21 +314,28 @@ def held_out():
 RUNS = pa.list_(pa.struct([("lang", pa.string()), ("words", pa.int64())]))
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(row, lang_pred, score, certainty, runs): every row of ``docs`` as a struct, with its language."""
+def identify(docs: DataFrame, model: Model | None, keep: Sequence[str] | None = None) -> DataFrame:
+    """(row, lang_pred, score, certainty, runs): every row of ``docs`` as a struct of its ``keep`` columns (all), with its language."""
+    kept = list(keep or docs.columns)
     runs = "array<struct<lang:string,words:bigint>>"
     if model is None:
         return docs.select(
-            F.struct("*").alias("row"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("certainty"),
+            F.struct(*kept).alias("row"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("certainty"),
             F.array().cast(runs).alias("runs"),
         )
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    chars = max(1, 16 * SLICE_CHARS // max(16, len(model.languages)))
+    # A text that is kept goes to the task once, inside of its row.
+    rows = docs.select(F.struct(*kept).alias("row"), *([] if "text" in kept else ["text"]))
+    chars = max(1, 16 * LABELLED_CHARS // max(16, len(model.languages)))
+
+    def with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row")
+            yield batch if "text" not in kept else pa.RecordBatch.from_arrays([row, row.field(kept.index("text"))], names=["row", "text"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(shared.value)
-        for batch in text_slices(batches, most=chars):
+        for batch in text_slices(with_text(batches), most=chars):
             languages, scores, sure, parts = labeller.label(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(sure, pa.float64()),
@@ -342,6 +350,6 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def result(docs: DataFrame) -> DataFrame:
     """The language of every document, and its words' labels as ``lang:words`` runs."""
     model = fit(training_segments(docs.select("doc_id", "text", "lang")))
-    labelled = identify(docs.select("doc_id", "text").withColumn("held_out", held_out()), model)
+    labelled = identify(docs.select("doc_id", "text").withColumn("held_out", held_out()), model, ("doc_id", "held_out"))
     parts = F.transform("runs", lambda r: F.concat_ws(":", r["lang"], r["words"].cast("string")))
     return labelled.select("row.doc_id", "row.held_out", "lang_pred", "score", "certainty", F.array_join(parts, ",").alias("runs"))

@@ -505,3 +505,14 @@ def test_more_than_64_languages(frame):
     got = language_id.result(frame(rows, "doc_id long, text string, lang string")).collect()
     truth = {i: lang for i, _, lang in rows}
     assert len(got) == 280 and sum(r["lang_pred"] == truth[r["doc_id"]] for r in got) >= 200
+
+
+def test_a_text_is_labelled_alike_whether_kept_or_not(frame):
+    docs = frame([(i, None if i % 5 == 4 else "der hund und die katze " * (i % 3 + 1) if i % 2 else "the dog and the cat " * (i % 3 + 1), "de" if i % 2 else "en")
+                  for i in range(40)], "doc_id long, text string, lang string")
+    model = language_id.fit(language_id.training_segments(docs))
+    whole, narrow = language_id.identify(docs, model), language_id.identify(docs, model, ("doc_id",))
+    assert narrow.select("row.*").columns == ["doc_id"]
+    found = ("row.doc_id", "lang_pred", "score", "certainty")
+    assert sorted(map(tuple, whole.select(*found).collect())) == sorted(map(tuple, narrow.select(*found).collect()))
+    assert sorted(r["text"] or "" for r in whole.select("row.text").collect()) == sorted(r["text"] or "" for r in docs.collect())

@@ -10,6 +10,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
@@ -27,6 +29,9 @@ from mailsift.session import written
 GRAM = r"(?=([^\n]{{{n}}}))[^\n]"  # an n-gram at every character that has n of its line before it
 LEVELS = 16  # histogram levels for each doubling of a count
 STRETCH = 20_000  # vector entries multiplied at once in a projection
+COUNTED, ROWS = 1 << 20, 1 << 18  # tokens and rows whose terms are counted together
+OPENED = 1 << 20  # grams of rows that are looked at together
+SENT = 100_000  # counts in an Arrow batch
 
 # ---- terms -------------------------------------------------------------------------------
 
@@ -67,21 +72,162 @@ def line_grams(lines: Column, sizes: tuple[int, int] = CHAR_NGRAMS) -> Column:
     return F.concat(*[F.regexp_extract_all(lines, F.lit(GRAM.format(n=n)), F.lit(1)) for n in range(sizes[0], sizes[1] + 1)])
 
 
+def _tokens_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ListArray]:
+    """The lists of a column, cut so that a part has one row or at most ``COUNTED`` tokens."""
+    for batch in batches:
+        lists = batch.column(0)
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        start = 0
+        while start < len(lists):
+            done = ends[start - 1] if start else 0
+            stop = min(max(start + 1, int(np.searchsorted(ends, done + COUNTED, "right"))), start + ROWS)
+            yield lists.slice(start, stop - start)
+            start = stop
+
+
+def _coded(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different tokens of all rows, and of every token its number and its row."""
+    encoded = lists.flatten().dictionary_encode()
+    return encoded.dictionary, encoded.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+
+
+def _counted(numbers: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different numbers in order, how often each occurs and in how many rows."""
+    both = np.sort(numbers * n_rows + rows)
+    new_pair = np.concatenate([np.ones(min(1, len(both)), bool), both[1:] != both[:-1]])
+    sorted_numbers = both // n_rows
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(both)), bool), sorted_numbers[1:] != sorted_numbers[:-1]]))
+    df = np.add.reduceat(new_pair.astype(np.int64), starts) if len(starts) else np.empty(0, np.int64)
+    return sorted_numbers[starts], np.diff(np.append(starts, len(both))), df
+
+
+def _parts(terms: pa.Array, cf: np.ndarray, df: np.ndarray) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([terms, pa.array(cf, pa.int64()), pa.array(df, pa.int64())], names=["term", "cf", "df"])
+    for start in range(0, whole.num_rows, SENT):
+        yield whole.slice(start, SENT)
+
+
+def _count_words(sizes: tuple[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lists in _tokens_apart(batches):
+            words, code, row = _coded(lists)
+            terms, place = words, code
+            for n in range(1, sizes[1] + 1):
+                if n > 1:  # a gram is its first n - 1 words and the next one, within a row
+                    inside = row[n - 1 :] == row[: len(row) - n + 1]
+                    place = np.where(inside, place[: len(place) - 1] * len(words) + code[n - 1 :], -1)
+                    found, cf, df = _counted(place[inside], row[: len(place)][inside], len(lists))
+                    terms = pc.binary_join_element_wise(terms.take(pa.array(found // len(words))), words.take(pa.array(found % len(words))), " ")
+                    place = np.searchsorted(found, place) if n < sizes[1] else place
+                else:
+                    found, cf, df = _counted(code, row, len(lists))
+                    terms = words.take(pa.array(found))
+                if n >= sizes[0]:
+                    yield from _parts(terms, cf, df)
+
+    return run
+
+
+def _strings(points: np.ndarray) -> pa.Array:
+    """Rows of code points as strings."""
+    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    offsets = np.concatenate([[0], np.cumsum(width.sum(1))]).astype(np.int32)
+    data = points.astype("<u4").tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(points), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+def _cut(chunks: pa.Array, sizes: tuple[int, int]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different grams of padded chunks, the grams of all chunks by number, and where each chunk's begin.
+
+    A gram's number is made of its characters' places in the alphabet at hand. Where such numbers
+    grow too long, the shorter grams are numbered anew first, and ``levels`` leads back to them.
+    """
+    lengths = pc.utf8_length(chunks).to_numpy().astype(np.int64) + 2
+    points = np.frombuffer((" " + "  ".join(chunks.to_pylist()) + " ").encode("utf-32-le"), "<u4")[: lengths.sum()]
+    alphabet = np.flatnonzero(np.bincount(points))
+    places = np.zeros(alphabet[-1] + 1, np.int64)
+    places[alphabet] = np.arange(len(alphabet))
+    code, letters = places[points], len(alphabet)
+    line = np.repeat(np.arange(len(lengths)), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(points))  # characters from here to the end of the line
+    number, bound, levels = code, letters, {}
+    terms, lines, grams, known = [], [], [], 0
+    for n in range(1, sizes[1] + 1):
+        if n > 1:
+            if bound * letters >= 1 << 62:
+                number, levels[n - 1] = pd.factorize(number)
+                bound = len(levels[n - 1])
+            at = np.flatnonzero(left >= n)
+            longer = np.zeros(len(points), np.int64)
+            longer[at] = number[at] * letters + code[at + n - 1]
+            number, bound = longer, bound * letters
+        if n >= sizes[0]:
+            at = np.flatnonzero(left >= n)
+            place, found = pd.factorize(number[at])
+            spelt = np.empty((len(found), n), np.uint32)
+            for k in range(n, 0, -1):
+                found = levels[k][found] if k in levels and k < n else found
+                found, last = np.divmod(found, letters) if k > 1 else (found, found)
+                spelt[:, k - 1] = alphabet[last]
+            terms.append(_strings(spelt))
+            lines.append(line[at])
+            grams.append(place + known)
+            known += len(spelt)
+    by_line = np.argsort(np.concatenate(lines), kind="stable")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(np.concatenate(lines), minlength=len(lengths)))])
+    return pa.concat_arrays(terms), np.concatenate(grams)[by_line], starts
+
+
+def _opened(pairs: np.ndarray, starts: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Stretches of the chunks named in ``pairs``: their slice, the places of all their grams, and each chunk's number of them."""
+    sizes = np.diff(starts)[pairs]
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(pairs):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + OPENED, "right")))
+        own = sizes[start:stop]
+        first = starts[pairs[start:stop]] - (np.cumsum(own) - own)
+        yield slice(start, stop), np.arange(own.sum()) + np.repeat(first, own), own
+        start = stop
+
+
+def _count_chars(sizes: tuple[int, int]):
+    """A part's different chunks are cut once; a row counts once for each gram that its chunks hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lists in _tokens_apart(batches):
+            chunks, code, row = _coded(lists)
+            if not len(chunks):
+                continue
+            terms, grams, starts = _cut(chunks, sizes)
+            times = np.repeat(np.bincount(code, minlength=len(chunks)), np.diff(starts))
+            cf = np.bincount(grams, times, len(terms)).astype(np.int64)
+            df = np.zeros(len(terms), np.int64)
+            seen = np.full(len(terms), -1, np.int64)  # the last row that counted for a gram
+            pairs = np.sort(row * len(chunks) + code)
+            rows, own = np.divmod(pairs[np.append(True, pairs[1:] != pairs[:-1])], len(chunks))
+            for part, places, held in _opened(own, starts):
+                found, whose = grams[places], np.repeat(rows[part], held)
+                for at in np.split(np.arange(len(found)), np.flatnonzero(np.diff(whose)) + 1):
+                    gram = found[at[0] : at[-1] + 1]
+                    gram = gram[seen[gram] != whose[at[0]]]
+                    df[gram] += 1  # once, however often a gram is listed
+                    seen[gram] = whose[at[0]]
+            yield from _parts(terms, cf, df)
+
+    return run
+
+
+PARTS = "term string, cf long, df long"
+
+
 def _word_statistics(df: DataFrame, text_col: str) -> DataFrame:
-    """(term, cf, df) parts: every gram of a row counts once, every different one once more as a document."""
-    grams = df.select(ngrams(word_tokens(F.col(text_col))).alias("_t"))
-    opened = grams.select(F.size("_t").alias("_n"), F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_at", "term"))
-    return opened.select("term", (F.col("_at") < F.col("_n")).cast("long").alias("cf"), (F.col("_at") >= F.col("_n")).cast("long").alias("df"))
+    """(term, cf, df) parts: the rows of an Arrow batch are counted together."""
+    return df.select(word_tokens(F.col(text_col)).alias("_t")).mapInArrow(_count_words(WORD_NGRAMS), PARTS)
 
 
 def _char_statistics(df: DataFrame, text_col: str) -> DataFrame:
-    """(term, cf, df) parts: a chunk of the whole corpus is cut into grams once, weighted by its count."""
-    chunks = word_chunks(F.col(text_col))
-    counted = df.select(F.explode(chunks).alias("_chunk")).groupBy("_chunk").agg(F.count("*").alias("cf"))
-    zero = F.lit(0).cast("long")
-    counts = counted.select(F.explode(line_grams(F.concat(F.lit(" "), "_chunk", F.lit(" ")))).alias("term"), "cf", zero.alias("df"))
-    own = F.array_distinct(line_grams(padded(F.array_distinct(chunks))))
-    return counts.union(df.select(F.explode(own).alias("term"), zero.alias("cf"), F.lit(1).cast("long").alias("df")))
+    """(term, cf, df) parts: many rows' different chunks are cut into grams once."""
+    return df.select(word_chunks(F.col(text_col)).alias("_t")).mapInArrow(_count_chars(CHAR_NGRAMS), PARTS)
 
 
 STATISTICS = {"word": _word_statistics, "char": _char_statistics}
@@ -90,7 +236,8 @@ STATISTICS = {"word": _word_statistics, "char": _char_statistics}
 def term_statistics(df: DataFrame, kind: str = "word", text_col: str = "clean_text") -> DataFrame:
     """(term, cf, df): corpus count and document count; every row is a document.
 
-    Nothing is moved by document: the parts of a term combine in the map tasks and meet once, by term.
+    Nothing is moved by document: a task counts the terms of many rows together, and the parts of a
+    term meet once, by term.
     """
     parts = STATISTICS[kind](df, text_col)
     return parts.groupBy("term").agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
@@ -85,3 +86,33 @@ def test_projection_in_stretches(spark, monkeypatch):
     seen = [(rows.tolist(), starts.tolist(), positions.tolist()) for rows, starts, positions, _ in V._stretches(vectors)]
     assert [r for rows, _, _ in seen for r in rows] == [0, 1, 3]
     assert [p for _, _, positions in seen for p in positions] == [0, 2, 0, 1, 2, 1]
+
+
+@pytest.mark.parametrize("kind", ["word", "char"])
+def test_statistics_of_many_parts_rows_and_alphabets(spark, kind, monkeypatch):
+    """Every path of the counting: parts of few tokens, stretches inside a row, more letters than five of fit a number."""
+    monkeypatch.setattr(V, "COUNTED", 7)
+    monkeypatch.setattr(V, "OPENED", 5)
+    monkeypatch.setattr(V, "SENT", 3)
+    wide = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 6000))
+    texts = _texts(60) + [wide + " ab " + wide[100:900], "\x00a b\x00 \U0001F600\U0001F601x é" * 3, "  "]
+    cf, df = Counter(), Counter()
+    count = V._count_words((1, 2)) if kind == "word" else V._count_chars((3, 5))
+    cut = [re.findall(r"\w{2,}", (t or "").lower()) if kind == "word" else (t or "").lower().split() for t in texts]
+    batches = [pa.RecordBatch.from_arrays([pa.array(cut[i : i + 20], pa.list_(pa.string()))], names=["_t"]) for i in range(0, len(cut), 20)]
+    for part in count(iter(batches)):
+        assert part.num_rows <= 3
+        for r in part.to_pylist():
+            cf[r["term"]] += r["cf"]
+            df[r["term"]] += r["df"]
+    want_cf, want_df = Counter(), Counter()
+    for text in texts:
+        want_cf.update(_grams(text, kind))
+        want_df.update(set(_grams(text, kind)))
+    assert cf == want_cf and df == want_df
+
+
+def test_a_statistics_row_is_made_per_term_of_many_rows_not_per_document():
+    tokens = pa.array([["ab", "cd"]] * 1000, pa.list_(pa.string()))
+    for count, terms in ((V._count_words((1, 2)), 3), (V._count_chars((3, 5)), 2 * (2 + 1))):
+        assert sum(part.num_rows for part in count(iter([pa.RecordBatch.from_arrays([tokens], names=["_t"])]))) == terms

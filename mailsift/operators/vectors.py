@@ -6,7 +6,7 @@ Two forms of the same numbers. The vector form counts inside a row and never shu
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, MIN_DF, SVD_COMPONENTS, WORD_NGRAMS
@@ -72,10 +72,9 @@ def line_grams(lines: Column, sizes: tuple[int, int] = CHAR_NGRAMS) -> Column:
     return F.concat(*[F.regexp_extract_all(lines, F.lit(GRAM.format(n=n)), F.lit(1)) for n in range(sizes[0], sizes[1] + 1)])
 
 
-def _tokens_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.ListArray]:
-    """The lists of a column, cut so that a part has one row or at most ``COUNTED`` tokens."""
-    for batch in batches:
-        lists = batch.column(0)
+def _tokens_apart(columns: Iterable[pa.ListArray]) -> Iterator[pa.ListArray]:
+    """The lists of columns, cut so that a part has one row or at most ``COUNTED`` tokens."""
+    for lists in columns:
         ends = np.cumsum(pc.list_value_length(lists).to_numpy())
         start = 0
         while start < len(lists):
@@ -109,7 +108,7 @@ def _parts(terms: pa.Array, cf: np.ndarray, df: np.ndarray) -> Iterator[pa.Recor
 
 def _count_words(sizes: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lists in _tokens_apart(batches):
+        for lists in _tokens_apart(batch.column(0) for batch in batches):
             words, code, row = _coded(lists)
             terms, place = words, code
             for n in range(1, sizes[1] + 1):
@@ -194,7 +193,7 @@ def _opened(pairs: np.ndarray, starts: np.ndarray) -> Iterator[tuple[slice, np.n
 def _count_chars(sizes: tuple[int, int]):
     """A part's different chunks are cut once; a row counts once for each gram that its chunks hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lists in _tokens_apart(batches):
+        for lists in _tokens_apart(batch.column(0) for batch in batches):
             chunks, code, row = _coded(lists)
             if not len(chunks):
                 continue
@@ -296,7 +295,7 @@ def tfidf(df: DataFrame, vocabulary: DataFrame, kind: str = "word", keep: Sequen
     Terms are counted inside their row, so no text and no count is shuffled; the names come from the
     vocabulary, which has at most ``max_features`` rows. Terms outside of it drop out.
     """
-    vectors = vectoriser(vocabulary, kind, text_col).transform(df.select(key, *keep, text_col))
+    vectors = with_vectors(df.select(key, *keep, text_col), vocabulary, kind, text_col)
     names = F.broadcast(vocabulary.select("idx", "term"))
     return vector_entries(vectors, "features", key, keep).join(names, "idx").select(key, *keep, "term", "idx", "weight")
 
@@ -332,6 +331,55 @@ def vectoriser(
     return PipelineModel(stages)
 
 
+def with_vectors(df: DataFrame, vocabulary: DataFrame, kind: str = "word", text_col: str = "clean_text", out: str = "features") -> DataFrame:
+    """``df`` with the vectors of ``vectoriser``; character grams are cut from many rows' different chunks at once.
+
+    The vocabulary is collected: it has at most ``max_features`` rows.
+    """
+    if kind == "word":
+        return vectoriser(vocabulary, kind, text_col, out).transform(df)
+    rows = sorted(vocabulary.select("idx", "term", "idf").collect())
+    fitted = df.sparkSession.sparkContext.broadcast(([r.term for r in rows], np.array([r.idf for r in rows], float)))
+
+    @F.arrow_udf(VectorUDT())
+    def weigh(chunks: pa.Array) -> pa.Array:
+        terms, idf = pa.array(fitted.value[0], pa.string()), fitted.value[1]
+        parts = [weights for lists in _tokens_apart([chunks]) for weights in _char_weights(lists, terms, idf)]
+        sizes, indices, values = (np.concatenate([*column, np.empty(0, kind)]) for column, kind in zip(zip(*parts) if parts else ((), (), ()), (np.int64, np.int32, float)))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pa.StructArray.from_arrays(
+            [pa.array(np.zeros(len(sizes), np.int8)), pa.array(np.full(len(sizes), len(idf), np.int32)),
+             pa.ListArray.from_arrays(offsets, pa.array(indices)), pa.ListArray.from_arrays(offsets, pa.array(values))],
+            names=["type", "size", "indices", "values"],
+        )
+
+    return df.withColumn(out, weigh(word_chunks(F.col(text_col))))
+
+
+def _char_weights(lists: pa.ListArray, terms: pa.Array, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(entries of each row, their terms, their weights) for stretches of rows with about ``OPENED`` grams in all."""
+    chunks, code, row = _coded(lists)
+    if not len(chunks) or not len(terms):
+        yield np.zeros(len(lists), np.int64), np.empty(0, np.int32), np.empty(0)
+        return
+    found, grams, starts = _cut(chunks, CHAR_NGRAMS)
+    idx = pc.fill_null(pc.index_in(found, terms), -1).to_numpy()[grams]
+    idx, starts = idx[idx >= 0].astype(np.int64), np.concatenate([[0], np.cumsum(idx >= 0)])[starts]
+    sizes = np.diff(starts)[code]
+    of_row = np.bincount(row, sizes, len(lists)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(of_row) // OPENED)) + 1
+    for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lists)]):
+        at = slice(*np.searchsorted(row, [first, end]))
+        own = sizes[at]
+        places = np.arange(own.sum()) + np.repeat(starts[code[at]] - (np.cumsum(own) - own), own)
+        keys = np.sort(np.repeat(row[at] - first, own) * len(terms) + idx[places])
+        heads = np.flatnonzero(np.append(np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]))
+        whose, term = np.divmod(keys[heads], len(terms))
+        weights = np.diff(np.append(heads, len(keys))) * idf[term]
+        length = np.sqrt(np.bincount(whose, weights * weights, end - first))
+        yield np.bincount(whose, minlength=end - first), term.astype(np.int32), weights / length[whose]
+
+
 def _char_statement(text_col: str, out: str) -> str:
     """The character-gram expression as SQL, so that the transformer can be saved."""
     low, high = CHAR_NGRAMS

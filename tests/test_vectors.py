@@ -116,3 +116,22 @@ def test_a_statistics_row_is_made_per_term_of_many_rows_not_per_document():
     tokens = pa.array([["ab", "cd"]] * 1000, pa.list_(pa.string()))
     for count, terms in ((V._count_words((1, 2)), 3), (V._count_chars((3, 5)), 2 * (2 + 1))):
         assert sum(part.num_rows for part in count(iter([pa.RecordBatch.from_arrays([tokens], names=["_t"])]))) == terms
+
+
+def test_char_vectors_of_rows_cut_together_are_those_of_the_saved_transformer(spark, monkeypatch):
+    texts = _texts(80) + ["é" * 40, "  ", "zzz"]
+    frame = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "email_id string, clean_text string").repartition(2)
+    vocabulary = V.fit_vocabulary(frame, "char", max_features=90)
+    want = {r.email_id: r.features for r in V.vectoriser(vocabulary, "char").transform(frame).collect()}
+    made = V.with_vectors(frame, vocabulary, "char")
+    got = {r.email_id: r.features for r in made.collect()}
+    assert got.keys() == want.keys() and all(np.allclose(got[k].toArray(), want[k].toArray(), atol=1e-14) for k in want)
+    assert "regexp_extract_all" not in _plan(made)
+    terms, idf = pa.array([r.term for r in sorted(vocabulary.collect(), key=lambda r: r.idx)]), np.ones(90)
+    lists = pa.array([(t or "").lower().split() for t in texts], pa.list_(pa.string()))
+    whole = [np.concatenate(c) for c in zip(*V._char_weights(lists, terms, idf))]
+    monkeypatch.setattr(V, "OPENED", 3)
+    cut = [np.concatenate(c) for c in zip(*V._char_weights(lists, terms, idf))]
+    assert all(np.array_equal(a, b) for a, b in zip(whole, cut)) and len(cut[0]) == len(texts)
+    empty = V.with_vectors(frame, vocabulary.limit(0), "char").collect()
+    assert len(empty) == len(texts) and all(r.features.size == 0 for r in empty)

@@ -172,12 +172,12 @@ _HYBRID_CTES = ", ".join([
 
 def _blocks(spark, sf_dir):
     """All mail with word vector, character vector and scaled features, every block fitted on the train split."""
-    train, mail = _train(spark, sf_dir), emails(spark, sf_dir).select("email_id", "clean_text")
+    train, mail = written(_train(spark, sf_dir), "train"), emails(spark, sf_dir).select("email_id", "clean_text")
     scaler = V.fit_scaler(_features(train))
     rows = rounded(structured_features(mail, keep=("email_id", "clean_text")), *_RATIOS)
     rows = V.apply_scaler(rows, scaler, with_mean=False)
     for kind in ("word", "char"):
-        rows = V.vectoriser(V.fit_vocabulary(train, kind), kind, out=kind).transform(rows)
+        rows = V.with_vectors(rows, V.fit_vocabulary(train, kind), kind, out=kind)
     return rows
 
 

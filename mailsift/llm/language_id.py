@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -46,27 +47,30 @@ CACHED_WORDS = 200_000
 
 def letters_of(word: str) -> str:
     """The word's letters in lower case."""
-    return "".join(c for c in word.lower() if c.isalpha()) if not word.isalpha() else word.lower()
+    return word.lower() if word.isalpha() else "".join(filter(str.isalpha, word.lower()))
 
 
-PLACES: dict[str, int] = {}  # of feature names, as far as they were met
+class Places(dict):
+    """Places of feature names, as far as they were met."""
 
+    def __missing__(self, name: str) -> int:
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        place = self[name] = xxh3_64_intdigest(name) % FEATURES
+        return place
 
-def _place(name: str) -> int:
-    place = PLACES.get(name)
-    if place is None:
-        if len(PLACES) > CACHED_WORDS:
-            PLACES.clear()
-        place = PLACES[name] = xxh3_64_intdigest(name) % FEATURES
-    return place
+
+PLACES = Places()
 
 
 def word_features(word: str, lexicon: frozenset[str] | set[str]) -> list[int]:
     """Hashed features: affixes of one to three letters, n-grams of one to three, and the word if known."""
-    names = {word[i : i + k] for k in (1, 2, 3) for i in range(len(word) - k + 1)}
-    names.update(["<" + word[:1], "<" + word[:2], "<" + word[:3], word[-1:] + ">", word[-2:] + ">", word[-3:] + ">"])
-    names.add("=" + word if word in lexicon else "=")
-    return [PLACES[n] if n in PLACES else _place(n) for n in names]
+    pairs = list(map(add, word, word[1:]))
+    names = {
+        *word, *pairs, *map(add, pairs, word[2:]), "<" + word[:1], "<" + word[:2], "<" + word[:3], word[-1:] + ">", word[-2:] + ">",
+        word[-3:] + ">", "=" + word if word in lexicon else "=",
+    }
+    return [PLACES[n] for n in names]
 
 
 class Model:
@@ -187,7 +191,7 @@ class Labeller:
             self.scores = self.scores[used]
             self.rows = {w: int(np.searchsorted(used, p)) if p >= 0 else -1 for w, p in zip(kept, places.tolist())}
         if new:
-            plain = {w: letters_of(w) for w in new}
+            plain = {w: w.lower() if w.isalpha() else letters_of(w) for w in new}
             some = list({x for x in plain.values() if x})
             start = len(self.scores)
             self.scores = np.concatenate([self.scores, self.model.emissions(some)])

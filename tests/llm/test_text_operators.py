@@ -516,3 +516,17 @@ def test_a_text_is_labelled_alike_whether_kept_or_not(frame):
     found = ("row.doc_id", "lang_pred", "score", "certainty")
     assert sorted(map(tuple, whole.select(*found).collect())) == sorted(map(tuple, narrow.select(*found).collect()))
     assert sorted(r["text"] or "" for r in whole.select("row.text").collect()) == sorted(r["text"] or "" for r in docs.collect())
+
+
+def test_features_of_a_word_are_placed_once_and_are_those_of_its_definition(monkeypatch):
+    places = language_id.Places()
+    monkeypatch.setattr(language_id, "PLACES", places)
+    for word in ("a", "ab", "naïve", "straße", "aaaa", "x" * 50):
+        names = {word[i : i + k] for k in (1, 2, 3) for i in range(len(word) - k + 1)} | {"="}
+        names |= {"<" + word[:k] for k in (1, 2, 3)} | {word[-k:] + ">" for k in (1, 2, 3)}
+        got = language_id.word_features(word, set())
+        assert sorted(got) == sorted(language_id.xxh3_64_intdigest(n) % language_id.FEATURES for n in names) and names <= places.keys()
+    monkeypatch.setattr(language_id, "CACHED_WORDS", 3)
+    language_id.word_features("abcdefgh", set())
+    assert len(places) <= 4  # cleared on the way, as far as it was too long
+    assert language_id.letters_of("İx-1é") == "".join(c for c in "İx-1é".lower() if c.isalpha()) and language_id.letters_of("ÀB") == "àb"

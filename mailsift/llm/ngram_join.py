@@ -5,16 +5,17 @@ rising counts. Every document is counted for it; a task adds up what repeats and
 counts, and the ``COMMON`` most frequent n-grams of all are named. The counts decide about work, never about links:
 any one order gives the same ones.
 
-1. *Prefixes.* Sets that link share at least the threshold's part of either, so each has one of the
-   shared n-grams among its first ``n - ceil(threshold * n) + 1``. Documents with equal sets become one
-   class first; only the prefix of a class is dealt out, by n-gram, and n-grams of one class end there. With
-   a set at least as large as its own, a set has to share more, so for these its *early* prefix is enough:
-   a pair meets in the early prefix of the smaller set (of both, if equally large) and the prefix of the other.
-2. *Groups of near copies.* Where more than ``HOT`` classes share an n-gram, each is first compared
-   with the few classes that lead most of its n-grams. What links becomes one group.
-3. *Candidates.* Inside each n-gram of the prefixes only classes of different groups are paired, so a
-   group's own pairs are never listed. The shared prefix n-grams of a pair are summed: with what is
-   behind the prefix that ends first, they bound the overlap, and pairs out of reach are left.
+1. *Prefixes.* Two sets that link share at least ``least_overlap`` n-grams, so in either the first shared
+   one has no more n-grams before it than the set may lack. Documents with equal sets become one
+   class first; only the prefix of a class is dealt out, by n-gram, and n-grams of one class end there. A row
+   keeps its place, and a pair meets only where the places in both fit the two sizes. Where an n-gram has more pairs
+   than rows that name its followers, it is dealt out with each follower instead: the pair meets at its first two.
+2. *Groups of near copies.* Where more than ``HOT`` classes share a key, each is first compared
+   with the few classes that lead most of its keys: those in which the key comes earliest, so that the
+   original leads its edited copies. What links becomes one group.
+3. *Candidates.* Inside each key only classes of different groups are paired, so a
+   group's own pairs are never listed. Of a candidate pair the parities of the sets' n-grams in ``BITS`` cells are
+   compared: each that differs stands for an n-gram that one of them lacks, and pairs that lack too many are left.
 4. *Overlaps.* The order's hash range is cut into fragments of some ``FRAGMENT`` n-grams of a set; each
    fragment counts the partial overlap of a pair apart, and the sums per pair decide about the link.
 
@@ -41,7 +42,8 @@ from mailsift.llm.common import (
 COMMON = 1 << 18  # n-grams that are ordered by their counts; also the counts a task keeps
 WAITING = 1 << 22  # n-grams that a task gathers before it adds up those that occur in them twice or more
 LEAST_COUNT = 8  # a rarer n-gram is ordered by its hash
-HOT = 64  # classes that share an n-gram, beyond which they are first compared with its leaders
+BITS = 512  # cells whose parities a class keeps
+HOT = 8  # classes that share a key, beyond which they are first compared with its leaders
 LEADERS = 3  # such comparisons for a class
 FRAGMENT = 4096  # n-grams of a set in a fragment of the order, on average
 
@@ -127,7 +129,8 @@ def ordered_prefix(grams: np.ndarray, early: int, length: int, common: tuple[np.
     return np.concatenate([rare, names[often]]), place(early - 1), place(length - 1)
 
 
-SIGNED = "id long, digest string, n long, one long, two long, soon long, last long, prefix array<long>"
+CELLS = [f"cell{i}" for i in range(BITS // 64)]
+SIGNED = "id long, digest string, n long, one long, two long, " + "".join(f"{c} long, " for c in CELLS) + "prefix array<long>"
 
 
 def prefix_length(size: int, numerator: int, denominator: int) -> int:
@@ -139,24 +142,30 @@ def early_length(size: int, numerator: int, denominator: int) -> int:
     return size - -(-2 * numerator * size // (numerator + denominator)) + 1
 
 
+def parities(grams: np.ndarray) -> np.ndarray:
+    """Whether the number of n-grams in each cell is odd, as words of 64 bits."""
+    odd = np.bincount((grams & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sign(n: int, lower: bool, numerator: int, denominator: int, common: Broadcast):
+    """Sizes, sums, parities and the prefix of every set, with one n-gram more to follow the last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            sizes, ones, twos, soons, lasts, prefixes = [], [], [], [], [], []
+            sizes, ones, twos, cells, prefixes = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingle_set(words_of(text, lower), n)
                 some = len(grams) > 0
                 sizes.append(len(grams))
                 ones.append(int(np.add.reduce(grams).astype(np.int64)) if some else 0)
                 twos.append(int(np.add.reduce(scramble(grams + np.uint64(0x9E3779B97F4A7C15))).astype(np.int64)) if some else 0)
-                lengths = [of(len(grams), numerator, denominator) for of in (early_length, prefix_length)]
-                prefix, soon, last = ordered_prefix(grams, *lengths, common.value) if some else (grams, 0, 0)
-                soons.append(soon)
-                lasts.append(last)
-                prefixes.append(prefix.view(np.int64))
+                cells.append(parities(grams))
+                length = min(len(grams), prefix_length(len(grams), numerator, denominator) + 1)
+                prefixes.append((ordered_prefix(grams, length, length, common.value)[0] if some else grams).view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("digest"), *(pa.array(c, pa.int64()) for c in (sizes, ones, twos, soons, lasts)),
+                [batch.column("id"), batch.column("digest"), *(pa.array(c, pa.int64()) for c in (sizes, ones, twos)),
+                 *(pa.array(c) for c in np.ascontiguousarray(np.array(cells, np.int64).reshape(-1, len(CELLS)).T)),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*prefixes, np.empty(0, np.int64)]), pa.int64()))],
                 names=[x.split()[0] for x in SIGNED.split(", ")],
             )
@@ -187,6 +196,11 @@ def _slices(n: int, lower: bool):
 
 def linked(pairs: DataFrame, classes: DataFrame, numbered: DataFrame, n: int, numerator: int, denominator: int, lower: bool) -> DataFrame:
     """The pairs (a, b) of classes that link, by partial overlaps in the fragments of the order, summed per pair."""
+    for side in "ab":
+        pairs = pairs.join(classes.select(F.col("number").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in CELLS)), side)
+    odd = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in CELLS), F.lit(0))
+    lacking = F.col("na") + F.col("nb") - 2 * least_overlap("na", "nb", numerator, denominator)
+    pairs = pairs.where(odd <= lacking).select("a", "b", "na", "nb")
     pairs = written(
         pairs.withColumn("fragments", F.ceil(F.greatest("na", "nb") / F.lit(FRAGMENT)).cast("long")), "ngram-pairs"
     )
@@ -209,53 +223,80 @@ def linked(pairs: DataFrame, classes: DataFrame, numbered: DataFrame, n: int, nu
     )
 
 
-def led_pairs(postings: DataFrame) -> DataFrame:
-    """In n-grams of more than ``HOT`` classes: each class with the classes that lead most of its n-grams."""
-    leaders = postings.groupBy("gram").agg(F.count("*").alias("many"), F.min(F.struct("number", "n")).alias("led")).where(F.col("many") > HOT)
-    votes = (
-        postings.join(leaders.select("gram", "led"), "gram").where(F.col("number") != F.col("led.number"))
-        .groupBy("led", "number", "n").agg(F.count("*").alias("votes"))
+def least_overlap(na: str, nb: str, numerator: int, denominator: int) -> Column:
+    """What two sets of these sizes share at least if they link."""
+    return F.ceil(F.lit(numerator) * (F.col(na) + F.col(nb)) / F.lit(numerator + denominator) - 1e-9)
+
+
+def may_link(at: tuple[str, str], sizes: tuple[str, str], numerator: int, denominator: int) -> Column:
+    """Whether sizes and the places of the first shared n-gram leave the threshold within reach."""
+    near = lambda small, large: denominator * F.col(small) >= numerator * F.col(large)
+    least = least_overlap(*sizes, numerator, denominator)
+    return near(*sizes) & near(*sizes[::-1]) & (F.col(at[0]) <= F.col(sizes[0]) - least) & (F.col(at[1]) <= F.col(sizes[1]) - least)
+
+
+def postings_of(classes: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(gram, second, number, n, at): keys in the prefixes of several classes and the places that a pair's sizes have to allow.
+
+    ``second`` is 0 where an n-gram stands alone. Otherwise it is one that follows, and ``at`` the place before
+    its own: a pair lacks no more before its second shared n-gram than before its first. Sets that may link by
+    sharing one n-gram alone keep the 0 as well.
+    """
+    length = F.col("n") - F.ceil(F.lit(numerator) * F.col("n") / F.lit(denominator) - 1e-9) + 1
+    dealt = classes.select("number", "n", F.size("prefix").alias("held"), F.posexplode("prefix").alias("at", "gram")).where(F.col("at") < length)
+    many = F.count("*")
+    shared = written(
+        dealt.groupBy("gram").agg(many.alias("many"), (many * (many - 1) / 2 > F.sum(F.col("held") - F.col("at") - 1)).alias("followed"))
+        .where("many > 1").select("gram", "followed"), "ngram-shared",
     )
-    best = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("votes"), "led"))
-    return votes.withColumn("best", best).where(F.col("best") <= LEADERS).select(
-        F.col("led.number").alias("a"), F.col("number").alias("b"), F.col("led.n").alias("na"), F.col("n").alias("nb")
+    met = written(dealt.join(bounded_side(shared), "gram").select("gram", "number", "n", "at", "followed"), "ngram-met")
+    alone = met.where(~F.col("followed") | (numerator * F.col("n") <= denominator)).select("gram", F.lit(0).cast("long").alias("second"), "number", "n", "at")
+    rest = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
+    two = written(
+        met.where("followed").join(classes.select("number", "prefix"), "number")
+        .select("gram", "number", "n", "at", F.posexplode(rest).alias("further", "second"))
+        .select("gram", "second", "number", "n", (F.col("at") + F.col("further")).alias("at")), "ngram-followed",
     )
+    several = two.groupBy("gram", "second").agg(F.count("*").alias("many")).where("many > 1").select("gram", "second")
+    return written(alone.unionByName(two.join(several, ["gram", "second"])), "ngram-postings")
+
+
+def led_pairs(postings: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """In keys of more than ``HOT`` classes: each class with the classes that lead most of its keys."""
+    leaders = postings.groupBy("gram", "second").agg(
+        F.count("*").alias("many"), F.min(F.struct("at", "number", "n")).alias("led")
+    ).where(F.col("many") > HOT).select("gram", "second", F.col("led.number").alias("a"), F.col("led.at").alias("at_a"), F.col("led.n").alias("na"))
+    votes = (
+        postings.join(leaders, ["gram", "second"]).where(F.col("number") != F.col("a"))
+        .where(may_link(("at_a", "at"), ("na", "n"), numerator, denominator))
+        .groupBy("a", "na", "number", "n").agg(F.count("*").alias("votes"))
+    )
+    best = F.row_number().over(Window.partitionBy("number").orderBy(F.desc("votes"), "a"))
+    return votes.withColumn("best", best).where(F.col("best") <= LEADERS).select("a", F.col("number").alias("b"), "na", F.col("n").alias("nb"))
 
 
 def candidate_pairs(postings: DataFrame, groups: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Pairs of classes of different groups whose shared prefix n-grams leave the threshold within reach."""
+    """Pairs of classes of different groups that meet where their sizes allow it."""
+    key = ["gram", "second"]
     grouped = postings.join(groups, F.col("number") == F.col("id"), "left").withColumn("component", F.coalesce("component", "number"))
-    grouped = written(grouped.select("gram", "number", "n", "early", "soon", "last", "component"), "ngram-grouped")
-    several = grouped.groupBy("gram", "component").agg(
-        F.max("n").alias("most"), F.min("n").alias("least"), F.min(F.when(F.col("early"), F.col("n"))).alias("first")
-    )
-    left, right = (several.select("gram", *(F.col(c).alias(f"{c}_{s}") for c in ("component", "most", "least", "first"))) for s in "ab")
+    grouped = written(grouped.select(*key, "number", "n", "at", "component"), "ngram-grouped")
+    several = grouped.groupBy(*key, "component").agg(F.max("n").alias("most"), F.min("n").alias("least"), F.min("at").alias("first"))
+    left, right = (several.select(*key, *(F.col(c).alias(f"{c}_{s}") for c in ("component", "most", "least", "first"))) for s in "ab")
     near = lambda small, large: denominator * F.col(small) >= numerator * F.col(large)
-    early = (F.col("first_a") < F.col("most_b")) | (F.col("first_b") < F.col("most_a")) | (F.col("first_a").isNotNull() & F.col("first_b").isNotNull())
-    met = left.join(right, "gram").where(
-        (F.col("component_a") < F.col("component_b")) & near("most_a", "least_b") & near("most_b", "least_a") & early
-    ).select("gram", "component_a", "component_b")
+
+    def fits(at: str, own: str, other: str) -> Column:
+        """Whether a place may be that of the first shared n-gram, for a set of at most one size and another of at least one."""
+        return F.lit(numerator + denominator) * F.col(at) <= denominator * F.col(own) - numerator * F.col(other)
+
+    met = left.join(right, key).where(
+        (F.col("component_a") < F.col("component_b")) & near("most_a", "least_b") & near("most_b", "least_a")
+        & fits("first_a", "most_a", "least_b") & fits("first_b", "most_b", "least_a")
+    ).select(*key, "component_a", "component_b", "least_b")
     for s in "ab":
-        met = met.join(
-            grouped.select("gram", F.col("component").alias(f"component_{s}"), F.col("number").alias(s), F.col("n").alias(f"n{s}"),
-                           *(F.col(c).alias(f"{c}_{s}") for c in ("early", "soon", "last"))), ["gram", f"component_{s}"],
-        )
-    # The prefix of either that counts for the pair: the early one against a set at least as large.
-    a_early, b_early = F.col("na") <= F.col("nb"), F.col("nb") <= F.col("na")
-    pairs = met.where(near("na", "nb") & near("nb", "na") & (~a_early | F.col("early_a")) & (~b_early | F.col("early_b"))).groupBy(
-        "a", "b", "na", "nb", F.when(a_early, F.col("soon_a")).otherwise(F.col("last_a")).alias("end_a"),
-        F.when(b_early, F.col("soon_b")).otherwise(F.col("last_b")).alias("end_b"),
-    ).agg(F.count("*").alias("shared"))
-    needed = F.ceil(F.lit(numerator) * (F.col("na") + F.col("nb")) / F.lit(numerator + denominator) - 1e-9)
-
-    def behind(size: str, is_early: Column) -> Column:
-        return F.when(is_early, F.ceil(F.lit(2 * numerator) * F.col(size) / F.lit(numerator + denominator) - 1e-9)).otherwise(
-            F.ceil(F.lit(numerator) * F.col(size) / F.lit(denominator) - 1e-9)) - 1
-
-    # Whose prefix ends first; places that are too close to tell count as either.
-    a_first, b_first = F.col("end_a") <= F.col("end_b"), F.col("end_b") <= F.col("end_a")
-    rest = F.greatest(F.when(a_first, behind("na", a_early)), F.when(b_first, behind("nb", b_early)))
-    return pairs.where(F.col("shared") + rest >= needed).select("a", "b", "na", "nb")
+        own = grouped.select(*key, F.col("component").alias(f"component_{s}"), F.col("number").alias(s), F.col("n").alias(f"n{s}"), F.col("at").alias(f"at_{s}"))
+        allowed = fits("at_a", "na", "least_b") if s == "a" else may_link(("at_a", "at_b"), ("na", "nb"), numerator, denominator)
+        met = met.join(own, [*key, f"component_{s}"]).where(allowed)
+    return met.select("a", "b", "na", "nb").distinct()
 
 
 def join(docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10, lower: bool = True) -> DataFrame:
@@ -275,23 +316,13 @@ def join(docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10,
         "ngram-signed",
     )
     classes = written(
-        signed.where("n > 0").groupBy("cls", "n", "one", "two", "soon", "last").agg(F.min(F.struct("id", "digest")).alias("rep"))
-        .withColumn("number", F.monotonically_increasing_id()), "ngram-classes",
-    )
-    # N-grams in the prefixes of several classes; copies of a set fall together.
-    soonest = F.col("n") - F.ceil(F.lit(2 * numerator) * F.col("n") / F.lit(numerator + denominator) - 1e-9) + 1
-    dealt = signed.select("cls", soonest.alias("soonest"), F.posexplode("prefix").alias("place", "gram")).select(
-        "cls", "gram", (F.col("place") < F.col("soonest")).alias("early")
-    )
-    shared = written(
-        dealt.groupBy("gram").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).where("least < most").select("gram"), "ngram-shared"
-    )
-    postings = written(
-        dealt.join(bounded_side(shared), "gram").distinct().join(classes.select("cls", "number", "n", "soon", "last"), "cls")
-        .select("gram", "number", "n", "early", "soon", "last"), "ngram-postings",
+        signed.where("n > 0").groupBy("cls", "n", "one", "two")
+        .agg(F.min(F.struct("id", "digest")).alias("rep"), F.first(F.struct(*CELLS, "prefix")).alias("own"))
+        .select("n", "one", "two", "rep", "own.*").withColumn("number", F.monotonically_increasing_id()), "ngram-classes",
     )
+    postings = postings_of(classes, numerator, denominator)
     find = lambda pairs: linked(pairs, classes, numbered, n, numerator, denominator, lower)
-    links = find(led_pairs(postings))
+    links = find(led_pairs(postings, numerator, denominator))
     links = links.union(find(candidate_pairs(postings, components(links), numerator, denominator)))
     joined = components(links).withColumnRenamed("id", "linked")
     located = classes.join(joined, F.col("number") == F.col("linked"), "left").withColumn("component", F.coalesce("component", "number"))

@@ -178,6 +178,37 @@ def test_heaviest_adds_up_and_keeps_the_largest():
         assert list(zip(*(a.tolist() for a in ngram_join.repeated(np.array(given, np.uint64))))) == want
 
 
+def test_edited_copies_of_one_text_are_not_paired_with_each_other(frame, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = [base]
+    for edits in [1] * 20 + [2] * 40 + [4] * 60:  # up to two link with the base, none of four links with anything
+        words = list(base)
+        for at in rng.sample(range(2, 146, 4), edits):
+            words[at] = f"x{rng.random()}"
+        texts.append(words)
+    counted, linked = [], ngram_join.linked
+
+    def counting(pairs, *rest):
+        counted.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "linked", counting)
+    rows = [(i, " ".join(t), None, None, 0) for i, t in enumerate(texts)]
+    got = {r["id"]: r["component_id"] for r in ngram_join.join(frame(rows, DOCS), n=3, numerator=9, denominator=10).collect()}
+    assert got == {i: 0 if i <= 60 else i for i in range(121)}
+    assert sum(counted) < 4 * len(rows)
+
+
+def test_parities_differ_in_no_more_cells_than_the_sets_in_ngrams():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 400).astype(np.uint64)
+    for lacking in (0, 1, 30, 400):
+        one, two = ngram_join.parities(base), ngram_join.parities(base[lacking:])
+        odd = sum(int(x).bit_count() for x in (one ^ two).view(np.uint64))
+        assert odd <= lacking and (lacking - odd) % 2 == 0 and len(one) == len(ngram_join.CELLS)
+
+
 @pytest.mark.parametrize(("hot", "fragment", "least"), [(2, 16, 2), (5, 1000, 1), (10**9, 4096, 10**9)])
 def test_hot_groups_fragments_and_orders_change_no_link(frame, monkeypatch, hot, fragment, least):
     monkeypatch.setattr(ngram_join, "HOT", hot)

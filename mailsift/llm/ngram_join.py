@@ -235,7 +235,7 @@ def may_link(at: tuple[str, str], sizes: tuple[str, str], numerator: int, denomi
     return near(*sizes) & near(*sizes[::-1]) & (F.col(at[0]) <= F.col(sizes[0]) - least) & (F.col(at[1]) <= F.col(sizes[1]) - least)
 
 
-def postings_of(classes: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def postings_of(own: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """(gram, second, number, n, at): keys in the prefixes of several classes and the places that a pair's sizes have to allow.
 
     ``second`` is 0 where an n-gram stands alone. Otherwise it is one that follows, and ``at`` the place before
@@ -243,17 +243,19 @@ def postings_of(classes: DataFrame, numerator: int, denominator: int) -> DataFra
     sharing one n-gram alone keep the 0 as well.
     """
     length = F.col("n") - F.ceil(F.lit(numerator) * F.col("n") / F.lit(denominator) - 1e-9) + 1
-    dealt = classes.select("number", "n", F.size("prefix").alias("held"), F.posexplode("prefix").alias("at", "gram")).where(F.col("at") < length)
-    many = F.count("*")
+    opened = own.select("number", "n", "prefix", F.posexplode("prefix").alias("at", "gram")).where(F.col("at") < length)
+    many, behind = F.count("*"), F.sum(F.size("prefix") - F.col("at") - 1)
     shared = written(
-        dealt.groupBy("gram").agg(many.alias("many"), (many * (many - 1) / 2 > F.sum(F.col("held") - F.col("at") - 1)).alias("followed"))
+        opened.groupBy("gram").agg(many.alias("many"), (many * (many - 1) / 2 > behind).alias("followed"))
         .where("many > 1").select("gram", "followed"), "ngram-shared",
     )
-    met = written(dealt.join(bounded_side(shared), "gram").select("gram", "number", "n", "at", "followed"), "ngram-met")
-    alone = met.where(~F.col("followed") | (numerator * F.col("n") <= denominator)).select("gram", F.lit(0).cast("long").alias("second"), "number", "n", "at")
+    alone = opened.select("gram", "number", "n", "at").join(bounded_side(shared), "gram").where(
+        ~F.col("followed") | (numerator * F.col("n") <= denominator)
+    ).select("gram", F.lit(0).cast("long").alias("second"), "number", "n", "at")
+    # The frequent n-grams are few: where they are short enough to be broadcast, no prefix is moved.
     rest = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
     two = written(
-        met.where("followed").join(classes.select("number", "prefix"), "number")
+        opened.join(bounded_side(shared.where("followed").select("gram")), "gram")
         .select("gram", "number", "n", "at", F.posexplode(rest).alias("further", "second"))
         .select("gram", "second", "number", "n", (F.col("at") + F.col("further")).alias("at")), "ngram-followed",
     )
@@ -312,15 +314,19 @@ def join(docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10,
     )
     common = docs.sparkSession.sparkContext.broadcast(common_grams(docs, n, lower))
     signed = written(
-        numbered.mapInArrow(_sign(n, lower, numerator, denominator, common), SIGNED).withColumn("cls", F.xxhash64("n", "one", "two")),
-        "ngram-signed",
+        numbered.mapInArrow(_sign(n, lower, numerator, denominator, common), SIGNED).withColumn("cls", F.xxhash64("n", "one", "two"))
+        .withColumn("row", F.monotonically_increasing_id()), "ngram-signed",
     )
+    equal = ["cls", "n", "one", "two"]
     classes = written(
-        signed.where("n > 0").groupBy("cls", "n", "one", "two")
-        .agg(F.min(F.struct("id", "digest")).alias("rep"), F.first(F.struct(*CELLS, "prefix")).alias("own"))
-        .select("n", "one", "two", "rep", "own.*").withColumn("number", F.monotonically_increasing_id()), "ngram-classes",
+        signed.where("n > 0").groupBy(*equal).agg(
+            F.min(F.struct("id", "digest", "row")).alias("rep"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in CELLS)
+        ).withColumn("number", F.col("rep.row")).withColumn("rep", F.struct("rep.id", "rep.digest")), "ngram-classes",
     )
-    postings = postings_of(classes, numerator, denominator)
+    # Of copies only the first row's prefix is dealt out; sets without copies are their own first rows.
+    copied = classes.where("copies > 1").select(*equal, "number")
+    own = signed.where("n > 0").join(bounded_side(copied), equal, "left").where("number is null or number = row")
+    postings = postings_of(own.select(F.col("row").alias("number"), "n", "prefix"), numerator, denominator)
     find = lambda pairs: linked(pairs, classes, numbered, n, numerator, denominator, lower)
     links = find(led_pairs(postings, numerator, denominator))
     links = links.union(find(candidate_pairs(postings, components(links), numerator, denominator)))

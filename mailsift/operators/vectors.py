@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -23,6 +22,7 @@ from mailsift.config import CHAR_NGRAMS, MAX_FEATURES, MIN_DF, SVD_COMPONENTS, W
 from mailsift.functions.features import FEATURE_NAMES
 from mailsift.functions.patterns import SPACE, VECTOR_TOKEN
 from mailsift.functions.text import no_null
+from mailsift.operators import factor
 from mailsift.operators.order import numbered
 from mailsift.session import written
 
@@ -429,17 +429,9 @@ def hybrid(df: DataFrame, columns: Sequence[str] = FEATURE_NAMES, word: str = "w
 def fit_svd(df: DataFrame, vector_col: str = "features", k: int = SVD_COMPONENTS) -> tuple[np.ndarray, np.ndarray]:
     """Leading singular values and right vectors of the uncentred row matrix.
 
-    Spark multiplies the distributed rows; the driver holds vocabulary x k numbers.
+    The distributed rows are multiplied with many vectors in a pass; the driver holds vocabulary x ``3 k`` numbers.
     """
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-
-    # Every iteration reads the rows again, so they are kept; a lost block is computed anew.
-    vectors = df.select(vector_col).persist(StorageLevel.MEMORY_AND_DISK)
-    rows = MLUtils.convertVectorColumnsFromML(vectors, vector_col)
-    result = RowMatrix(rows).computeSVD(k, computeU=False)
-    vectors.unpersist()
-    return np.array(result.s.toArray()), np.array(result.V.toArray())
+    return factor.fit(df, vector_col, k)
 
 
 def apply_svd(df: DataFrame, right: np.ndarray, vector_col: str = "features", out: str = "svd") -> DataFrame:

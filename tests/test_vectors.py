@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from mailsift.operators import vectors as V
+from mailsift.operators import factor, vectors as V
 
 
 def test_svd_equals_a_dense_factorisation(spark):
@@ -25,6 +25,26 @@ def test_svd_equals_a_dense_factorisation(spark):
         assert np.allclose(row.svd.toArray(), dense[int(row.email_id)] @ right, atol=1e-12)
 
 
+def test_svd_passes_do_not_grow_with_the_components(spark):
+    rng = np.random.default_rng(4)
+    dense = rng.random((400, 300)) * (rng.random((400, 300)) < 0.1)
+    rows = spark.createDataFrame([(Vectors.sparse(300, {j: float(x) for j, x in enumerate(row) if x}),) for row in dense], ["features"])
+    spark.sparkContext.setJobGroup("svd", "svd")
+    values, right = V.fit_svd(rows, k=60)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("svd"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 60
+    assert np.allclose(values, np.linalg.svd(dense, compute_uv=False)[:60], atol=1e-8)
+    assert np.allclose(dense.T @ (dense @ right), right * values**2, atol=1e-6)
+
+
+def test_repeated_singular_values_are_all_found():
+    matrix = np.diag(np.r_[np.full(100, 2.0), np.ones(400)])
+    squares, right = factor.leading(lambda x: matrix @ (matrix @ x), 500, 150)
+    assert np.allclose(squares, np.r_[np.full(100, 4.0), np.ones(50)])
+    assert np.allclose(right.T @ right, np.eye(150))
+
+
 # ---- vocabulary --------------------------------------------------------------------------
 
 

@@ -8,13 +8,13 @@ any one order gives the same ones.
 1. *Prefixes.* Two sets that link share at least ``least_overlap`` n-grams, so in either the first shared
    one has no more n-grams before it than the set may lack. Documents with equal sets become one
    class first; only the prefix of a class is dealt out, by n-gram, and n-grams of one class end there. A row
-   keeps its place, and a pair meets only where the places in both fit the two sizes. Where an n-gram has more pairs
-   than rows that name its followers, it is dealt out with each follower instead: the pair meets at its first two.
-2. *Groups of near copies.* Where more than ``HOT`` classes share a key, each is first compared
-   with the few classes that lead most of its keys: those in which the key comes earliest, so that the
+   keeps its place, and a pair meets only where the places in both fit the two sizes.
+2. *Groups of near copies.* Where more than ``HOT`` classes share an n-gram, each is first compared
+   with the few classes that lead most of its n-grams: those in which one comes earliest, so that the
    original leads its edited copies. What links becomes one group.
-3. *Candidates.* Inside each key only classes of different groups are paired, so a
-   group's own pairs are never listed. Of a candidate pair the parities of the sets' n-grams in ``BITS`` cells are
+3. *Candidates.* Only classes of different groups are paired, so a group's own pairs are never listed. Where an
+   n-gram has more such pairs than rows that name its followers, it is dealt out with each follower instead: the
+   pair meets at its first two. Of a candidate pair the parities of the sets' n-grams in ``BITS`` cells are
    compared: each that differs stands for an n-gram that one of them lacks, and pairs that lack too many are left.
 4. *Overlaps.* The order's hash range is cut into fragments of some ``FRAGMENT`` n-grams of a set; each
    fragment counts the partial overlap of a pair apart, and the sums per pair decide about the link.
@@ -235,41 +235,61 @@ def may_link(at: tuple[str, str], sizes: tuple[str, str], numerator: int, denomi
     return near(*sizes) & near(*sizes[::-1]) & (F.col(at[0]) <= F.col(sizes[0]) - least) & (F.col(at[1]) <= F.col(sizes[1]) - least)
 
 
+def opened_prefixes(own: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """A row for every n-gram of a prefix, with its place; the whole prefix goes with it."""
+    length = F.col("n") - F.ceil(F.lit(numerator) * F.col("n") / F.lit(denominator) - 1e-9) + 1
+    return own.select("number", "n", "prefix", F.posexplode("prefix").alias("at", "gram")).where(F.col("at") < length)
+
+
 def postings_of(own: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """(gram, second, number, n, at): keys in the prefixes of several classes and the places that a pair's sizes have to allow.
+    """(gram, number, n, at, behind): n-grams in the prefixes of several classes, and how many follow them there."""
+    opened = opened_prefixes(own, numerator, denominator)
+    shared = written(opened.groupBy("gram").agg(F.count("*").alias("many")).where("many > 1").select("gram"), "ngram-shared")
+    rows = opened.select("gram", "number", "n", "at", (F.size("prefix") - F.col("at") - 1).alias("behind"))
+    return written(rows.join(bounded_side(shared), "gram"), "ngram-postings")
+
+
+def grouped_keys(own: DataFrame, postings: DataFrame, groups: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(gram, second, number, n, at, component): keys that classes of several groups share.
 
     ``second`` is 0 where an n-gram stands alone. Otherwise it is one that follows, and ``at`` the place before
     its own: a pair lacks no more before its second shared n-gram than before its first. Sets that may link by
-    sharing one n-gram alone keep the 0 as well.
+    sharing one n-gram alone keep the 0 as well. Only pairs of different groups are counted against the followers,
+    so the n-grams of a large group of near copies are not dealt out with theirs.
     """
-    length = F.col("n") - F.ceil(F.lit(numerator) * F.col("n") / F.lit(denominator) - 1e-9) + 1
-    opened = own.select("number", "n", "prefix", F.posexplode("prefix").alias("at", "gram")).where(F.col("at") < length)
-    many, behind = F.count("*"), F.sum(F.size("prefix") - F.col("at") - 1)
-    shared = written(
-        opened.groupBy("gram").agg(many.alias("many"), (many * (many - 1) / 2 > behind).alias("followed"))
-        .where("many > 1").select("gram", "followed"), "ngram-shared",
+    found = groups.select(F.col("id").alias("number"), "component")
+    with_group = lambda rows: rows.join(found, "number", "left").withColumn("component", F.coalesce("component", "number"))
+    grouped = with_group(postings)
+    held = grouped.groupBy("gram", "component").agg(F.count("*").alias("many"), F.sum("behind").alias("behind"))
+    same = F.sum(F.col("many") * F.col("many"))
+    met = written(
+        held.groupBy("gram").agg(
+            F.count("*").alias("groups"), ((F.sum("many") * F.sum("many") - same) / 2 > F.sum("behind")).alias("followed")
+        ).where("groups > 1").select("gram", "followed"), "ngram-met",
+    )
+    alone = grouped.join(bounded_side(met), "gram").where(~F.col("followed") | (numerator * F.col("n") <= denominator)).select(
+        "gram", F.lit(0).cast("long").alias("second"), "number", "n", "at", "component"
     )
-    alone = opened.select("gram", "number", "n", "at").join(bounded_side(shared), "gram").where(
-        ~F.col("followed") | (numerator * F.col("n") <= denominator)
-    ).select("gram", F.lit(0).cast("long").alias("second"), "number", "n", "at")
     # The frequent n-grams are few: where they are short enough to be broadcast, no prefix is moved.
     rest = F.slice("prefix", F.col("at") + 2, F.size("prefix"))
     two = written(
-        opened.join(bounded_side(shared.where("followed").select("gram")), "gram")
-        .select("gram", "number", "n", "at", F.posexplode(rest).alias("further", "second"))
-        .select("gram", "second", "number", "n", (F.col("at") + F.col("further")).alias("at")), "ngram-followed",
+        with_group(
+            opened_prefixes(own, numerator, denominator).join(bounded_side(met.where("followed").select("gram")), "gram")
+            .select("gram", "number", "n", "at", F.posexplode(rest).alias("further", "second"))
+            .select("gram", "second", "number", "n", (F.col("at") + F.col("further")).alias("at"))
+        ).select("gram", "second", "number", "n", "at", "component"), "ngram-followed",
     )
-    several = two.groupBy("gram", "second").agg(F.count("*").alias("many")).where("many > 1").select("gram", "second")
-    return written(alone.unionByName(two.join(several, ["gram", "second"])), "ngram-postings")
+    several = two.groupBy("gram", "second").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("gram", "second")
+    return written(alone.unionByName(two.join(several, ["gram", "second"])), "ngram-grouped")
 
 
 def led_pairs(postings: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """In keys of more than ``HOT`` classes: each class with the classes that lead most of its keys."""
-    leaders = postings.groupBy("gram", "second").agg(
+    """In n-grams of more than ``HOT`` classes: each class with the classes that lead most of its own."""
+    leaders = postings.groupBy("gram").agg(
         F.count("*").alias("many"), F.min(F.struct("at", "number", "n")).alias("led")
-    ).where(F.col("many") > HOT).select("gram", "second", F.col("led.number").alias("a"), F.col("led.at").alias("at_a"), F.col("led.n").alias("na"))
+    ).where(F.col("many") > HOT).select("gram", F.col("led.number").alias("a"), F.col("led.at").alias("at_a"), F.col("led.n").alias("na"))
     votes = (
-        postings.join(leaders, ["gram", "second"]).where(F.col("number") != F.col("a"))
+        postings.join(leaders, "gram").where(F.col("number") != F.col("a"))
         .where(may_link(("at_a", "at"), ("na", "n"), numerator, denominator))
         .groupBy("a", "na", "number", "n").agg(F.count("*").alias("votes"))
     )
@@ -277,11 +297,9 @@ def led_pairs(postings: DataFrame, numerator: int, denominator: int) -> DataFram
     return votes.withColumn("best", best).where(F.col("best") <= LEADERS).select("a", F.col("number").alias("b"), "na", F.col("n").alias("nb"))
 
 
-def candidate_pairs(postings: DataFrame, groups: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def candidate_pairs(grouped: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Pairs of classes of different groups that meet where their sizes allow it."""
     key = ["gram", "second"]
-    grouped = postings.join(groups, F.col("number") == F.col("id"), "left").withColumn("component", F.coalesce("component", "number"))
-    grouped = written(grouped.select(*key, "number", "n", "at", "component"), "ngram-grouped")
     several = grouped.groupBy(*key, "component").agg(F.max("n").alias("most"), F.min("n").alias("least"), F.min("at").alias("first"))
     left, right = (several.select(*key, *(F.col(c).alias(f"{c}_{s}") for c in ("component", "most", "least", "first"))) for s in "ab")
     near = lambda small, large: denominator * F.col(small) >= numerator * F.col(large)
@@ -326,10 +344,12 @@ def join(docs: DataFrame, n: int = 5, numerator: int = 8, denominator: int = 10,
     # Of copies only the first row's prefix is dealt out; sets without copies are their own first rows.
     copied = classes.where("copies > 1").select(*equal, "number")
     own = signed.where("n > 0").join(bounded_side(copied), equal, "left").where("number is null or number = row")
-    postings = postings_of(own.select(F.col("row").alias("number"), "n", "prefix"), numerator, denominator)
+    own = own.select(F.col("row").alias("number"), "n", "prefix")
+    postings = postings_of(own, numerator, denominator)
     find = lambda pairs: linked(pairs, classes, numbered, n, numerator, denominator, lower)
     links = find(led_pairs(postings, numerator, denominator))
-    links = links.union(find(candidate_pairs(postings, components(links), numerator, denominator)))
+    grouped = grouped_keys(own, postings, components(links), numerator, denominator)
+    links = links.union(find(candidate_pairs(grouped, numerator, denominator)))
     joined = components(links).withColumnRenamed("id", "linked")
     located = classes.join(joined, F.col("number") == F.col("linked"), "left").withColumn("component", F.coalesce("component", "number"))
     first = located.groupBy("component").agg(F.min("rep").alias("first"))

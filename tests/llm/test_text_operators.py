@@ -200,6 +200,23 @@ def test_edited_copies_of_one_text_are_not_paired_with_each_other(frame, monkeyp
     assert sum(counted) < 4 * len(rows)
 
 
+def test_near_copies_are_not_dealt_out_with_the_n_grams_that_follow(frame, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(k, " ".join(base[: 4 * k] + [f"x{k}"] + base[4 * k + 1 :])) for k in range(1, 41)]
+    rows = [(0, " ".join(base)), *rows]
+    counted, written = {}, ngram_join.written
+
+    def counting(df, label):
+        out = written(df, label)
+        counted[label] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", counting)
+    got = ngram_join.join(frame([(i, text, None, None, 0) for i, text in rows], DOCS), n=3, numerator=9, denominator=10).collect()
+    assert {r["component_id"] for r in got} == {0} and len(got) == 41
+    assert counted["ngram-followed"] == 0
+
+
 def test_parities_differ_in_no_more_cells_than_the_sets_in_ngrams():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 2**63, 400).astype(np.uint64)

@@ -159,6 +159,26 @@ def test_topk_of_repeated_rows_and_large_values(frame, monkeypatch):
     assert len(got) == 5 * sum(1 for i, _ in whole if i % 50 == 0)
 
 
+@pytest.mark.parametrize("most", [None, 0])
+def test_topk_never_multiplies_what_it_broadcasts(frame, monkeypatch, most):
+    """Query blocks go to the driver once each if they are few, and not at all if they are not."""
+    monkeypatch.setattr(topk_search, "SHARD", 40)
+    monkeypatch.setattr(topk_search, "BLOCK", 2)
+    if most is not None:
+        monkeypatch.setattr(topk_search, "BROADCAST_BYTES", most, raising=False)
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=8) * (300 if i % 7 else 1e6)).tolist(), 0, 0) for i in range(220)] + [(900, [1.0, 2.0], 0, 0), (901, [3.0, -2.0], 0, 0)]
+    found = topk_search.result(frame(rows, VECTORS))
+    sent = found._jdf.queryExecution().executedPlan().toString().partition("BroadcastExchange")
+    assert "explode" not in sent[2] and bool(sent[1]) == (most is None)
+    whole = {i: np.floor(256 * np.array(v)).astype(int) for i, v, *_ in rows}
+    want = []
+    for q in (i for i in whole if i % 50 == 0):
+        scores = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
 def test_copies_of_a_direction_are_counted_not_paired(spark):
     """20,000 copies of one vector, 500 of a near one and some of neither; scaled copies are copies."""
     rng = np.random.default_rng(5)

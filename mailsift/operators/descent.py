@@ -14,59 +14,62 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from mailsift.session import written
 
 MEMORY = 40  # steps that the curvature is estimated from
-BLOCK = "places binary, numbers binary, sizes binary, label binary, weight binary"
+BLOCK = "fold int, places binary, numbers binary, sizes binary, label binary, weight binary"
+KINDS = (np.int32, float, np.int64, float, float)
 
-# A loss takes margins and labels and gives (loss, slope, further sums) of every row.
-Loss = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+# A loss takes margins and labels and gives (loss, slope) of every row.
+Loss = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 @dataclass
 class Point:
-    """Where a descent stands: coefficients with the intercept last, the penalised loss, its gradient, and a further sum."""
+    """Where a descent stands: coefficients with the intercept last, the penalised loss and its gradient."""
 
     at: np.ndarray
     loss: float
     gradient: np.ndarray
-    more: float
 
 
 class Unfinished(RuntimeError):
     """The passes were used up before the minimum."""
 
 
-def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def logistic(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The logistic loss of labels 0 and 1."""
     small = np.exp(-np.abs(margin))
     p = np.where(margin >= 0, 1.0, small) / (1.0 + small)
-    return np.maximum(margin, 0.0) + np.log1p(small) - label * margin, p - label, np.zeros_like(margin)
+    return np.maximum(margin, 0.0) + np.log1p(small) - label * margin, p - label
 
 
-def hinge(width: float) -> Loss:
-    """The hinge with its corner rounded over ``width``; the further sum is the sharp hinge's less the slopes'."""
-    def loss(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        sign = 2.0 * label - 1.0
-        short = np.maximum(1.0 - sign * margin, 0.0)
-        slope = np.minimum(short / width, 1.0)
-        return slope * (short - width * slope / 2), -sign * slope, short - slope
+def margins(places: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The rows' numbers times their coefficients, and the intercept."""
+    out, filled = np.zeros(len(sizes)), sizes > 0
+    if len(places):
+        out[filled] = np.add.reduceat(numbers * at[places], (np.cumsum(sizes) - sizes)[filled])
+    return out + at[-1]
 
-    return loss
+
+def summed(places: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, slope: np.ndarray, size: int) -> np.ndarray:
+    """The rows' numbers times their slopes, added up by place."""
+    return np.bincount(places, numbers * np.repeat(slope, sizes), size)
 
 
 class Rows:
-    """Rows with ``features``, ``label`` and a weight, written once as blocks of sparse numbers."""
+    """Rows with ``features``, ``label`` and a weight, written once as blocks of sparse numbers; a block has rows of one fold."""
 
-    def __init__(self, df: DataFrame, weight: str | None = None, features: str = "features") -> None:
+    def __init__(self, df: DataFrame, weight: str | None = None, features: str = "features", fold: str | None = None) -> None:
         opened = df.select(
             F.unwrap_udt(features).alias("u"), F.col("label").cast("double").alias("label"),
-            (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("weight"),
+            (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("weight"), (F.col(fold) if fold else F.lit(0)).cast("int").alias("fold"),
         )
-        parts = opened.select(F.col("u.size").alias("size"), F.col("u.indices").alias("places"), F.col("u.values").alias("numbers"), "label", "weight")
+        parts = opened.select(F.col("u.size").alias("size"), F.col("u.indices").alias("places"), F.col("u.values").alias("numbers"), "label", "weight", "fold")
         total, size = parts.agg(F.sum("weight"), F.max(F.coalesce("size", F.size("numbers")))).first()
         if not total:
             raise ValueError("There are no rows to fit on.")
@@ -74,7 +77,7 @@ class Rows:
         self.context = df.sparkSession.sparkContext
         blocks = written(parts.drop("size").mapInArrow(_blocks, BLOCK), "blocks").coalesce(2 * self.context.defaultParallelism)
         # Every pass reads the blocks again, so they are kept; a lost one is read anew.
-        self.blocks = blocks.rdd.map(lambda row: tuple(map(bytes, row))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.blocks = blocks.rdd.map(lambda row: (row[0], *map(bytes, row[1:]))).persist(StorageLevel.MEMORY_AND_DISK)
 
     def __enter__(self) -> "Rows":
         return self
@@ -82,44 +85,49 @@ class Rows:
     def __exit__(self, *error) -> None:
         self.blocks.unpersist()
 
+    def run(self, task: Callable[[Iterator[tuple]], Iterator]) -> list:
+        """One pass: ``task`` over every partition's blocks, each its fold and arrays; one result a task, whatever the number of rows."""
+        opened = lambda block: (block[0], *map(np.frombuffer, block[1:], KINDS))
+        return self.blocks.mapPartitions(lambda blocks: task(map(opened, blocks))).collect()
+
     def point(self, at: np.ndarray, loss: Loss, penalty: float) -> Point:
-        """One pass: the loss with half the ``penalty`` times the squared coefficients; the intercept is free."""
+        """The loss with half the ``penalty`` times the squared coefficients; the intercept is free."""
         shared, size = self.context.broadcast(at), self.size
 
-        def run(blocks: Iterator[tuple[bytes, ...]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            w, gradient, sums = shared.value, np.zeros(size + 1), np.zeros(2)
-            for block in blocks:
-                places, numbers, sizes, label, weight = map(np.frombuffer, block, (np.int32, float, np.int64, float, float))
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                margin = np.bincount(row, numbers * w[places], len(sizes)) + w[-1]
-                value, slope, more = loss(margin, label)
+        def run(blocks: Iterator[tuple]) -> Iterator[tuple[np.ndarray, float]]:
+            w, gradient, whole = shared.value, np.zeros(size + 1), 0.0
+            for _, places, numbers, sizes, label, weight in blocks:
+                value, slope = loss(margins(places, numbers, sizes, w), label)
                 slope = slope * weight
-                gradient[:-1] += np.bincount(places, numbers * slope[row], size)
+                gradient[:-1] += summed(places, numbers, sizes, slope, size)
                 gradient[-1] += slope.sum()
-                sums += (weight @ value, weight @ more)
-            yield gradient, sums
+                whole += weight @ value
+            yield gradient, whole
 
-        parts = self.blocks.mapPartitions(run).collect()  # one gradient a task, whatever the number of rows
+        parts = self.run(run)
         shared.destroy()
-        gradient, sums = (np.sum(x, axis=0) for x in zip(*parts))
+        gradient, whole = (np.sum(x, axis=0) for x in zip(*parts))
         coefficients = at[:-1]
         gradient[:-1] += penalty * coefficients
-        return Point(at, float(sums[0] + penalty * coefficients @ coefficients / 2), gradient, float(sums[1]))
+        return Point(at, float(whole + penalty * coefficients @ coefficients / 2), gradient)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        numbers = batch.column("numbers")
-        sizes = numbers.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-        places = batch.column("places")
-        known = places.flatten().to_numpy().astype(np.int32)
-        if places.null_count:  # dense vectors have no places
-            at = np.split(known, np.cumsum(places.value_lengths().fill_null(0).to_numpy())[:-1])
-            known = np.concatenate([np.arange(n, dtype=np.int32) if none else p for p, n, none in zip(at, sizes, places.is_null().to_pylist())])
-        arrays = (known, numbers.flatten().to_numpy().astype(float), sizes, *(batch.column(c).to_numpy().astype(float) for c in ("label", "weight")))
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=[x.split()[0] for x in BLOCK.split(", ")])
+        for fold in pc.unique(batch.column("fold")).to_pylist():
+            yield _block(batch.filter(pc.equal(batch.column("fold"), fold)), fold)
+
+
+def _block(batch: pa.RecordBatch, fold: int) -> pa.RecordBatch:
+    numbers = batch.column("numbers")
+    sizes = numbers.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    places = batch.column("places")
+    known = places.flatten().to_numpy().astype(np.int32)
+    if places.null_count:  # dense vectors have no places
+        at = np.split(known, np.cumsum(places.value_lengths().fill_null(0).to_numpy())[:-1])
+        known = np.concatenate([np.arange(n, dtype=np.int32) if none else p for p, n, none in zip(at, sizes, places.is_null().to_pylist())])
+    arrays = (known, numbers.flatten().to_numpy().astype(float), sizes, *(batch.column(c).to_numpy().astype(float) for c in ("label", "weight")))
+    return pa.RecordBatch.from_arrays([pa.array([fold], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in arrays)], names=[x.split()[0] for x in BLOCK.split(", ")])
 
 
 def descend(rows: Rows, start: np.ndarray, loss: Loss, penalty: float, tol: float, most: int) -> tuple[Point, int]:

@@ -1,4 +1,4 @@
-"""Linear models with the published objective: naive Bayes by ``pyspark.ml``, the others by ``descent``."""
+"""Linear models with the published objective: naive Bayes by ``pyspark.ml``, the others by ``descent`` and ``planes``."""
 
 from __future__ import annotations
 
@@ -14,18 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from mailsift.config import NB_ALPHA, SEED
 from mailsift.functions.probability import sigmoid
 from mailsift.operators.curate import class_counts, stratified_folds
-from mailsift.operators.descent import Point, Rows, Unfinished, descend, hinge, logistic
+from mailsift.operators.descent import Rows, Unfinished, descend, logistic
+from mailsift.operators.planes import hinge_fits
 from mailsift.operators.vectors import projected
 from mailsift.session import written
 
 FOLDS = 3
 LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 2000, 1e-10
 SVM_ITERATIONS, SVM_TOLERANCE = 5000, 1e-6
-
-
-# Widths of the hinge's rounded corner, until ``GAP`` is reached, and how near each fit comes to its minimum.
-WIDTHS = ((1.0, 1e-3), (0.2, 1e-3), (0.05, 3e-4), (0.02, 1e-4), (0.01, 1e-4), (5e-3, 1e-4), (2e-3, 1e-4), (1e-3, 1e-5), (1e-4, 1e-6), (1e-5, 1e-6))
-GAP = 1e-3  # largest share of the hinge loss that may lie above its lower bound
+GAP = 1e-3  # largest share of the penalised hinge loss that may lie above its lower bound
 
 
 @dataclass
@@ -88,32 +85,18 @@ def fit_logistic(
     return LinearModel.of(found.at)
 
 
-def fit_svm(df: DataFrame, weight: str | None = None, c: float = 1.0, max_iter: int = SVM_ITERATIONS, tol: float = SVM_TOLERANCE) -> LinearModel:
-    """The support vector machine of the hinge loss, within ``GAP`` of its lowest value (four times ``tol`` if that is more).
+def fit_svms(
+    df: DataFrame, weight: str | None = None, fold: str = "_fold", c: float = 1.0, max_iter: int = SVM_ITERATIONS, tol: float = SVM_TOLERANCE
+) -> list[LinearModel]:
+    """The support vector machine of the hinge loss without each of the folds, within ``GAP`` of its lowest value (four times ``tol`` if that is more).
 
-    The hinge's corner is rounded, less from fit to fit, each starting from the last and ending closer
-    to its minimum, down to ``tol``. The slopes at a rounded minimum are a solution of the dual problem,
-    whose value no hinge loss can be below.
+    All are fitted in the same passes over the rows.
     """
-    penalty, steps = 1.0 / c, 0
-    with Rows(df, weight) as rows:
-        at = np.zeros(rows.size + 1)
-        for width, near in WIDTHS:
-            try:
-                found, more = descend(rows, at, hinge(width), penalty, max(tol, near), max_iter - steps)
-            except Unfinished as error:
-                raise RuntimeError(f"The support vector machine did not converge in {max_iter} iterations: raise max_iter or tol.") from error
-            at, steps = found.at, steps + more
-            if _gap(found, penalty) <= max(GAP, 4 * tol):
-                return LinearModel.of(at)
-    raise RuntimeError(f"The support vector machine is not within {GAP} of its lowest loss.")
-
-
-def _gap(found: Point, penalty: float) -> float:
-    """The share of the loss that may lie above the bound: the sharp loss less the value of the dual solution."""
-    w = found.at[:-1]
-    pull = found.gradient[:-1] - penalty * w
-    return (found.more + penalty * (w @ w) / 2 + pull @ pull / (2 * penalty) + abs(found.gradient[-1] * found.at[-1])) / found.loss
+    with Rows(df, weight, fold=fold) as rows:
+        try:
+            return [LinearModel.of(at) for at in hinge_fits(rows, list(range(FOLDS)), 1.0 / c, max(GAP, 4 * tol), max_iter)]
+        except Unfinished as error:
+            raise RuntimeError(f"The support vector machine {error}: raise max_iter or tol.") from error
 
 
 def fit_platt(df: DataFrame, margin: str = "margin", weight: str | None = None) -> dict[str, float]:
@@ -244,14 +227,15 @@ class SvmScorer:
     ) -> "SvmScorer":
         folded = written(stratified_folds(df, FOLDS, seed, key), "folds")
 
-        def fit_fold(fold: int) -> tuple[LinearModel, dict[str, float]]:
-            model = fit_svm(folded.filter(F.col("_fold") != fold), weight, c, max_iter, tol)
-            held_out = with_margins(folded.filter(F.col("_fold") == fold), [model], "margin").withColumn("margin", F.col("margin")[0])
-            return model, fit_platt(held_out, "margin", weight)
+        models = fit_svms(folded, weight, "_fold", c, max_iter, tol)
+
+        def fit_sigmoid(fold: int) -> dict[str, float]:
+            held_out = with_margins(folded.filter(F.col("_fold") == fold), [models[fold]], "margin").withColumn("margin", F.col("margin")[0])
+            return fit_platt(held_out, "margin", weight)
 
         with ThreadPoolExecutor(FOLDS) as pool:  # a pass is short: those of the folds fill each other's gaps
-            models, sigmoids = zip(*pool.map(fit_fold, range(FOLDS)))
-        return SvmScorer(list(models), list(sigmoids))
+            sigmoids = list(pool.map(fit_sigmoid, range(FOLDS)))
+        return SvmScorer(models, sigmoids)
 
     def score(self, df: DataFrame, out: str = "probability") -> DataFrame:
         df, total = with_margins(df, self.models, "_margins"), F.lit(0.0)

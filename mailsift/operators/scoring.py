@@ -15,6 +15,7 @@ from mailsift.operators.linear import SCORERS, BayesScorer, LogisticScorer, SvmS
 from mailsift.sources.mail_files import parse_mail
 from mailsift.sources.tables import SCORING_ROLES, quoted
 
+Scorer = LogisticScorer | BayesScorer | SvmScorer
 MODE_TEXT, MODE_FILE, MODE_BATCH = "text", "eml", "csv_batch"
 
 
@@ -23,7 +24,7 @@ class MailModel:
     """Vectoriser, classifier and calibrator, saved and loaded as one folder."""
 
     features: PipelineModel
-    scorer: LogisticScorer | BayesScorer | SvmScorer
+    scorer: Scorer
     calibrator: dict = field(default_factory=dict)  # {} | {"temperature": t} | {"slope": a, "intercept": b}
     text_col: str = "clean_text"
     threshold: float = DEPLOYED_THRESHOLD

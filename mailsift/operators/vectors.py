@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -303,6 +304,19 @@ def tfidf(df: DataFrame, vocabulary: DataFrame, kind: str = "word", keep: Sequen
 # ---- TF-IDF, vector form -----------------------------------------------------------------
 
 
+def _counter(terms: list[str], tokens: str, out: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary``, which sends a vocabulary term by term, with a single call for all of them.
+
+    No term of either kind holds a line break; terms that did would be sent one by one.
+    """
+    if not terms or any("\n" in t for t in terms):
+        return CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol=out)
+    cut = SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms), -1)
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", cut)
+    model._set(vocabSize=len(terms))
+    return model.setInputCol(tokens).setOutputCol(out)
+
+
 def vectoriser(
     vocabulary: DataFrame, kind: str = "word", text_col: str = "clean_text", out: str = "features"
 ) -> PipelineModel:
@@ -323,7 +337,7 @@ def vectoriser(
     else:
         cut, used = [SQLTransformer(statement=_char_statement(text_col, spark_terms))], []
     stages = cut + [
-        CountVectorizerModel.from_vocabulary([r.term for r in terms], inputCol=spark_terms, outputCol=counts),
+        _counter([r.term for r in terms], spark_terms, counts),
         ElementwiseProduct(scalingVec=Vectors.dense([r.idf for r in terms]), inputCol=counts, outputCol=weighted),
         Normalizer(p=2.0, inputCol=weighted, outputCol=out),
         SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(used + [spark_terms, counts, weighted])}) FROM __THIS__"),

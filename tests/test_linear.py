@@ -71,3 +71,30 @@ def test_rare_terms_do_not_slow_a_fit(spark):
     x, y = np.stack([r[2].toArray() for r in rows]), np.array([r[1] for r in rows])
     error = 1 / (1 + np.exp(-(x @ model.coefficients.toArray() + model.intercept))) - y
     assert np.abs(np.append(x.T @ error + model.coefficients.toArray(), error.sum())).max() < 1e-3
+
+
+def test_hinge_fits_of_text_take_a_hundred_passes(spark):
+    """Uneven terms and labels that they hardly tell: no fold's loss can be lowered, and none takes hundreds of steps."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(400):
+        places = np.unique((3000 * rng.random(60) ** 4).astype(int))
+        values = rng.random(len(places)) + 0.1
+        rows.append((str(i), int(rng.random() < 0.2), Vectors.sparse(3000, [*places], [*(values / np.linalg.norm(values))])))
+    frame = linear.with_class_weight(spark.createDataFrame(rows, ["email_id", "label", "features"])).coalesce(2)
+    fitted = linear.SvmScorer.fit(frame, weight="weight", max_iter=120)
+    folds = {r.email_id: r["_fold"] for r in linear.stratified_folds(frame, linear.FOLDS).collect()}
+    weights = {r.email_id: r.weight for r in frame.select("email_id", "weight").collect()}
+    for number, model in enumerate(fitted.models):
+        kept = [r for r in rows if folds[r[0]] != number]
+        x, sign, weight = np.stack([r[2].toArray() for r in kept]), np.array([2 * r[1] - 1 for r in kept]), np.array([weights[r[0]] for r in kept])
+
+        def loss(v):
+            return weight @ np.maximum(0, 1 - sign * (x @ v[:-1] + v[-1])) + v[:-1] @ v[:-1] / 2
+
+        at = np.append(model.coefficients.toArray(), model.intercept)
+        short = 1 - sign * (x @ at[:-1] + at[-1])
+        slopes = [np.append(at[:-1] - x.T @ (weight * sign * (short > edge)), -(weight * sign * (short > edge)).sum()) for edge in (-0.1, 0.0, 0.1)]
+        for direction in [*slopes, *rng.normal(size=(50, len(at)))]:
+            for step in (1e-1, 1e-2, 1e-3, 1e-4, 1e-5):
+                assert loss(at - step * direction) >= loss(at) * (1 - 1e-3)

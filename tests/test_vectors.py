@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.linalg import Vectors
 
 from mailsift.operators import factor, vectors as V
@@ -155,3 +156,14 @@ def test_char_vectors_of_rows_cut_together_are_those_of_the_saved_transformer(sp
     assert all(np.array_equal(a, b) for a, b in zip(whole, cut)) and len(cut[0]) == len(texts)
     empty = V.with_vectors(frame, vocabulary.limit(0), "char").collect()
     assert len(empty) == len(texts) and all(r.features.size == 0 for r in empty)
+
+
+def test_a_vocabulary_is_sent_in_one_call(spark, monkeypatch):
+    """Tens of thousands of terms, one call to the JVM each, took longer than the vectors."""
+    monkeypatch.setattr(CountVectorizerModel, "_new_java_array", None)
+    mail = spark.createDataFrame([("1", "böse mail böse"), ("2", "gute mail"), ("3", "")], "email_id string, clean_text string")
+    features = V.vectoriser(V.fit_vocabulary(mail, min_df=1))
+    terms = next(s for s in features.stages if hasattr(s, "vocabulary")).vocabulary
+    assert terms == sorted(["böse", "mail", "gute", "böse mail", "mail böse", "gute mail"])
+    found = {r.email_id: dict(zip(r.features.indices, r.features.values)) for r in features.transform(mail).collect()}
+    assert sorted(terms[i] for i in found["1"]) == ["böse", "böse mail", "mail", "mail böse"] and not found["3"]

@@ -14,7 +14,7 @@ from mailsift.config import SEED, Settings
 from mailsift.functions.text import hash32
 from mailsift.operators import audit, metrics as M, scoring as S, thresholds as T
 from mailsift.plans.training import Calibrated, TrainedModels, calibrate_models, train_models
-from mailsift.session import written
+from mailsift.session import side_by_side, written
 
 
 @dataclass
@@ -48,22 +48,27 @@ def deploy(train: DataFrame, valid: DataFrame, test: DataFrame, out: str, settin
     sweep = written(T.threshold_sweep(after, ("model",)), "sweep")
     chosen = written(T.choose_threshold(sweep, ("model",), settings.precision_floor), "chosen")
     thresholds = {row.model: row.threshold for row in chosen.collect()}  # a row per model
-    paths, parts = {}, []
-    for name, bundle in calibrated.bundles.items():
+    paths = {name: f"{out}/models/{name}/v{version}" for name in calibrated.bundles}
+
+    def reloaded(name: str) -> DataFrame:
+        bundle = calibrated.bundles[name]
         bundle.threshold, bundle.version = thresholds[name], version
-        paths[name] = f"{out}/models/{name}/v{version}"
         bundle.save(paths[name])
-        parts.append(S.MailModel.load(paths[name]).score(test.select("email_id", "label", "clean_text"), keep_raw=True).withColumn("model", F.lit(name)))
+        return S.MailModel.load(paths[name]).score(test.select("email_id", "label", "clean_text"), keep_raw=True).withColumn("model", F.lit(name))
+
+    parts = side_by_side(reloaded, paths)
     columns = ("model", "email_id", "label", "raw", "probability", "pred", "risk_code")
     reduce(DataFrame.unionByName, parts).select(*columns).write.mode("overwrite").parquet(f"{out}/scores")
     scores = test.sparkSession.read.parquet(f"{out}/scores")
-    gates = []
-    for name, threshold in thresholds.items():
+
+    def checked(name: str) -> DataFrame:
         own = scores.filter(F.col("model") == name)
-        at = M.report(own, threshold)
+        at, before, after = side_by_side(lambda of: M.report(own, of[0], prob=of[1]), [(thresholds[name], "probability"), (0.5, "raw"), (0.5, "probability")])
         checks = audit.threshold_checks(
             sweep.filter(F.col("model") == name), chosen.filter(F.col("model") == name), at, settings.precision_floor
-        ).union(audit.calibration_checks(M.report(own, 0.5, prob="raw"), M.report(own, 0.5)))
-        gates.append(checks.select(F.lit(name).alias("model"), "*"))
+        ).union(audit.calibration_checks(before, after))
+        return checks.select(F.lit(name).alias("model"), "*")
+
+    gates = side_by_side(checked, thresholds)
     reduce(DataFrame.unionByName, gates).write.mode("overwrite").parquet(f"{out}/gates")
     return Deployment(paths, calibrated, scores, test.sparkSession.read.parquet(f"{out}/gates"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mailsift.config import PRECISION_FLOOR
 from mailsift.operators import calibration as cal, linear, metrics as M, scoring as S, thresholds as T, vectors as V
-from mailsift.session import written
+from mailsift.session import side_by_side, written
 
 NAMES = {"bayes": "multinomial_nb", "logistic": "logistic_regression", "svm": "linear_svm"}
 
@@ -34,8 +33,7 @@ def _vectors(train: DataFrame, valid: DataFrame):
 
 def _fitted(fits: dict[Hashable, Callable[[], S.Scorer]]) -> dict[Hashable, S.Scorer]:
     """All fits side by side: each is many short passes, which fill each other's gaps."""
-    with ThreadPoolExecutor(len(fits)) as pool:
-        return dict(zip(fits, pool.map(lambda fit: fit(), fits.values())))
+    return dict(zip(fits, side_by_side(lambda fit: fit(), fits.values())))
 
 
 def train_models(train: DataFrame, valid: DataFrame) -> TrainedModels:
@@ -108,8 +106,8 @@ def calibrate_models(trained: TrainedModels, fit_on: DataFrame | None = None) ->
     By default calibrators are fitted on the rows they are judged on, as published; pass
     ``fit_on`` (model, label, probability) to hold the fit out.
     """
-    bundles, tables, rows = {}, [], []
-    for name, kind in ((NAMES["logistic"], "temperature"), (NAMES["svm"], "sigmoid")):
+    def calibrated(of: tuple[str, str]) -> tuple[S.MailModel, DataFrame, DataFrame]:
+        name, kind = of
         scored = trained.predictions.filter(F.col("model") == name)
         source = scored if fit_on is None else fit_on.filter(F.col("model") == name)
         if kind == "temperature":
@@ -119,8 +117,9 @@ def calibrate_models(trained: TrainedModels, fit_on: DataFrame | None = None) ->
             fitted = cal.fit_sigmoid(source)
             after = cal.scale_by_sigmoid(scored, fitted)
         bundle = trained.bundles[name]
-        bundles[name] = S.MailModel(bundle.features, bundle.scorer, fitted, bundle.text_col)
-        tables.append(after)
-        rows.append(cal.before_after(after, name, kind))
+        return S.MailModel(bundle.features, bundle.scorer, fitted, bundle.text_col), after, cal.before_after(after, name, kind)
+
+    kinds = {NAMES["logistic"]: "temperature", NAMES["svm"]: "sigmoid"}
+    bundles, tables, rows = zip(*side_by_side(calibrated, kinds.items()))
     scores = written(reduce(DataFrame.unionByName, tables), "calibrated")
-    return Calibrated(bundles, scores, reduce(DataFrame.unionByName, rows), T.threshold_analysis(scores))
+    return Calibrated(dict(zip(kinds, bundles)), scores, reduce(DataFrame.unionByName, rows), T.threshold_analysis(scores))
